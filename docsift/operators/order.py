@@ -44,11 +44,11 @@ def _range_column(df: DataFrame, by: list[str]) -> Column:
     """
     picked = df.select(*by).orderBy(F.xxhash64(*by)).limit(BOUNDARY_ROWS)
     places = (
-        picked.withColumn("_at", F.row_number().over(Window.orderBy(*by)))
+        picked.withColumn("_place", F.row_number().over(Window.orderBy(*by)))
         .withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy()))
     )
     every = BOUNDARY_ROWS // MAX_RANGES
-    rows = places.where((F.col("_n") == BOUNDARY_ROWS) & (F.col("_at") % every == 0)).select(*by).orderBy(*by)
+    rows = places.where((F.col("_n") == BOUNDARY_ROWS) & (F.col("_place") % every == 0)).select(*by).orderBy(*by)
     bounds = rows.collect()
     if not bounds:
         return F.lit(0)
@@ -85,17 +85,17 @@ def group_index(
     shifts = (
         counts.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))
         .where(F.col("_before") > 0)
-        .select(*[F.col(k).alias(f"_key_{i}") for i, k in enumerate(keys)], F.col("_range").alias("_at"), "_before")
+        .select(*[F.col(k).alias(f"_key_{i}") for i, k in enumerate(keys)], F.col("_range").alias("_start_range"), "_before")
     )
     numbered = ranged.withColumn(
         "_row", F.row_number().over(Window.partitionBy(*keys, "_range").orderBy(*order))
     )
-    same = F.col("_range") == F.col("_at")
+    same = F.col("_range") == F.col("_start_range")
     for i, k in enumerate(keys):
         same = same & F.col(k).eqNullSafe(F.col(f"_key_{i}"))
     joined = numbered.join(F.broadcast(shifts), on=same, how="left")
     index = (F.col("_row") + F.coalesce("_before", F.lit(0)) - 1 + base).cast("bigint")
-    drops = ["_range", "_row", "_at", "_before", *[f"_key_{i}" for i in range(len(keys))]]
+    drops = ["_range", "_row", "_start_range", "_before", *[f"_key_{i}" for i in range(len(keys))]]
     return joined.withColumn(name, index).drop(*drops)
 
 

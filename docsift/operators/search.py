@@ -35,19 +35,19 @@ MAX_CELLS = 65_536
 def _block_functions(digits: int):
     """Matrix helpers for the executors (nested, so they travel with the task)."""
 
-    def matrix(column):
-        """Arrow list column -> unit rows (n x dim); rows without length stay zero."""
+    def matrix(column, dim=None):
+        """Arrow list column -> unit rows (n x dim); null, empty and zero vectors give zero rows."""
         import numpy as np
 
         if hasattr(column, "combine_chunks"):
             column = column.combine_chunks()
-        n = len(column)
-        values = column.flatten().to_numpy(zero_copy_only=False).astype("float64")
-        if n == 0:
-            return np.zeros((0, 0))
-        if len(values) % n or len(set(np.unique(column.value_lengths().to_numpy(zero_copy_only=False)))) != 1:
+        sizes = column.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+        found = np.unique(sizes[sizes > 0])
+        if len(found) > 1 or (dim and len(found) and found[0] != dim):
             raise ValueError("all vectors must have the same length")
-        rows = values.reshape(n, -1)
+        rows = np.zeros((len(column), dim or (int(found[0]) if len(found) else 1)))
+        if len(found):
+            rows[sizes > 0] = column.flatten().to_numpy(zero_copy_only=False).reshape(-1, int(found[0]))
         norms = np.sqrt((rows * rows).sum(axis=1, keepdims=True))
         return np.divide(rows, norms, out=np.zeros_like(rows), where=norms > 0)
 
@@ -131,7 +131,9 @@ def _arrow_type(t: T.DataType) -> pa.DataType:
 
 
 def _usable(df: DataFrame, id_col: str, embedding: str) -> DataFrame:
-    return df.select(id_col, embedding).where(F.col(embedding).isNotNull() & (F.size(embedding) > 0))
+    """Id and vector only. Vectors without length are left out inside the tasks: a filter
+    here would have Spark compute an embedding expression once more just to test it."""
+    return df.select(id_col, embedding)
 
 
 def _fits(df: DataFrame, small_rows: int) -> pa.Table | None:
@@ -190,7 +192,7 @@ def _scan_vectors(few, q, v, k, question_id, vector_id) -> DataFrame:
         for batch in batches:
             if batch.num_rows == 0 or not q_ids:
                 continue
-            found = nearest(q_rows, matrix(batch.column(1)), id_array(batch.column(0)), k)
+            found = nearest(q_rows, matrix(batch.column(1), q_rows.shape[1]), id_array(batch.column(0)), k)
             best = found if best is None else merge(*best, *found, k)
         if best is not None:
             d, j = best
@@ -222,7 +224,7 @@ def _scan_questions(few, q, v, k, question_id, vector_id) -> DataFrame:
         for batch in batches:
             if batch.num_rows == 0 or len(ids) == 0:
                 continue
-            d, j = nearest(matrix(batch.column(1)), rows, ids, k)
+            d, j = nearest(matrix(batch.column(1), rows.shape[1]), rows, ids, k)
             row, at = np.nonzero(np.isfinite(d))
             yield pa.RecordBatch.from_arrays(
                 [
@@ -276,7 +278,10 @@ def _grid(q: DataFrame, v: DataFrame, k: int, question_id: str, vector_id: str)
         if left.num_rows == 0 or right.num_rows == 0:
             empty = [pa.array([], types[0]), pa.array([], types[1]), pa.array([], pa.float64())]
             return pa.Table.from_arrays(empty, names=names)
-        d, j = nearest(matrix(left.column(1)), matrix(right.column(1)), id_array(right.column(0)), k)
+        asked, held = matrix(left.column(1)), matrix(right.column(1))
+        if asked.shape[1] != held.shape[1]:  # one side has no usable vector
+            asked = np.zeros((len(asked), held.shape[1]))
+        d, j = nearest(asked, held, id_array(right.column(0)), k)
         row, at = np.nonzero(np.isfinite(d))
         return pa.Table.from_arrays(
             [
@@ -316,7 +321,7 @@ def _with_cells(df: DataFrame, id_col: str, centroids: np.ndarray, n: int) -> Da
         for batch in batches:
             if batch.num_rows == 0:
                 continue
-            d, j = nearest(matrix(batch.column(1)), c, np.arange(len(c)), n)
+            d, j = nearest(matrix(batch.column(1), c.shape[1]), c, np.arange(len(c)), n)
             row, at = np.nonzero(np.isfinite(d))
             keep = batch.take(pa.array(row))
             yield pa.RecordBatch.from_arrays([*keep.columns, pa.array(j[row, at].astype("int32"))], names=names)

@@ -14,15 +14,18 @@ def many_to_one(
     """Equi-join to a side with one row per key, where any key may hold most of ``left``.
 
     Each key of ``left`` is spread over ``salts`` tasks by a hash of the whole row (the
-    same on every retry); ``right`` is repeated once per salt. ``salts=1`` leaves the
-    split to the adaptive skew join.
+    same on every retry); ``right`` is repeated once per salt. ``salts`` is a power of two;
+    1 leaves the split to the adaptive skew join.
     """
     if how not in ("inner", "left"):
         raise ValueError("many_to_one joins inner or left")
-    if salts <= 1:
+    if salts < 1 or salts & (salts - 1):
+        raise ValueError("salts must be a power of two")
+    if salts == 1:
         return left.join(right, on=on, how=how)
-    salted = left.withColumn("_salt", F.pmod(F.xxhash64(*_hashable(left)), F.lit(salts)).cast("int"))
-    spread = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    # A bit mask cannot be null, so Spark adds no null check that would hash each row again.
+    salted = left.withColumn("_salt", F.xxhash64(*_hashable(left)).bitwiseAND(F.lit(salts - 1)))
+    spread = right.withColumn("_salt", F.explode(F.array(*[F.lit(i).cast("bigint") for i in range(salts)])))
     return salted.join(spread, on=[*on, "_salt"], how=how).drop("_salt")
 
 

@@ -18,6 +18,7 @@ from ..operators.judge import attach_answers, evaluation_rows, flag_low, judge,
 from ..operators.model import TEMPERATURE_DEFAULT, TEMPERATURE_MAIL, Model, complete
 from ..operators.order import global_index, ordered_split
 from ..operators.search import attach_chunks, vector_search
+from ..operators.skew import durable
 from ..sources.readers import read_receipt_pairs
 from ..sources.sinks import append_vectors, write_jsonl, write_run
 
@@ -97,8 +98,8 @@ def prepare_receipts(spark: SparkSession, path: str, out: str | None = None, val
 
 
 def clear(tokens: DataFrame) -> DataFrame:
-    """Layout tokens to clearance records."""
-    return lay.clearance_records(tokens, lay.link_boxes(tokens))
+    """Layout tokens to clearance records; the links are stored, as three roll-ups read them."""
+    return lay.clearance_records(tokens, durable(lay.link_boxes(tokens)))
 
 
 def triage(mail: DataFrame, fn: Model, company: str | Column, **call) -> DataFrame:

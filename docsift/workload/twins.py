@@ -134,8 +134,8 @@ EVENTS = """reviews AS (SELECT conv_id AS mail_id, turn AS seq, role = 'assistan
   CASE WHEN role = 'user' AND turn > 1 THEN length(text) % 2 = 0 END AS approved FROM conversations),
 starts AS (SELECT mail_id, max(seq) AS start FROM reviews WHERE draft AND NOT remark GROUP BY mail_id)"""
 
-SOURCES = """firsts AS (SELECT source, doc_id, text, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS at FROM documents),
-sources AS (SELECT source, doc_id, text FROM firsts WHERE at <= 20 AND length(text) > 100)"""
+SOURCES = """firsts AS (SELECT source, doc_id, text, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS place FROM documents),
+sources AS (SELECT source, doc_id, text FROM firsts WHERE place <= 20 AND length(text) > 100)"""
 
 TWINS: dict[str, str] = {
     "chunk_documents": f"WITH {CHUNKS} SELECT id, text, source, chunk_index FROM chunks",
@@ -182,9 +182,9 @@ SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, CASE WHEN v >= 0.85 THEN
     "box_links": f"WITH {_links('l_orderkey')} SELECT doc_id, question_pos, answer_pos, answer, confidence, distance FROM links",
     "box_links_large": f"WITH {_links('l_returnflag')} SELECT doc_id, question_pos, answer_pos, answer, confidence, distance FROM links",
     "document_clearance": f"WITH {_links('l_orderkey')}, {_CLEARED} SELECT doc_id, {_STATUS} AS document_status, n_fields, n_flagged FROM statuses",
-    "clearance_records": f"""WITH {_links('l_orderkey')}, {_CLEARED}, placed AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY question_pos) - 1 AS at FROM links),
-parts AS (SELECT doc_id, at // 1000 AS part, string_agg(concat_ws('|', question, '[REDACTED]', CASE WHEN confidence < 0.85 THEN 'FLAGGED_FOR_REVIEW' ELSE 'PROCESSED' END), ';' ORDER BY at) AS fields
-  FROM placed GROUP BY doc_id, at // 1000)
+    "clearance_records": f"""WITH {_links('l_orderkey')}, {_CLEARED}, placed AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY question_pos) - 1 AS place FROM links),
+parts AS (SELECT doc_id, place // 500 AS part, string_agg(concat_ws('|', question, '[REDACTED]', CASE WHEN confidence < 0.85 THEN 'FLAGGED_FOR_REVIEW' ELSE 'PROCESSED' END), ';' ORDER BY place) AS fields
+  FROM placed GROUP BY doc_id, place // 500)
 SELECT s.doc_id, coalesce(p.part, 0) AS part, {_STATUS} AS document_status, coalesce(p.fields, '') AS fields FROM statuses s LEFT JOIN parts p ON p.doc_id = s.doc_id""",
     "redaction_boxes": f"WITH {_links('l_orderkey')} SELECT DISTINCT doc_id, x1::INT AS x1, y1::INT AS y1, x2::INT AS x2, y2::INT AS y2 FROM links",
     "confidence_route": """SELECT l_returnflag, CASE WHEN 1.0::DOUBLE - l_tax > 0.95 THEN 'auto' ELSE 'review' END AS route, count(*) AS n FROM lineitem GROUP BY ALL""",
