@@ -48,25 +48,20 @@ def _range_column(df: DataFrame, by: list[str]) -> Column:
         .withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy()))
     )
     every = BOUNDARY_ROWS // MAX_RANGES
-    rows = places.where((F.col("_n") == BOUNDARY_ROWS) & (F.col("_place") % every == 0)).select(*by).orderBy(*by)
-    bounds = rows.collect()
-    if not bounds:
-        return F.lit(0)
-    key = F.struct(*[F.col(c) for c in by])
-    schema = df.select(*by).schema
+    rows = places.where((F.col("_n") == BOUNDARY_ROWS) & (F.col("_place") % every == 0)).orderBy(*by)
+    bounds = [r[0] for r in rows.select(F.base64(F.to_json(F.struct(*by)).cast("binary"))).collect()]
+    shape = df.select(F.struct(*by).alias("k")).schema["k"].dataType.simpleString()
+    key = f"named_struct({', '.join(f'{chr(39)}{c}{chr(39)}, `{c}`' for c in by)})"
 
-    def literal(row) -> Column:
-        return F.struct(*[F.lit(row[f.name]).cast(f.dataType).alias(f.name) for f in schema.fields])
-
-    limits = [literal(r) for r in bounds]
-
-    def place(lo: int, hi: int) -> Column:
+    def place(lo: int, hi: int) -> str:
+        """A constant decision tree as one SQL text (thousands of Column calls would be slow)."""
         if lo == hi:
-            return F.lit(lo)
+            return str(lo)
         mid = (lo + hi) // 2
-        return F.when(key < limits[mid], place(lo, mid)).otherwise(place(mid + 1, hi))
+        bound = f"from_json(decode(unbase64('{bounds[mid]}'), 'UTF-8'), '{shape}')"
+        return f"CASE WHEN {key} < {bound} THEN {place(lo, mid)} ELSE {place(mid + 1, hi)} END"
 
-    return place(0, len(limits))
+    return F.expr(place(0, len(bounds)))
 
 
 def group_index(
