@@ -254,7 +254,9 @@ def _tokens(spark, sf_dir, doc: Column):
     x = (F.col("l_partkey") * 13 + F.col("l_linenumber") * 31) % 900
     y = (F.col("l_suppkey") * 17 + F.col("l_quantity").cast("bigint") * 7) % 1200
     wide = F.col("l_quantity").cast("bigint") + 20
-    pos = F.concat_ws("-", *[F.lpad(F.col(c).cast("string"), n, "0") for c, n in (("l_linenumber", 2), ("l_orderkey", 12), ("l_partkey", 12), ("l_suppkey", 12))])
+    cents = F.round(F.col("l_extendedprice") * 100).cast("bigint")
+    keys = [F.col("l_linenumber"), F.col("l_orderkey"), F.col("l_partkey"), F.col("l_suppkey"), cents]
+    pos = F.concat_ws("-", F.lpad(keys[0].cast("string"), 2, "0"), *[F.lpad(k.cast("string"), 12, "0") for k in keys[1:]])
     return table(spark, sf_dir, "lineitem").select(
         doc.alias("doc_id"), pos.alias("token_pos"),
         F.concat(F.lit("part "), F.col("l_partkey")).alias("text"),

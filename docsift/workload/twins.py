@@ -96,7 +96,7 @@ receipts AS (SELECT receipt_id, company, date, address, total, (company + date +
 
 def _links(doc: str) -> str:
     return f"""tokens AS (SELECT {doc} AS doc_id, concat_ws('-', lpad(l_linenumber::VARCHAR, 2, '0'), lpad(l_orderkey::VARCHAR, 12, '0'),
-  lpad(l_partkey::VARCHAR, 12, '0'), lpad(l_suppkey::VARCHAR, 12, '0')) AS pos, concat('part ', l_partkey) AS text,
+  lpad(l_partkey::VARCHAR, 12, '0'), lpad(l_suppkey::VARCHAR, 12, '0'), lpad(round(l_extendedprice * 100)::BIGINT::VARCHAR, 12, '0')) AS pos, concat('part ', l_partkey) AS text,
   l_linenumber % 2 = 1 AS asks, (l_partkey * 13 + l_linenumber * 31) % 900 AS x,
   (l_suppkey * 17 + l_quantity::BIGINT * 7) % 1200 AS y, l_quantity::BIGINT + 20 AS wide, l_linenumber + 10 AS high,
   round(1.0 - l_discount * 2, 4) AS confidence FROM lineitem),
