@@ -90,7 +90,8 @@ def extract(
     """
     base = list(receipts.columns)
     asked = receipts.withColumn("_prompt_text", prompts.receipt_prompt(text))
-    options = {"temperature": TEMPERATURE_RECEIPT, "on_error": "null", **call}
+    # Replies are read twice (kept rows, rows for the fallback), so they are stored.
+    options = {"temperature": TEMPERATURE_RECEIPT, "on_error": "null", "keep": True, **call}
     none = F.lit(None).cast("string")
     done = None
     todo = asked

@@ -30,6 +30,7 @@ SMALL_BYTES = 64 << 20
 BLOCK_QUESTIONS = 2048
 BLOCK_VECTORS = 32_768
 MAX_CELLS = 65_536
+BROADCAST_HITS = 200_000
 
 
 def _block_functions(digits: int):
@@ -157,12 +158,39 @@ def vector_search(
     Exact; the distance is a cosine distance (small is near), ties go to the lower id.
     ``where`` narrows the vectors ahead of the search and reaches their scan.
     """
+    return _search(questions, vectors, k, where, question_id, vector_id, embedding, small_rows)[0]
+
+
+def search_chunks(
+    questions: DataFrame,
+    vectors: DataFrame,
+    k: int = 5,
+    where: Column | None = None,
+    texts: DataFrame | None = None,
+    question_id: str = "question_id",
+    vector_id: str = "id",
+    embedding: str = "embedding",
+) -> DataFrame:
+    """``vector_search`` with the texts and metadata of the hits.
+
+    The search reads ids and vectors only. With few questions the hits are at most ``k``
+    each and are broadcast to the texts (``texts``, or the vector table itself), so no text
+    is shuffled; otherwise both sides are joined by id.
+    """
+    hits, most = _search(questions, vectors, k, where, question_id, vector_id, embedding, SMALL_ROWS)
+    return attach_chunks(hits, vectors if texts is None else texts, vector_id, most)
+
+
+def _search(questions, vectors, k, where, question_id, vector_id, embedding, small_rows) -> tuple[DataFrame, int | None]:
+    """The hits, and how many there can be when the questions were few."""
     if where is not None:
         vectors = vectors.where(where)
     q = _usable(questions, question_id, embedding)
     v = _usable(vectors, vector_id, embedding)
     few = _fits(q, small_rows)
+    most = None
     if few is not None:
+        most = few.num_rows * k
         hits = _scan_vectors(few, q, v, k, question_id, vector_id)
     else:
         few = _fits(v, small_rows)
@@ -171,9 +199,8 @@ def vector_search(
         else:
             one = F.lit(0)
             hits = _grid(q.withColumn("_cell", one), v.withColumn("_cell", one), k, question_id, vector_id)
-    return best_per_group(hits, [question_id], ["distance", vector_id], k).select(
-        question_id, "rank", vector_id, "distance"
-    )
+    best = best_per_group(hits, [question_id], ["distance", vector_id], k)
+    return best.select(question_id, "rank", vector_id, "distance"), most
 
 
 def _scan_vectors(few, q, v, k, question_id, vector_id) -> DataFrame:
@@ -376,10 +403,15 @@ def vector_search_cells(
     )
 
 
-def attach_chunks(hits: DataFrame, vectors: DataFrame, vector_id: str = "id") -> DataFrame:
-    """Texts and metadata for the hits only; the search itself never reads them."""
-    carried = [c for c in vectors.columns if c != "embedding"]
-    return hits.join(vectors.select(*carried), on=vector_id, how="inner")
+def attach_chunks(
+    hits: DataFrame, texts: DataFrame, vector_id: str = "id", most_hits: int | None = None
+) -> DataFrame:
+    """Texts and metadata for the hits. ``most_hits`` is a known bound on their number; up to
+    ``BROADCAST_HITS`` (some tens of bytes each) they are broadcast."""
+    if most_hits is not None and most_hits <= BROADCAST_HITS:
+        hits = F.broadcast(hits)
+    carried = [c for c in texts.columns if c != "embedding"]
+    return texts.select(*carried).join(hits, on=vector_id, how="inner")
 
 
 def rerank(

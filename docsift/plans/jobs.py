@@ -17,7 +17,7 @@ from ..operators.embedding import embed
 from ..operators.judge import attach_answers, evaluation_rows, flag_low, judge, summarise
 from ..operators.model import TEMPERATURE_DEFAULT, TEMPERATURE_MAIL, Model, complete
 from ..operators.order import global_index, ordered_split
-from ..operators.search import attach_chunks, vector_search
+from ..operators.search import search_chunks
 from ..operators.skew import durable
 from ..sources.readers import read_receipt_pairs
 from ..sources.sinks import append_vectors, write_jsonl, write_run
@@ -41,10 +41,9 @@ def answer(
 ) -> DataFrame:
     """``question_id, question`` to ``answer, retrieved_context, sources, chunks_used``."""
     asked = embed(questions, "question", embed_fn)
-    hits = vector_search(asked, vectors, k, where)
-    context = build_context(questions, attach_chunks(hits, vectors))
+    context = build_context(questions, search_chunks(asked, vectors, k, where))
     prompted = context.withColumn("_ask", prompts.answer_prompt("question", "retrieved_context"))
-    replied = complete(prompted, "_ask", fn, **{"temperature": TEMPERATURE_DEFAULT, "out": "answer", **call})
+    replied = complete(prompted, "_ask", fn, **{"temperature": TEMPERATURE_DEFAULT, "out": "answer", "keep": True, **call})
     return replied.drop("_ask")
 
 
@@ -103,8 +102,12 @@ def clear(tokens: DataFrame) -> DataFrame:
 
 
 def triage(mail: DataFrame, fn: Model, company: str | Column, **call) -> DataFrame:
-    """Scan, sort and draft a reply for each mail; every draft wants approval."""
-    options = {"temperature": TEMPERATURE_MAIL, **call}
+    """Scan, sort and draft a reply for each mail; every draft wants approval.
+
+    The sorting replies are stored before the drafts are asked for, so that each mail is
+    drafted on the reply it shows.
+    """
+    options = {"temperature": TEMPERATURE_MAIL, "keep": True, **call}
     scanned = ml.scan_mail(mail, company)
     sort = scanned.withColumn("_ask", prompts.classify_prompt("contextual_text"))
     sorted_mail = complete(sort, "_ask", fn, **{**options, "out": "classification"}).drop("classification_error")
@@ -120,7 +123,7 @@ def revise(drafts: DataFrame, fn: Model, **call) -> DataFrame:
     """A new draft for each row with feedback (``email_text, response, feedback, revision_count``)."""
     has = F.coalesce("feedback", F.lit("")) != ""
     asked = drafts.withColumn("_ask", F.when(has, prompts.revise_prompt("feedback", "response", "email_text")))
-    replied = complete(asked, "_ask", fn, **{"temperature": TEMPERATURE_MAIL, "out": "_new", **call})
+    replied = complete(asked, "_ask", fn, **{"temperature": TEMPERATURE_MAIL, "out": "_new", "keep": True, **call})
     return replied.select(
         *[c for c in drafts.columns if c not in ("response", "revision_count")],
         F.coalesce("_new", "response").alias("response"),

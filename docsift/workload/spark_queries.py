@@ -100,8 +100,8 @@ def rag_context(spark, sf_dir):
     """Chunk and embed the documents, find five chunks per question, number them as context."""
     questions = _questions(spark, sf_dir)
     found = _chunks(spark, sf_dir)
-    hits = search.vector_search(embed(questions, "question"), embed(found), 5)
-    ctx = context.build_context(questions, search.attach_chunks(hits, found))
+    hits = search.search_chunks(embed(questions, "question"), embed(found), 5, texts=found)
+    ctx = context.build_context(questions, hits)
     cited = F.transform(
         "sources", lambda s: F.concat_ws("#", s["metadata"]["source"], s["metadata"]["chunk_index"])
     )
