@@ -31,7 +31,8 @@ def redaction(text: Column | str) -> Column:
     """Struct ``redacted`` and ``placeholders`` (array of placeholder and value).
 
     Equal values share one placeholder, numbered by first appearance. Numbers start
-    above any placeholder the text already holds, so putting values back is exact.
+    above any placeholder the text already holds, so putting values back is exact. Texts
+    the scan finds nothing in are passed on without further matching.
     """
     c = col(text)
     hits = F.regexp_extract_all(c, F.lit(EITHER_PATTERN), F.lit(0))
@@ -56,13 +57,16 @@ def redaction(text: Column | str) -> Column:
         )
         return F.struct(text_out.alias("redacted"), pairs.alias("placeholders"))
 
-    return let(
+    replaced = let(
         F.struct(
             hits.alias("hits"), F.array_distinct(hits).alias("values"),
             taken.alias("taken"), parts.alias("parts"),
         ),
         build,
     )
+    none = F.array().cast("array<struct<placeholder:string,value:string>>")
+    same = F.struct(c.alias("redacted"), none.alias("placeholders"))
+    return F.when(has_pii(c), replaced).otherwise(same)
 
 
 def restored(text: Column | str, placeholders: Column | str) -> Column:

@@ -57,18 +57,20 @@ def evaluate(
     run_time: str | None = None,
     **call,
 ) -> tuple[DataFrame, DataFrame]:
-    """(rows, summary) of one run; stored under ``path`` when given.
+    """(rows, summary) of one run; stored as ``results`` and ``aggregate`` under ``path``.
 
     ``qa`` has ``id, question, ground_truth``; ``answers`` is matched on ``question``.
     """
     paired = attach_answers(qa, answers)
     flagged = flag_low(judge(paired, fn, **{"keep": True, **call}), threshold)
-    rows = evaluation_rows(flagged)
+    rows, summary = evaluation_rows(flagged), summarise(flagged)
     if path is not None:
         if run_id is None or run_time is None:
             raise ValueError("a stored run needs run_id and run_time")
-        write_run(rows, path, run_id, run_time, {"flag_threshold": str(threshold)})
-    return rows, summarise(flagged)
+        config = {"flag_threshold": str(threshold)}
+        write_run(rows, f"{path}/results", run_id, run_time, config)
+        write_run(summary, f"{path}/aggregate", run_id, run_time, config)
+    return rows, summary
 
 
 def number_questions(qa: DataFrame, order: list[str]) -> DataFrame:

@@ -20,7 +20,7 @@ def write_jsonl(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
 
 
 def write_run(rows: DataFrame, path: str, run_id: str, run_time: str, config: dict[str, str] | None = None) -> None:
-    """Evaluation rows of one run, appended under their ``run_id``."""
+    """Rows (or the summary) of one evaluation run, appended under their ``run_id``."""
     pairs = [F.lit(x) for kv in sorted((config or {}).items()) for x in kv]
     settings = F.create_map(*pairs) if pairs else F.create_map().cast("map<string,string>")
     stamped = (

@@ -50,7 +50,8 @@ def test_evaluate(spark, tmp_path):
     s = summary.first()
     assert (s.total_questions, s.avg_faithfulness, s.avg_relevancy, s.flagged_count, s.flag_rate) == (3, 0.4, 0.5, 2, 0.667)
     jobs.evaluate(qa, answers, fn, path=path, run_id="r2", run_time="2024-01-03 00:00:00")
-    stored = spark.read.parquet(path)
+    assert spark.read.parquet(path + "/aggregate").where("run_id = 'r1'").first().flag_rate == 0.667
+    stored = spark.read.parquet(path + "/results")
     assert {r.run_id: r["count"] for r in stored.groupBy("run_id").count().collect()} == {"r1": 3, "r2": 3}
     assert stored.first().config == {"flag_threshold": "0.6"}
     with pytest.raises(ValueError):
