@@ -90,4 +90,4 @@ def receipt_prompt(receipt: Column | str) -> Column:
 def mail_context(company: Column | str, mail: Column | str) -> Column:
     """Company notes ahead of the mail; only the mail itself is scanned for personal data."""
     notes = F.lit(company) if isinstance(company, str) else company
-    return _join("COMPANY CONTEXT:\n", notes, "\n\nEMAIL TO PROCESS:\n", col(mail))
+    return _join("Company notes:\n", notes, "\n\nMail to handle:\n", col(mail))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import parsing, privacy, routing, scores, text
+from ..functions import parsing, routing, scores, text
 from ..operators import calls, chunks, context, extraction, judge, layout, mail, order, review, search, vector_table
 from ..operators.embedding import embed
 from ..operators.model import complete

@@ -28,7 +28,7 @@ def mail_model():
     def reply(prompts, temperature):
         out = []
         for p in prompts:
-            mail = p.partition("EMAIL TO PROCESS:\n")[2]
+            mail = p.partition("Mail to handle:\n")[2]
             if p.startswith("Sort the mail"):
                 n = len(mail)
                 priority = ("urgent", "normal", "low")[n % 3]

@@ -123,7 +123,7 @@ named AS (SELECT *, list_filter(hits, lambda v, i: list_position(hits, v) = i) A
 redacted AS (SELECT doc_id, array_to_string(list_transform(range(1, len(parts) + 1), lambda i: concat(parts[i], list_transform(hits, lambda v: {_NAME})[i])), '') AS redacted,
   array_to_string(list_transform(vals, lambda v: concat({_NAME}, '=', v)), ';') AS placeholders FROM named)"""
 
-MAIL_TEXT = f"concat('COMPANY CONTEXT:', chr(10), '{COMPANY}', chr(10), chr(10), 'EMAIL TO PROCESS:', chr(10), text)"
+MAIL_TEXT = f"concat('Company notes:', chr(10), '{COMPANY}', chr(10), chr(10), 'Mail to handle:', chr(10), text)"
 _PRIVACY = f"CASE WHEN {_PII} THEN 'FLAGGED (Contains PII)' ELSE 'PASSED' END"
 TRIAGE = """inbound AS (SELECT *, length(text) AS n FROM conversations WHERE role = 'user'),
 sorted AS (SELECT *, ['urgent', 'normal', 'low'][n % 3 + 1] AS p, ['complaint', 'request'][n % 2 + 1] AS t FROM inbound),

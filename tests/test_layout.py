@@ -1,7 +1,6 @@
 import random
 
 import pytest
-from pyspark.sql import functions as F
 
 from docsift.operators import layout
 from docsift.plans import jobs
