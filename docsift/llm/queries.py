@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docsift.llm import chat, packing, token_counts
+from docsift.llm import chat, decontamination, fingerprints, licenses, ngram_join, packing, substring_dedup, token_counts
 from docsift.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -39,3 +39,28 @@ def op6_token_counts(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op10_chat(spark: SparkSession, folder: str) -> DataFrame:
     return chat.read_back(chat.format_turns(chat.probe(table(spark, folder, "conversations"))))
+
+
+@query
+def op1_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    return fingerprints.edited(table(spark, folder, "documents"))
+
+
+@query
+def op2_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return decontamination.contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@query
+def op3_licenses(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.scan(table(spark, folder, "documents"))
+
+
+@query
+def op4_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return substring_dedup.remove_repeats(table(spark, folder, "documents")).drop("kept")
+
+
+@query
+def op9_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
+    return ngram_join.join_components(table(spark, folder, "documents"))
