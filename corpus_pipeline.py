@@ -1,33 +1,69 @@
-"""The corpus pipeline: each stage works on what its predecessor kept, written as Parquet in the shared folder."""
+"""The corpus pipeline: each stage works on what its predecessor kept, written as Parquet in the shared folder.
+
+A stage decides per document by the operator's own result and keeps clean documents as they are.
+"""
 
 from __future__ import annotations
 
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from docsift.llm import packing
+from docsift.llm import decontamination, ngram_join, packing, substring_dedup, toxicity
+from docsift.llm.common import table
 from docsift.llm.queries import tokenizer_path
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier accepts."""
+    bad = toxicity.classify(docs, table(spark, sf_dir, "labels")).filter("predicted = 1").select("doc_id").distinct()
+    return docs.join(bad, "doc_id", "left_anti").select(*COLUMNS)
+
+
+def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The smallest id of every component of links."""
+    out = ngram_join.join_components(docs.select("doc_id", "text")).filter("doc_id <> component_id").select("doc_id").distinct()
+    return docs.join(out, "doc_id", "left_anti").select(*COLUMNS)
+
+
+def remove_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without the spans that an earlier document has."""
+    kept = substring_dedup.remove_repeats(docs).filter("n_removed > 0").select("doc_id", "kept")
+    rows = docs.join(kept, "doc_id", "left").withColumn("text", F.coalesce("kept", "text"))
+    return rows.withColumn("n_chars", F.when(F.col("kept").isNull(), F.col("n_chars")).otherwise(F.length("text").cast("long"))).select(*COLUMNS)
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that cover no benchmark item."""
+    bad = decontamination.contaminated(docs, table(spark, sf_dir, "benchmark")).select("doc_id").distinct()
+    return docs.join(bad, "doc_id", "left_anti").select(*COLUMNS)
+
+
 def pack_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.pack(docs, tokenizer_path())
 
 
-STAGES = [("packing", pack_documents)]
-#: The models and tilings of the stages have no SQL; tests compare with brute force.
+STAGES = [
+    ("toxicity", drop_toxic), ("ngram_join", keep_one_of_each_group), ("substring_dedup", remove_repeats),
+    ("decontamination", decontaminate), ("packing", pack_documents),
+]
+#: The model of the first stage has no SQL; tests compare the stages with brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    if not folder:  # only in tests: a cluster names its own
+        import tempfile
+
+        folder = "file://" + tempfile.mkdtemp(prefix="pipeline-")
+        spark.conf.set("spark.checkpoint.dir", folder)
     base = f"{folder.rstrip('/')}/pipeline-{uuid.uuid4().hex}"
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for step, (name, stage) in enumerate(STAGES):
+    docs = table(spark, sf_dir, "documents")
+    for step, (_, stage) in enumerate(STAGES):
         path = f"{base}/{step}"
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docsift.llm import chat, decontamination, fingerprints, licenses, ngram_join, packing, substring_dedup, token_counts
+from docsift.llm import chat, decontamination, fingerprints, licenses, ngram_join, packing, quality, substring_dedup, token_counts, toxicity
 from docsift.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -64,3 +64,13 @@ def op4_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op9_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
     return ngram_join.join_components(table(spark, folder, "documents"))
+
+
+@query
+def op7_quality(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.classify(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query
+def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.classify(table(spark, folder, "documents"), table(spark, folder, "labels"))
