@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docsift.llm import decontamination, ngram_join, packing, substring_dedup, toxicity
-from docsift.llm.common import table
+from docsift.llm.common import shared_folder, table
 from docsift.llm.queries import tokenizer_path
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -55,13 +55,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:  # only in tests: a cluster names its own
-        import tempfile
-
-        folder = "file://" + tempfile.mkdtemp(prefix="pipeline-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    base = f"{folder.rstrip('/')}/pipeline-{uuid.uuid4().hex}"
+    base = f"{shared_folder(spark)}/pipeline-{uuid.uuid4().hex}"
     docs = table(spark, sf_dir, "documents")
     for step, (_, stage) in enumerate(STAGES):
         path = f"{base}/{step}"

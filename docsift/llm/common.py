@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import tempfile
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
@@ -24,14 +25,20 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that the cluster names in ``spark.checkpoint.dir``; where it is unset, as in tests, one of our own."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        folder = "file://" + tempfile.mkdtemp(prefix="shared-")
+        spark.conf.set("spark.checkpoint.dir", folder)
+    return folder.rstrip("/")
+
+
 def shared(df: DataFrame) -> DataFrame:
-    """Cuts the lineage in the folder of ``spark.checkpoint.dir``; a test session without one must set it."""
-    spark = df.sparkSession
-    if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if not folder:
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        spark.sparkContext.setCheckpointDir(folder)
+    """Cuts the lineage by a checkpoint in the shared folder."""
+    context = df.sparkSession.sparkContext
+    if context._jsc.sc().getCheckpointDir().isEmpty():
+        context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint()
 
 
