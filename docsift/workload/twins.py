@@ -113,7 +113,7 @@ _CLEARED = """statuses AS (SELECT t.doc_id, coalesce(l.n, 0) AS n_fields, coales
   LEFT JOIN (SELECT doc_id, count(*) AS n, count(*) FILTER (WHERE confidence < 0.85) AS low FROM links GROUP BY doc_id) l ON l.doc_id = t.doc_id)"""
 _STATUS = "CASE WHEN n_flagged > 0 THEN 'MANUAL_REVIEW_REQUIRED' ELSE 'CLEARED' END"
 
-EMAIL = r"[a-zA-Z0-9_.+-]+@[a-zA-Z0-9-]+\.[a-zA-Z0-9.-]+"
+EMAIL = r"[a-zA-Z0-9_.+-]+@[a-zA-Z0-9-]+\.[a-zA-Z0-9-.]+"
 PHONE = r"\p{Nd}{3}-\p{Nd}{3}-\p{Nd}{4}"
 _PII = f"regexp_matches(text, '{EMAIL}') OR regexp_matches(text, '{PHONE}')"
 _NAME = "concat('[', CASE WHEN contains(v, '@') THEN 'EMAIL' ELSE 'PHONE' END, '_', base + list_position(vals, v), ']')"
