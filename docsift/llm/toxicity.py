@@ -144,7 +144,10 @@ def fit(texts: list[str], labels: list[int]) -> dict:
     rng = np.random.default_rng(11)
     tokens = [tokens_of(t) for t in texts]
     # odds for the network come from the other half, so that it learns how far they can be trusted
-    half = [i % 2 for i in range(len(texts))]
+    half = [0] * len(texts)
+    for y in (0, 1):
+        for turn, i in enumerate(i for i in range(len(texts)) if labels[i] == y):
+            half[i] = turn % 2
     model = {"word": rng.normal(0, 0.1, (SLOTS, DIM)).astype(np.float32), "char": rng.normal(0, 0.1, (SLOTS, DIM)).astype(np.float32)}
     xs, ms, ys = [], [], []
     for part in (0, 1):
