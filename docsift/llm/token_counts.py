@@ -10,6 +10,8 @@ library's, is encoded whole by the library.
 
 from __future__ import annotations
 
+import os
+import struct
 from collections import Counter
 from collections.abc import Iterator
 
@@ -31,7 +33,9 @@ class PreTokens:
         import regex
         from tokenizers import Tokenizer
 
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         self.library = Tokenizer.from_file(path)
+        self.many = getattr(self.library, "encode_batch_fast", self.library.encode_batch)
         self.split = regex.compile(PATTERN).findall
         self.odd = regex.compile(PLAIN).search
         self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
@@ -48,15 +52,22 @@ class PreTokens:
             return []
         if self.odd(text) or any(s in text for s in self.special):
             return [self.encode(text)]
-        table, cache, out = self.table, self.cache, []
+        cache, tokens = self.cache, self.split(text)
         if len(cache) > CACHE:
             cache.clear()
-        for token in self.split(text):
-            ids = table.get(token) or cache.get(token)
-            if ids is None:
-                ids = cache[token] = self.encode(token)
-            out.append(ids)
-        return out
+        ids = list(map(self.table.get, tokens)) if self.table else list(map(cache.get, tokens))
+        left = [at for at, known in enumerate(ids) if known is None]
+        if self.table:
+            for at in left:
+                ids[at] = cache.get(tokens[at])
+        missing = list({tokens[at] for at in left if ids[at] is None})
+        if missing:
+            for token, found in zip(missing, self.many(missing, add_special_tokens=False)):
+                cache[token] = struct.pack(f"<{len(found.ids)}I", *found.ids)
+            for at in left:
+                if ids[at] is None:
+                    ids[at] = cache[tokens[at]]
+        return ids
 
 
 def frequent(docs: DataFrame, path: str, text: str = "text") -> dict[str, bytes]:
