@@ -4,19 +4,22 @@ A document's set holds its distinct shingles of ``size`` words (A-Z lowered); a
 shingle; a null or wordless text has an empty set and no link. Two documents link when
 ``100 * intersection >= percent * union``.
 
-1. Documents with equal sets form a class, told by two 64-bit sums of mixed hashes and the size;
-   only the class's smallest id goes on.
-2. Shingles are dealt by hash. Shingles of one class alone can't overlap anything; a class whose
-   shared shingles are fewer than the threshold asks of its set cannot link and leaves.
-3. The rest are ordered globally by (frequency, hash); each class looks for partners at the first
-   shingles of its order only (the prefix that any partner must share).
-4. The global order is cut into fragments. Each fragment counts its own overlap of a pair; the
-   counts are summed per pair.
-5. Pairs are first built with the most central class of each prefix shingle (one pair per member).
-   What these links join is one component; then only pairs of different components are built, so
-   a group of many near copies doesn't become all its pairs, and no component is lost.
-
-Repeated rows and ties are equal sets and share a class; the smallest id stands for them.
+1. One pass gives each document the size of its set and two 64-bit sums of mixed hashes; equal sets
+   form a class, and only the class's smallest id goes on. The same pass passes on at most
+   ``SUMMARY`` counts a task, from which at most ``HEAVY`` frequent shingles are broadcast.
+2. The global order puts these frequent shingles last, by count, and all others before them by
+   hash. Any order is right; this one keeps common passages out of the prefixes. A class leaves
+   its task with the prefix of its order only, which any partner must share.
+3. Prefix shingles of one class alone are dropped. Pairs are first built with the most central
+   class of each prefix shingle (one pair per member); what these links join is one component.
+   Then all pairs of different components are built, so a group of many near copies doesn't become
+   all its pairs, and no component is lost.
+4. The prefix is the first fragment of the order: its count per pair bounds the whole overlap, and
+   pairs below the threshold leave. For the rest, every fragment of the order counts its own
+   overlap, and the counts are summed per pair.
+
+Repeated rows and ties are equal sets and share a class; the smallest id stands for them. Ids are
+unique but for equal rows; rows that share an id and differ are compared by the least text.
 """
 
 from __future__ import annotations
@@ -25,12 +28,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docsift.llm.common import ascii_lower, gram_hashes, shared, word_hashes, words
 
-FRAGMENTS, PIVOT_ROUNDS = 4, 2
+FRAGMENTS, PIVOT_ROUNDS, HEAVY, SUMMARY = 4, 2, 16_384, 1_024
 
 
 def shingle_set(text: str | None, size: int) -> np.ndarray:
@@ -40,19 +43,87 @@ def shingle_set(text: str | None, size: int) -> np.ndarray:
     return np.unique(gram_hashes(word_hashes(tokens), min(size, len(tokens))).view(np.int64))
 
 
-def shingle_sets(docs: DataFrame, size: int) -> DataFrame:
-    """doc_id, n, first and second (the digest of the set), shingles."""
+def _most_frequent(values: np.ndarray, counts: np.ndarray, keep: int) -> tuple[np.ndarray, np.ndarray]:
+    values, at = np.unique(values, return_inverse=True)
+    counts = np.bincount(at, weights=counts, minlength=len(values)).astype(np.int64)
+    top = np.argsort(-counts, kind="stable")[:keep]
+    return values[top], counts[top]
 
-    def sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+
+def set_digests(docs: DataFrame, size: int) -> DataFrame:
+    """doc_id, n, first and second (the digest of the set) per row; rows with n = -1 are shingles and their counts."""
+
+    def digests(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        top, held, waiting = (np.zeros(0, np.int64), np.zeros(0, np.int64)), [], 0
         for batch in batches:
             found = [shingle_set(t, size) for t in batch["text"]]
             mixed = [f.view(np.uint64) * np.uint64(0x94D049BB133111EB) for f in found]
             yield pd.DataFrame({
                 "doc_id": batch["doc_id"], "n": [len(f) for f in found], "first": [int(f.sum()) for f in found],
-                "second": [int((m ^ (m >> np.uint64(32))).sum().view(np.int64)) for m in mixed], "shingles": found,
+                "second": [int((m ^ (m >> np.uint64(32))).sum().view(np.int64)) for m in mixed],
             })
+            held += found
+            waiting += sum(map(len, found))
+            if waiting > 2_000_000:
+                new = np.concatenate(held)
+                top, held, waiting = _most_frequent(np.r_[top[0], new], np.r_[top[1], np.ones(len(new), np.int64)], 64 * SUMMARY), [], 0
+        new = np.concatenate([np.zeros(0, np.int64), *held])
+        top = _most_frequent(np.r_[top[0], new], np.r_[top[1], np.ones(len(new), np.int64)], SUMMARY)
+        often = top[1] > 1
+        yield pd.DataFrame({"doc_id": 0, "n": -1, "first": top[0][often], "second": top[1][often]})
+
+    return docs.select("doc_id", "text").mapInPandas(digests, "doc_id long, n long, first long, second long")
+
+
+def in_order(shingles: np.ndarray, heavy: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """The set in the global order, and the fragment of each shingle; ``heavy`` has sorted shingles and their ranks."""
+    known, ranks = heavy
+    rank = np.zeros(len(shingles), np.int64)
+    if len(known):
+        near = np.minimum(np.searchsorted(known, shingles), len(known) - 1)
+        rank = np.where(known[near] == shingles, ranks[near], 0)
+    turn = np.lexsort((shingles, rank))
+    fragment = np.where(rank > 0, FRAGMENTS, (shingles >> 32) // (2**32 // FRAGMENTS) + FRAGMENTS // 2)
+    return shingles[turn], fragment[turn]
 
-    return docs.select("doc_id", "text").mapInPandas(sets, "doc_id long, n long, first long, second long, shingles array<long>")
+
+def least_overlap(n: Column, percent: int) -> Column:
+    return F.floor((n * percent + 99) / 100)
+
+
+def prefixes(docs: DataFrame, size: int, percent: int, heavy) -> DataFrame:
+    """rep, n, position, h: the prefix of every set in the global order."""
+
+    def first(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for at in range(0, len(batch), 500):
+                part = batch.iloc[at : at + 500]
+                sets = [shingle_set(t, size) for t in part["text"]]
+                n = np.array([len(s) for s in sets], np.int64)
+                long = n - (n * percent + 99) // 100 + (n > 0)
+                found = [in_order(s, heavy.value)[0][:k] for s, k in zip(sets, long)]
+                yield pd.DataFrame({
+                    "rep": np.repeat(part["doc_id"].to_numpy(), long), "n": np.repeat(n, long),
+                    "position": np.concatenate([np.arange(1, k + 1) for k in long]), "h": np.concatenate(found),
+                })
+
+    return docs.mapInPandas(first, "rep long, n long, position int, h long")
+
+
+def fragments(docs: DataFrame, size: int, heavy) -> DataFrame:
+    """rep, fragment, part: every set cut along the global order."""
+
+    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for at in range(0, len(batch), 500):
+                rows = []
+                for doc, text in batch.iloc[at : at + 500].itertuples(index=False):
+                    ordered, fragment = in_order(shingle_set(text, size), heavy.value)
+                    for f in np.unique(fragment):
+                        rows.append((doc, int(f), ordered[fragment == f]))
+                yield pd.DataFrame(rows, columns=["rep", "fragment", "part"])
+
+    return docs.mapInPandas(cut, "rep long, fragment int, part array<long>")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -69,46 +140,63 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
-def overlaps(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def overlaps(pairs: DataFrame, parts: DataFrame, percent: int) -> DataFrame:
     """The pairs a, b whose overlap, summed over fragments, reaches the threshold."""
-    left = sets.select(F.col("rep").alias("a"), "fragment", "n", F.col("part").alias("part_a"))
-    right = sets.select(F.col("rep").alias("b"), "fragment", F.col("n").alias("m"), F.col("part").alias("part_b"))
-    partial = pairs.join(left, "a").join(right, ["b", "fragment"]).select("a", "b", "n", "m", F.size(F.array_intersect("part_a", "part_b")).alias("common"))
-    summed = partial.groupBy("a", "b").agg(F.sum("common").alias("common"), F.max("n").alias("n"), F.max("m").alias("m"))
-    return summed.filter(F.col("common") * 100 >= percent * (F.col("n") + F.col("m") - F.col("common"))).select("a", "b")
+    left = parts.select(F.col("rep").alias("a"), "fragment", F.col("part").alias("part_a"))
+    right = parts.select(F.col("rep").alias("b"), "fragment", F.col("part").alias("part_b"))
+    partial = pairs.join(left, "a").join(right, ["b", "fragment"]).select("a", "b", "needed", F.size(F.array_intersect("part_a", "part_b")).alias("common"))
+    return partial.groupBy("a", "b", "needed").agg(F.sum("common").alias("common")).filter("common >= needed").select("a", "b")
+
+
+def candidates(left: DataFrame, right: DataFrame, percent: int, both_ways: bool) -> DataFrame:
+    """a, b, needed: pairs over equal prefix shingles whose bounds allow a link; sides have x, n, i and y, m, j.
+
+    ``both_ways``: the sides are one table, so that each pair comes twice and once is kept."""
+    n, m, i, j = (F.col(c) for c in "nmij")
+    needed = F.floor(((n + m) * percent + 99 + percent) / (100 + percent))
+    fits = (F.least(n, m) * 100 >= F.greatest(n, m) * percent) & (F.least(i, j) + F.least(n - i, m - j) >= needed)
+    fits = fits & (F.col("x") < F.col("y")) if both_ways else fits
+    rows = left.join(right.withColumnRenamed("h", "h_y"), (F.col("h") == F.col("h_y")) & (F.col("label") != F.col("label_y")) & fits)
+    bound = F.greatest(least_overlap(n, percent), least_overlap(m, percent)) - 1
+    rows = rows.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), needed.alias("needed"), bound.alias("bound"))
+    return rows.groupBy("a", "b", "needed", "bound").agg(F.count("*").alias("seen")).filter("seen + bound >= needed").select("a", "b", "needed")
 
 
 def join_components(docs: DataFrame, size: int = 4, percent: int = 85) -> DataFrame:
     """doc_id, n_shingles, component_id for every row."""
-    sets = shingle_sets(docs, size)
-    classes = sets.select("doc_id", "n", "first", "second")
-    reps = classes.filter("n > 0").groupBy("n", "first", "second").agg(F.min("doc_id").alias("rep"))
-    reps = shared(reps)
-    members = shared(classes.join(reps, ["n", "first", "second"], "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("rep", "doc_id").alias("rep")))
-    kept = sets.join(reps.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi").select("doc_id", "n", F.explode("shingles").alias("h"))
-    kept = kept.withColumn("df", F.count("*").over(Window.partitionBy("h"))).filter("df > 1")
-    common = shared(kept.select(F.col("doc_id").alias("rep"), "n", "h", "df").distinct())
-    able = common.groupBy("rep").agg(F.count("*").alias("n_common"), F.max("n").alias("n")).filter(F.col("n_common") * 100 >= percent * F.col("n"))
-    rows = common.join(able.select("rep", "n_common"), "rep")
-    position = F.row_number().over(Window.partitionBy("rep").orderBy("df", "h")) + F.col("n") - F.col("n_common")
-    rows = shared(rows.withColumn("position", position))
-    fragment = F.pmod(F.shiftrightunsigned("h", 8), F.lit(FRAGMENTS))
-    parts = shared(rows.groupBy("rep", "n", fragment.alias("fragment")).agg(F.collect_list("h").alias("part")))
-    least = F.ceil(F.col("n") * percent / 100.0)
-    prefix = shared(rows.filter(F.col("position") <= F.col("n") - least + 1).select("rep", "n", "n_common", "h"))
+    session, texts = docs.sparkSession, docs.select("doc_id", "text")
+    digests = shared(set_digests(texts, size))
+    rows = digests.filter("n < 0").groupBy("first").agg(F.sum("second").alias("n")).orderBy(F.desc("n"), "first").limit(HEAVY).collect()
+    often = sorted((r["first"], len(rows) - at) for at, r in enumerate(rows))
+    heavy = session.sparkContext.broadcast((np.array([h for h, _ in often], np.int64), np.array([r for _, r in often], np.int64)))
+
+    classes = digests.filter("n >= 0")
+    reps = shared(classes.filter("n > 0").groupBy("n", "first", "second").agg(F.min("doc_id").alias("rep")))
+    members = classes.join(reps, ["n", "first", "second"], "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("rep", "doc_id").alias("rep"))
+
+    def of(ids: DataFrame) -> DataFrame:
+        return texts.join(ids, "doc_id", "left_semi").groupBy("doc_id").agg(F.min("text").alias("text"))
+
+    whole = shared(prefixes(of(reps.select(F.col("rep").alias("doc_id"))), size, percent, heavy))
+    common = whole.groupBy("h").agg(F.min("rep").alias("low"), F.max("rep").alias("high"), F.count("*").alias("df")).filter("low < high").select("h", "df")
+    prefix = shared(whole.join(common, "h"))
+    rank = prefix.groupBy("rep").agg((-F.count("*") / (F.max("n") - least_overlap(F.max("n"), percent) + 1)).alias("lone"), (-F.avg("df")).alias("rare"))
+    prefix = shared(prefix.join(rank, "rep").drop("df"))
     links, labels = None, prefix.select(F.col("rep").alias("node"), F.col("rep").alias("label")).distinct()
     for round_ in range(PIVOT_ROUNDS + 1):
-        now = prefix.join(labels, prefix.rep == labels.node).select("rep", "n", "n_common", "h", "label")
+        now = prefix.join(labels, prefix.rep == labels.node).drop("node")
+        left = now.select("h", F.col("rep").alias("x"), "n", F.col("position").alias("i"), "label")
         if round_ < PIVOT_ROUNDS:
-            centre = F.min(F.struct((-F.col("n_common") / F.col("n")).alias("rank"), "rep", "n", "label")).alias("pivot")
-            pivots = (now if round_ == 0 else now.filter(F.col("rep") != F.col("label"))).groupBy("h").agg(centre)
-            pairs = now.join(pivots, "h").filter("label <> pivot.label").select("n", F.col("pivot.n").alias("m"), F.col("rep").alias("x"), F.col("pivot.rep").alias("y"))
+            free = now if round_ == 0 else now.filter("rep <> label")
+            pivot = F.min(F.struct("lone", "rare", "rep", F.col("n").alias("m"), F.col("position").alias("j"), "label")).alias("p")
+            other = free.groupBy("h").agg(pivot).select("h", F.col("p.rep").alias("y"), "p.m", "p.j", F.col("p.label").alias("label_y"))
         else:
-            other = now.select("h", F.col("rep").alias("y"), F.col("n").alias("m"), F.col("label").alias("label_y"))
-            pairs = now.withColumnRenamed("rep", "x").join(other, "h").filter("x < y and label <> label_y")
-        fits = F.least("n", "m") * 100 >= percent * F.greatest("n", "m")
-        pairs = pairs.filter(fits).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-        found = shared(overlaps(pairs, parts, percent))
+            split = now.groupBy("h").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high").select("h")
+            left = shared(left.join(split, "h", "left_semi"))
+            other = left.select("h", F.col("x").alias("y"), F.col("n").alias("m"), F.col("i").alias("j"), F.col("label").alias("label_y"))
+        pairs = shared(candidates(left, other, percent, round_ == PIVOT_ROUNDS))
+        ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+        found = shared(overlaps(pairs, shared(fragments(of(ids), size, heavy)), percent))
         links = found if links is None else links.union(found)
         joined = components(links)
         labels = prefix.select("rep").distinct().join(joined, F.col("rep") == F.col("node"), "left").select(F.col("rep").alias("node"), F.coalesce("label", "rep").alias("label"))
