@@ -4,10 +4,16 @@ A window is ``size`` consecutive words; a word goes if a window that covers it a
 document with a smaller id. Broadcasting automata of the whole corpus to every document would be
 quadratic, so the reference is sharded by content: each window belongs to the anchor (the least
 hash of its inner word grams), and equal windows have equal anchors. Runs of windows with one
-anchor are segments. Anchors that only one document has are dropped after one narrow shuffle of
-hashes. The distinct segments of an anchor form a reference shard: a generalised suffix automaton
-whose states hold the smallest document id. The segments stream through it, and their matching
-statistics give, per window, the first document that holds it.
+anchor are segments.
+
+1. Of equal texts only the one with the smallest id goes on; the others lose every window.
+2. Anchors that only one document has are dropped after narrow shuffles of hashes.
+3. An anchor with a single segment needs no text: its first document is known.
+4. The distinct segments of any other anchor form a reference shard: a generalised suffix automaton
+   whose states hold the smallest document id. The segments stream through it, and their matching
+   statistics give, per window, the first document that holds it.
+5. An anchor with more than ``SPLIT`` distinct segments is dealt by whole windows, one shard for each,
+   so that no shard grows with the corpus.
 
 Null or wordless text has no words. Equal rows keep the words of the row with the smaller id; rows
 with one id don't cut each other. Texts that lose nothing keep their white space.
@@ -25,20 +31,25 @@ from pyspark.sql import functions as F
 
 from docsift.llm.common import gram_hashes, shared, word_hashes, words
 
-INNER = 5
+INNER, SPLIT = 5, 1_000
 
 
-def segments(tokens: list[str], size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """anchor, first window and number of windows of every segment of a text."""
+def segments(tokens: list[str], size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """anchor, first window, number of windows and digest of every segment of a text."""
     if len(tokens) < size:
         empty = np.zeros(0, np.int64)
-        return empty, empty, empty
+        return empty, empty, empty, empty
     inner = min(INNER, size)
-    grams = gram_hashes(word_hashes(tokens), inner)
+    hashes = word_hashes(tokens)
+    grams = gram_hashes(hashes, inner)
     span = size - inner + 1
     at = np.lib.stride_tricks.sliding_window_view(grams, span).argmin(axis=1) + np.arange(len(grams) - span + 1)
     starts = np.flatnonzero(np.r_[True, at[1:] != at[:-1]])
-    return grams[at[starts]].view(np.int64), starts, np.diff(np.r_[starts, len(at)])
+    counts = np.diff(np.r_[starts, len(at)])
+    # the first and the last window overlap and cover the segment
+    whole = gram_hashes(hashes, size)
+    digest = (whole[starts] * np.uint64(0x9E3779B97F4A7C15) + whole[starts + counts - 1]) * np.uint64(0x94D049BB133111EB) + counts.astype(np.uint64)
+    return grams[at[starts]].view(np.int64), starts, counts, digest.view(np.int64)
 
 
 class SuffixAutomaton:
@@ -102,91 +113,100 @@ class SuffixAutomaton:
         return out
 
 
-def _digest(text: str) -> int:
-    return int.from_bytes(hashlib.blake2b(text.encode(), digest_size=8).digest(), "little", signed=True)
-
+def repeated_windows(docs: DataFrame, size: int = 13, split: int = SPLIT) -> DataFrame:
+    """doc_id, windows: the places of the windows that a document with a smaller id holds too.
 
-def repeated_windows(docs: DataFrame, size: int = 13) -> DataFrame:
-    """doc_id, windows: the places of the windows that a document with a smaller id holds too."""
+    ``docs`` has no two documents with one text."""
 
     def anchors(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            found = [segments(words(t), size) for t in batch["text"]]
-            parts = [x for x in zip(batch["doc_id"], found) if len(x[1][0])]
-            if parts:
-                yield pd.DataFrame({
-                    "doc_id": np.concatenate([np.full(len(f[0]), d) for d, f in parts]), "anchor": np.concatenate([f[0] for _, f in parts]),
-                    "start": np.concatenate([f[1] for _, f in parts]), "n": np.concatenate([f[2] for _, f in parts]),
-                })
+            for at in range(0, len(batch), 500):
+                part = batch.iloc[at : at + 500]
+                found = [segments(words(t), size) for t in part["text"]]
+                anchor, start, n, digest = (np.concatenate(x) for x in zip(*found))
+                yield pd.DataFrame({"doc_id": np.repeat(part["doc_id"].to_numpy(), [len(f[0]) for f in found]), "anchor": anchor, "start": start, "n": n, "digest": digest})
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            rows = []
             for doc, text, places in zip(batch["doc_id"], batch["text"], batch["places"]):
-                tokens = words(text)
+                tokens, rows = words(text), []
+                hashes = gram_hashes(word_hashes(tokens), size).view(np.int64)
                 for p in places:
-                    segment = " ".join(tokens[p["start"] : p["start"] + p["n"] + size - 1])
-                    rows.append((p["anchor"], _digest(segment), segment, doc, p["start"]))
-            yield pd.DataFrame(rows, columns=["anchor", "digest", "segment", "doc_id", "start"])
+                    start, n = p["start"], p["n"]
+                    if p["hot"]:
+                        rows += [(p["anchor"], hashes[k], p["digest"], k - start, " ".join(tokens[k : k + size]), doc) for k in range(start, start + n)]
+                    else:
+                        rows.append((p["anchor"], 0, p["digest"], 0, " ".join(tokens[start : start + n + size - 1]), doc))
+                yield pd.DataFrame(rows, columns=["anchor", "window", "digest", "shift", "segment", "first"])
 
     def shard(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        def solve(anchor, group):
-            if len(group) == 1:
-                digest, segment, first = group[0]
-                return [(anchor, digest, [first] * (segment.count(" ") + 2 - size))]
+        def solve(key, group):
             automaton = SuffixAutomaton()
-            split = [(digest, segment.split(" "), first) for digest, segment, first in group]
-            for _, symbols, first in split:
-                automaton.add(symbols, first)
+            parts = [(digest, shift, segment.split(" "), first) for digest, shift, segment, first in group]
+            known = {}
+            for _, _, symbols, first in parts:
+                at = tuple(symbols)
+                if known.get(at, first + 1) > first:
+                    automaton.add(symbols, first)
+                    known[at] = first
             automaton.finish()
-            return [(anchor, digest, automaton.first_documents(symbols, size)) for digest, symbols, _ in split]
+            return [(key[0], digest, shift, automaton.first_documents(symbols, size)) for digest, shift, symbols, _ in parts]
 
         current, group = None, []
         for batch in batches:
             rows = []
-            for anchor, digest, segment, first in batch.itertuples(index=False):
-                if group and anchor != current:
+            for anchor, window, digest, shift, segment, first in batch.itertuples(index=False):
+                if group and (anchor, window) != current:
                     rows += solve(current, group)
                     group = []
-                current = anchor
-                group.append((digest, segment, first))
-            yield pd.DataFrame(rows, columns=["anchor", "digest", "firsts"])
+                current = (anchor, window)
+                group.append((digest, shift, segment, first))
+            yield pd.DataFrame(rows, columns=["anchor", "digest", "shift", "firsts"])
         if group:
-            yield pd.DataFrame(solve(current, group), columns=["anchor", "digest", "firsts"])
-
-    texts = docs.select("doc_id", "text")
-    same = Window.partitionBy("anchor")
-    found = texts.mapInPandas(anchors, "doc_id long, anchor long, start int, n int")
-    found = found.withColumn("low", F.min("doc_id").over(same)).withColumn("high", F.max("doc_id").over(same)).filter("low < high")
-    places = found.groupBy("doc_id").agg(F.collect_list(F.struct("anchor", "start", "n")).alias("places"))
-    occurrences = shared(texts.join(places, "doc_id").mapInPandas(cut, "anchor long, digest long, segment string, doc_id long, start int"))
-    distinct = occurrences.groupBy("anchor", "digest", "segment").agg(F.min("doc_id").alias("first"))
-    sorted_ = distinct.repartition("anchor").sortWithinPartitions("anchor", "first", "digest").select("anchor", "digest", "segment", "first")
-    firsts = sorted_.mapInPandas(shard, "anchor long, digest long, firsts array<long>")
-    hits = occurrences.select("anchor", "digest", "doc_id", "start").join(firsts, ["anchor", "digest"])
-    hits = hits.withColumn("windows", F.expr("transform(filter(sequence(0, size(firsts) - 1), k -> firsts[k] < doc_id), k -> k + start)"))
-    return hits.filter("size(windows) > 0").groupBy("doc_id").agg(F.flatten(F.collect_list("windows")).alias("windows"))
+            yield pd.DataFrame(solve(current, group), columns=["anchor", "digest", "shift", "firsts"])
+
+    texts = docs.select("doc_id", "text").filter("doc_id is not null")
+    found = shared(texts.mapInPandas(anchors, "doc_id long, anchor long, start int, n int, digest long"))
+    distinct = shared(found.groupBy("anchor", "digest").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")))
+    kinds = distinct.groupBy("anchor").agg(F.count("*").alias("kinds"), F.min("low").alias("least"), F.max("high").alias("most")).filter("least < most")
+    distinct = shared(distinct.join(kinds.select("anchor", "kinds"), "anchor").select("anchor", "digest", "low", "kinds"))
+    met = shared(found.join(distinct, ["anchor", "digest"]))
+    told = met.filter("kinds = 1 and low < doc_id").select("doc_id", F.expr("sequence(start, start + n - 1)").alias("windows"))
+
+    asked = met.filter("kinds > 1")
+    shown = asked.filter("doc_id = low").groupBy("doc_id", "anchor", "digest").agg(F.min("start").alias("start"), F.max("n").alias("n"), (F.max("kinds") > split).alias("hot"))
+    places = shown.groupBy("doc_id").agg(F.collect_list(F.struct("anchor", "digest", "start", "n", "hot")).alias("places"))
+    pieces = texts.join(places, "doc_id").mapInPandas(cut, "anchor long, window long, digest long, shift int, segment string, first long")
+    dealt = pieces.repartition("anchor", "window").sortWithinPartitions("anchor", "window", "first", "digest", "shift")
+    firsts = shared(dealt.mapInPandas(shard, "anchor long, digest long, shift int, firsts array<long>"))
+    hits = asked.select("anchor", "digest", "doc_id", "start").join(firsts, ["anchor", "digest"])
+    hits = hits.select("doc_id", F.expr("transform(filter(sequence(0, size(firsts) - 1), k -> firsts[k] < doc_id), k -> k + start + shift)").alias("windows"))
+    return told.union(hits.filter("size(windows) > 0")).groupBy("doc_id").agg(F.flatten(F.collect_list("windows")).alias("windows"))
 
 
 def remove_repeats(docs: DataFrame, size: int = 13) -> DataFrame:
     """The rows with ``kept`` (the text left), n_words and n_removed."""
-    hits = repeated_windows(docs, size)
     kind = docs.select("doc_id").schema[0].dataType.simpleString()
+    rows = docs.select("doc_id", "text", F.md5(F.encode("text", "UTF-8")).alias("sum"))
+    low = shared(rows.select("doc_id", "sum").groupBy("sum").agg(F.min("doc_id").alias("low")))
+    firsts = rows.join(low.select(F.col("low").alias("doc_id"), "sum"), ["doc_id", "sum"], "left_semi").dropDuplicates(["doc_id", "sum"])
+    hits = repeated_windows(firsts, size)
+    marked = rows.join(low, "sum", "left").select("doc_id", "text", (F.col("low") < F.col("doc_id")).alias("copy")).join(hits, "doc_id", "left")
 
     def remove(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            rows = []
-            for doc, text, windows in zip(batch["doc_id"], batch["text"], batch["windows"]):
+            out = []
+            for doc, text, copy, windows in zip(batch["doc_id"], batch["text"], batch["copy"], batch["windows"]):
                 tokens = words(text)
                 gone = np.zeros(len(tokens) + 1, np.int64)
-                if windows is not None and len(windows):
-                    at = np.unique(np.asarray(windows))
+                at = np.arange(max(0, len(tokens) - size + 1)) if copy is not None and copy else np.unique(np.asarray(windows, np.int64)) if windows is not None else ()
+                if len(at):
                     np.add.at(gone, at, 1)
                     np.add.at(gone, np.minimum(at + size, len(tokens)), -1)
                 drop = np.cumsum(gone)[:-1] > 0
                 left = [t for t, d in zip(tokens, drop) if not d] if drop.any() else tokens
                 joined = " ".join(left)
-                rows.append((doc, text if not drop.any() else joined, hashlib.sha256(joined.encode()).hexdigest(), len(tokens), int(drop.sum())))
-            yield pd.DataFrame(rows, columns=["doc_id", "kept", "kept_sha256", "n_words", "n_removed"])
+                out.append((doc, text if not drop.any() else joined, hashlib.sha256(joined.encode()).hexdigest(), len(tokens), int(drop.sum())))
+            yield pd.DataFrame(out, columns=["doc_id", "kept", "kept_sha256", "n_words", "n_removed"])
 
-    return docs.select("doc_id", "text").join(hits, "doc_id", "left").mapInPandas(remove, f"doc_id {kind}, kept string, kept_sha256 string, n_words long, n_removed long")
+    return marked.mapInPandas(remove, f"doc_id {kind}, kept string, kept_sha256 string, n_words long, n_removed long")

@@ -7,6 +7,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from docsift.llm import chat, decontamination, fingerprints, licenses, ngram_join, packing, quality, substring_dedup, token_counts, toxicity
 from docsift.llm.common import words
@@ -50,10 +51,14 @@ def test_substring_removal(docs, nothing):
         gone = {k for j in range(len(w) - 12) if first[tuple(w[j : j + 13])] < i for k in range(j, j + 13)}
         want[i] = hashlib.sha256(" ".join(x for k, x in enumerate(w) if k not in gone).encode()).hexdigest()
     assert {r.doc_id: r.kept_sha256 for r in substring_dedup.remove_repeats(docs).collect()} == want
+    # the shards of whole windows find the same places
+    unique = docs.groupBy("text").agg(F.min("doc_id").alias("doc_id"))
+    whole, dealt = ({r.doc_id: sorted(set(r.windows)) for r in substring_dedup.repeated_windows(unique, split=n).collect()} for n in (10**6, 1))
+    assert whole == dealt and whole
     assert substring_dedup.remove_repeats(nothing).count() == 0
 
 
-def test_ngram_join(docs):
+def test_ngram_join(docs, nothing):
     sets = {i: set(ngram_join.shingle_set(t, 4).tolist()) for i, t in enumerate(texts())}
     root = {i: i for i in sets}
     for _ in sets:
@@ -63,6 +68,7 @@ def test_ngram_join(docs):
                 root[a] = root[b] = min(root[a], root[b])
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.join_components(docs).collect()}
     assert got == {i: (len(s), root[i]) for i, s in sets.items()}
+    assert ngram_join.join_components(nothing).count() == 0
 
 
 def test_token_counts_and_packing(docs, nothing):
