@@ -61,3 +61,31 @@ def gram_hashes(hashes: np.ndarray, size: int) -> np.ndarray:
     value ^= value >> np.uint64(31)
     value *= np.uint64(0xBF58476D1CE4E5B9)
     return value ^ (value >> np.uint64(29))
+
+
+_STEP = 0x5851F42D4C957F2D
+_SPACE = np.zeros(256, bool)
+_SPACE[[0x20, *range(0x09, 0x0E)]] = True
+_BYTES = np.random.default_rng(97).integers(0, 2**64, 256, np.uint64)
+_LOWERED = _BYTES[[b + 32 if 65 <= b <= 90 else b for b in range(256)]]
+
+
+def hashes_of_texts(texts: list[str | None], lower: bool = False) -> list[np.ndarray]:
+    """A 64-bit hash per word of every text, the same in every process; ``lower`` takes A-Z as a-z.
+
+    White space is ASCII, so words are cut and hashed on the UTF-8 bytes: a polynomial over random
+    values of the bytes (modulo 2**64), by differences of running sums over all texts at once."""
+    encoded = [(t or "").encode("utf-8", "surrogatepass") + b" " for t in texts]
+    data = np.frombuffer(b"".join(encoded), np.uint8)
+    ends = np.cumsum([len(e) for e in encoded])
+    space = np.r_[True, _SPACE[data]]
+    edges = np.flatnonzero(space[1:] != space[:-1])
+    begin, end = edges[::2], edges[1::2]
+    powers = np.multiply.accumulate(np.full(len(data) + 1, _STEP, np.uint64))
+    sums = np.r_[np.uint64(0), np.cumsum((_LOWERED if lower else _BYTES)[data] * powers[1:], dtype=np.uint64)]
+    back = np.multiply.accumulate(np.full(len(data) + 1, pow(_STEP, -1, 2**64), np.uint64))
+    value = (sums[end] - sums[begin]) * back[begin] + (end - begin).astype(np.uint64)
+    value ^= value >> np.uint64(32)
+    value *= _MULTIPLIER
+    value ^= value >> np.uint64(29)
+    return np.split(value, np.searchsorted(begin, ends[:-1]))

@@ -31,16 +31,13 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from docsift.llm.common import ascii_lower, gram_hashes, shared, word_hashes, words
+from docsift.llm.common import gram_hashes, hashes_of_texts, shared
 
 FRAGMENTS, PIVOT_ROUNDS, HEAVY, SUMMARY = 4, 2, 16_384, 1_024
 
 
-def shingle_set(text: str | None, size: int) -> np.ndarray:
-    tokens = words(ascii_lower(text))
-    if not tokens:
-        return np.zeros(0, np.int64)
-    return np.unique(gram_hashes(word_hashes(tokens), min(size, len(tokens))).view(np.int64))
+def shingle_sets(texts: list[str | None], size: int) -> list[np.ndarray]:
+    return [np.unique(gram_hashes(h, min(size, len(h))).view(np.int64)) if len(h) else np.zeros(0, np.int64) for h in hashes_of_texts(texts, lower=True)]
 
 
 def _most_frequent(values: np.ndarray, counts: np.ndarray, keep: int) -> tuple[np.ndarray, np.ndarray]:
@@ -55,8 +52,8 @@ def set_digests(docs: DataFrame, size: int) -> DataFrame:
 
     def digests(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         top, held, waiting = (np.zeros(0, np.int64), np.zeros(0, np.int64)), [], 0
-        for batch in batches:
-            found = [shingle_set(t, size) for t in batch["text"]]
+        for batch in (whole.iloc[at : at + 500] for whole in batches for at in range(0, len(whole), 500)):
+            found = shingle_sets(list(batch["text"]), size)
             mixed = [f.view(np.uint64) * np.uint64(0x94D049BB133111EB) for f in found]
             yield pd.DataFrame({
                 "doc_id": batch["doc_id"], "n": [len(f) for f in found], "first": [int(f.sum()) for f in found],
@@ -98,7 +95,7 @@ def prefixes(docs: DataFrame, size: int, percent: int, heavy) -> DataFrame:
         for batch in batches:
             for at in range(0, len(batch), 500):
                 part = batch.iloc[at : at + 500]
-                sets = [shingle_set(t, size) for t in part["text"]]
+                sets = shingle_sets(list(part["text"]), size)
                 n = np.array([len(s) for s in sets], np.int64)
                 long = n - (n * percent + 99) // 100 + (n > 0)
                 found = [in_order(s, heavy.value)[0][:k] for s, k in zip(sets, long)]
@@ -117,8 +114,9 @@ def fragments(docs: DataFrame, size: int, heavy) -> DataFrame:
         for batch in batches:
             for at in range(0, len(batch), 500):
                 rows = []
-                for doc, text in batch.iloc[at : at + 500].itertuples(index=False):
-                    ordered, fragment = in_order(shingle_set(text, size), heavy.value)
+                part = batch.iloc[at : at + 500]
+                for doc, found in zip(part["doc_id"], shingle_sets(list(part["text"]), size)):
+                    ordered, fragment = in_order(found, heavy.value)
                     for f in np.unique(fragment):
                         rows.append((doc, int(f), ordered[fragment == f]))
                 yield pd.DataFrame(rows, columns=["rep", "fragment", "part"])

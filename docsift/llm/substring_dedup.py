@@ -29,18 +29,17 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from docsift.llm.common import gram_hashes, shared, word_hashes, words
+from docsift.llm.common import gram_hashes, hashes_of_texts, shared, words
 
 INNER, SPLIT = 5, 1_000
 
 
-def segments(tokens: list[str], size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """anchor, first window, number of windows and digest of every segment of a text."""
-    if len(tokens) < size:
+def segments(hashes: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """anchor, first window, number of windows and digest of every segment of a text with these word hashes."""
+    if len(hashes) < size:
         empty = np.zeros(0, np.int64)
         return empty, empty, empty, empty
     inner = min(INNER, size)
-    hashes = word_hashes(tokens)
     grams = gram_hashes(hashes, inner)
     span = size - inner + 1
     at = np.lib.stride_tricks.sliding_window_view(grams, span).argmin(axis=1) + np.arange(len(grams) - span + 1)
@@ -122,7 +121,7 @@ def repeated_windows(docs: DataFrame, size: int = 13, split: int = SPLIT) -> Dat
         for batch in batches:
             for at in range(0, len(batch), 500):
                 part = batch.iloc[at : at + 500]
-                found = [segments(words(t), size) for t in part["text"]]
+                found = [segments(h, size) for h in hashes_of_texts(list(part["text"]))]
                 anchor, start, n, digest = (np.concatenate(x) for x in zip(*found))
                 yield pd.DataFrame({"doc_id": np.repeat(part["doc_id"].to_numpy(), [len(f[0]) for f in found]), "anchor": anchor, "start": start, "n": n, "digest": digest})
 
@@ -130,7 +129,7 @@ def repeated_windows(docs: DataFrame, size: int = 13, split: int = SPLIT) -> Dat
         for batch in batches:
             for doc, text, places in zip(batch["doc_id"], batch["text"], batch["places"]):
                 tokens, rows = words(text), []
-                hashes = gram_hashes(word_hashes(tokens), size).view(np.int64)
+                hashes = gram_hashes(hashes_of_texts([text])[0], size).view(np.int64)
                 for p in places:
                     start, n = p["start"], p["n"]
                     if p["hot"]:

@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from docsift.llm import chat, decontamination, fingerprints, licenses, ngram_join, packing, quality, substring_dedup, token_counts, toxicity
-from docsift.llm.common import words
+from docsift.llm.common import ascii_lower, hashes_of_texts, words
 from docsift.llm.queries import tokenizer_path
 
 SCHEMA = "doc_id long, text string, lang string, anchor string, n long"
@@ -58,8 +58,20 @@ def test_substring_removal(docs, nothing):
     assert substring_dedup.remove_repeats(nothing).count() == 0
 
 
+def test_hashes_tell_words_apart():
+    some = [None, "", " \t ", "Ab aB é ", "x", "ab\x0bba\u00a0c", "é x", " aa aaa a" * 50]
+    for lower in (False, True):
+        found = hashes_of_texts(some, lower)
+        said = [words(ascii_lower(t) if lower else t) for t in some]
+        assert [len(f) for f in found] == [len(w) for w in said]
+        pairs = {(w, h) for ws, hs in zip(said, found) for w, h in zip(ws, hs.tolist())}
+        assert len(pairs) == len({w for w, _ in pairs}) == len({h for _, h in pairs})
+    alone = [hashes_of_texts([t])[0].tolist() for t in some]
+    assert alone == [f.tolist() for f in hashes_of_texts(some)] and hashes_of_texts([]) is not None
+
+
 def test_ngram_join(docs, nothing):
-    sets = {i: set(ngram_join.shingle_set(t, 4).tolist()) for i, t in enumerate(texts())}
+    sets = {i: {tuple(w[j : j + 4]) for j in range(max(1, len(w) - 3)) if w} for i, w in enumerate(words(ascii_lower(t)) for t in texts())}
     root = {i: i for i in sets}
     for _ in sets:
         for a, b in itertools.combinations(sets, 2):
