@@ -10,58 +10,107 @@ rows are used. Empty texts get a clean score; tables without both labels get the
 
 from __future__ import annotations
 
-import functools
-import math
 import re
-import zlib
 
 import numpy as np
 from pyspark.sql import DataFrame
 
 from docsift.llm import models
 
-SAMPLE, WINDOW, HIDDEN, SLOTS, DIM = 4000, 16, 8, 1 << 15, 4
+SAMPLE, WINDOW, HIDDEN, SLOTS, DIM, BLOCK = 4000, 16, 8, 1 << 15, 4, 1 << 13
+WIDE = 2 * DIM + 2
 WORD = re.compile(r"[^\W\d_]+")
 GRAMS = (4, 5)
+_BYTES = np.random.default_rng(31).integers(0, 2**64, 256, np.uint64)
+_STEP, _MIX = np.uint64(0x5851F42D4C957F2D), np.uint64(0x9E3779B97F4A7C15)
 
 
 def tokens_of(text: str) -> list[str]:
     return WORD.findall(text.lower())
 
 
-@functools.lru_cache(maxsize=300_000)
-def slots_of(word: str) -> tuple[int, list[int]]:
-    """The slot of a word, and those of its character n-grams (over the bytes of the word between marks)."""
-    padded, hashed = f"<{word}>".encode("utf-8", "surrogatepass"), zlib.crc32
-    return hashed(padded) % SLOTS, list({hashed(padded[i : i + n]) % SLOTS for n in GRAMS for i in range(max(1, len(padded) - n + 1))})
-
-
-def _odds(texts: list[list[str]], labels: list[int], parts) -> np.ndarray:
+def slots(words: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Slots of the words themselves, and per n-gram size those of their character n-grams (over the
+    bytes of the word between marks), word after word, each with its number per word."""
+    encoded = [f"<{w}>".encode("utf-8", "surrogatepass") for w in words]
+    spare = max(GRAMS) - 3
+    data = _BYTES[np.frombuffer(b"".join(e + bytes(spare) for e in encoded) + bytes(max(GRAMS)), np.uint8)]
+    lengths = np.fromiter(map(len, encoded), np.int64, len(encoded))
+    begins = np.cumsum(lengths + spare) - lengths - spare
+    place = np.arange(len(data)) - np.repeat(np.r_[begins, len(data)], np.r_[lengths + spare, max(GRAMS)])
+    powers = np.multiply.accumulate(np.full(int(lengths.max(initial=0)) + spare + 1, _STEP, np.uint64))
+    whole = np.add.reduceat(data * powers[np.maximum(place, 0)], begins)
+    out = [(_slot(whole), np.ones(len(words), np.int64))]
+    for size in GRAMS:
+        counts = np.maximum(lengths - size + 1, 1)
+        at = ragged(begins, counts)
+        value = np.zeros(len(at), np.uint64)
+        for step in range(size):
+            value = value * _STEP + data[at + step]
+        out.append((_slot(value), counts))
+    return out
+
+
+def _slot(value: np.ndarray) -> np.ndarray:
+    value = value ^ (value >> np.uint64(32))
+    return ((value * _MIX) >> np.uint64(64 - 15)).astype(np.uint16)
+
+
+def ragged(begins: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """begins[0], begins[0] + 1, ... (counts[0] of them), begins[1], ..."""
+    return np.repeat(begins - np.cumsum(counts) + counts, counts) + np.arange(counts.sum())
+
+
+def _present(texts: list[list[str]]) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Per text the distinct slots of its words and of their character n-grams."""
+    number: dict[str, int] = {}
+    rows = [np.fromiter((number.setdefault(t, len(number)) for t in set(tokens)), np.int64) for tokens in texts]
+    if not number:
+        return [(np.zeros(0, np.uint16),) * 2 for _ in texts]
+    (word, _), *grams = slots(list(number))
+    begins = [np.cumsum(counts) - counts for _, counts in grams]
+    return [(np.unique(word[at]), np.unique(np.concatenate([g[ragged(b[at], n[at])] for (g, n), b in zip(grams, begins)]))) for at in rows]
+
+
+def _odds(present: list[np.ndarray], labels: list[int]) -> np.ndarray:
     """Log odds of a slot by the share of texts of each label that have it, shrunk by support."""
     counts = np.zeros((2, SLOTS))
-    for tokens, y in zip(texts, labels):
-        if tokens:
-            counts[y, np.unique(np.concatenate([parts(t) for t in set(tokens)]))] += 1
+    for at, y in zip(present, labels):
+        counts[y, at] += 1
     n = np.bincount(labels, minlength=2)
     share = (counts + 0.5) / (n[:, None] + 1)
     support = counts.sum(axis=0)
-    return (np.log(share[1] / share[0]) * support / (support + 4)).astype(np.float32)
+    return np.clip(np.log(share[1] / share[0]) * support / (support + 4), -4, 4).astype(np.float32)
+
+
+class Inputs:
+    """Input rows of words under one model. Row 0 is no word. Known words are forgotten at ``LIMIT``."""
 
+    LIMIT = 200_000
 
-def inputs(model: dict, tokens: list[str], cache: dict) -> np.ndarray:
-    rows = []
-    for token in tokens:
-        row = cache.get(token)
-        if row is None:
-            if len(cache) > 200_000:
-                cache.clear()
-            word, slots = slots_of(token)
-            row = cache[token] = np.empty(2 * DIM + 2, np.float32)
-            chars = model["char"][slots]
-            row[:DIM], row[DIM:-2] = model["word"][word], chars[:, :DIM].sum(axis=0) / len(slots)
-            row[-2], row[-1] = model["word_odds"][word], chars[:, DIM].max()
-        rows.append(row)
-    return np.stack(rows) if rows else np.zeros((0, 2 * DIM + 2), np.float32)
+    def __init__(self, model: dict):
+        self.model, self.known = model, {}
+        self.rows = np.zeros((1, WIDE), np.float32)
+
+    def numbers(self, tokens: list[str]) -> np.ndarray:
+        """Row numbers of the tokens, valid until the next call."""
+        if len(self.known) > self.LIMIT:
+            self.known, self.rows = {}, self.rows[:1]
+        missing = [t for t in set(tokens) if t not in self.known]
+        if missing:
+            self.known.update(zip(missing, range(len(self.rows), len(self.rows) + len(missing))))
+            self.rows = np.concatenate([self.rows, self._fresh(missing)])
+        return np.fromiter(map(self.known.__getitem__, tokens), np.int64, len(tokens))
+
+    def _fresh(self, words: list[str]) -> np.ndarray:
+        (word, _), *grams = slots(words)
+        total, highest, count = np.zeros((len(words), DIM), np.float32), np.full(len(words), -np.inf, np.float32), 0
+        for at, counts in grams:
+            chars, begins = self.model["char"][at], np.cumsum(counts) - counts
+            total += np.add.reduceat(chars[:, :DIM], begins)
+            highest = np.maximum(highest, np.maximum.reduceat(chars[:, DIM], begins))
+            count = count + counts
+        return np.column_stack([self.model["word"][word], total / count[:, None], self.model["word_odds"][word], highest]).astype(np.float32)
 
 
 def windows(count: int) -> np.ndarray:
@@ -130,12 +179,22 @@ def gradients(x, mask, y, p):
     return g
 
 
-def cut(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """All overlapping windows of a text's inputs, and which places hold words."""
-    starts = windows(len(x))
-    padded = np.concatenate([x, np.zeros((starts[-1] + WINDOW - len(x), x.shape[1]), np.float32)]) if starts[-1] + WINDOW > len(x) else x
-    at = starts[:, None] + np.arange(WINDOW)
-    return padded[at], at < len(x)
+def cut(numbers: np.ndarray) -> np.ndarray:
+    """Row numbers of all overlapping windows of a text, 0 after its end."""
+    starts = windows(len(numbers))
+    padded = np.zeros(starts[-1] + max(WINDOW, len(numbers) - starts[-1]), np.int64)
+    padded[: len(numbers)] = numbers
+    return padded[starts[:, None] + np.arange(WINDOW)]
+
+
+def highest(cuts: list[np.ndarray], rows: np.ndarray, net: dict) -> np.ndarray:
+    """The highest logit of each text's windows."""
+    best = np.full(len(cuts), -np.inf)
+    owner, whole = np.repeat(np.arange(len(cuts)), [len(c) for c in cuts]), np.concatenate(cuts)
+    for at in range(0, len(whole), BLOCK):
+        part = whole[at : at + BLOCK]
+        np.maximum.at(best, owner[at : at + BLOCK], forward(rows[part], part > 0, net)[0])
+    return best
 
 
 def fit(texts: list[str], labels: list[int]) -> dict:
@@ -149,23 +208,24 @@ def fit(texts: list[str], labels: list[int]) -> dict:
         for turn, i in enumerate(i for i in range(len(texts)) if labels[i] == y):
             half[i] = turn % 2
     model = {"word": rng.normal(0, 0.1, (SLOTS, DIM)).astype(np.float32), "char": rng.normal(0, 0.1, (SLOTS, DIM)).astype(np.float32)}
-    xs, ms, ys = [], [], []
+    present = _present(tokens)
+    xs, ys = [], []
     for part in (0, 1):
         other = [i for i in range(len(texts)) if half[i] != part]
-        side = model | _with_odds(model, [tokens[i] for i in other], [labels[i] for i in other])
-        cache: dict = {}
+        side = Inputs(_with_odds(model, [present[i] for i in other], [labels[i] for i in other]))
         for i in (i for i in range(len(texts)) if half[i] == part and tokens[i]):
-            x, m = cut(inputs(side, tokens[i], cache))
-            top = (x[:, :, -2] + x[:, :, -1]).max(axis=1)
+            windows_ = cut(side.numbers(tokens[i]))
+            top = (side.rows[windows_, -2] + side.rows[windows_, -1]).max(axis=1)
             if labels[i]:
                 keep = np.argsort(-top)[:2]
             else:
-                keep = np.unique(np.r_[np.argsort(-top)[:8], rng.integers(0, len(x), 4)])
-            xs.append(x[keep])
-            ms.append(m[keep])
+                keep = np.unique(np.r_[np.argsort(-top)[:8], rng.integers(0, len(windows_), 4)])
+            xs.append((side.rows[windows_[keep]], windows_[keep] > 0))
             ys.append(np.full(len(keep), labels[i], np.float32))
-    x, mask, y = np.concatenate(xs), np.concatenate(ms), np.concatenate(ys)
-    size = 2 * DIM + 2
+    if not xs:
+        return {"prior": 0.0}
+    x, mask, y = (np.concatenate(part) for part in (*zip(*xs), ys))
+    size = WIDE
     wide = 2 * HIDDEN + size
     p = {"A": rng.normal(0, 0.2, (wide, HIDDEN)), "a": rng.normal(0, 0.2, HIDDEN), "o": rng.normal(0, 0.2, wide), "c": np.zeros(1)}
     for side in "lr":
@@ -180,51 +240,51 @@ def fit(texts: list[str], labels: list[int]) -> dict:
             p[k] = p[k] - np.float32(0.01) * (m1[k] / (1 - 0.9**step)) / (np.sqrt(m2[k] / (1 - 0.999**step)) + np.float32(1e-8))
     net = {k: v.astype(np.float32) for k, v in p.items()}
     # the highest window of a text decides, so the bias is set by texts: a clean text lost weighs most
-    highest = np.array([forward(a, b, net)[0].max() for a, b in zip(xs, ms)])
+    best = np.full(len(xs), -np.inf)
+    owner = np.repeat(np.arange(len(xs)), [len(part) for part in ys])
+    for at in range(0, len(y), BLOCK):
+        np.maximum.at(best, owner[at : at + BLOCK], forward(x[at : at + BLOCK], mask[at : at + BLOCK], net)[0])
     truth = np.array([part[0] for part in ys])
-    at = np.unique(highest)
+    at = np.unique(best)
     cuts = (at[1:] + at[:-1]) / 2
-    cost = [0.03 * (highest[truth == 1] < t).mean() + 0.97 * (highest[truth == 0] >= t).mean() for t in cuts]
+    cost = [0.03 * (best[truth == 1] < t).mean() + 0.97 * (best[truth == 0] >= t).mean() for t in cuts]
     net["c"] = net["c"] - np.float32(cuts[int(np.argmin(cost))] if len(cuts) else 0)
-    return model | _with_odds(model, tokens, labels) | {"prior": 0.0, "net": net}
+    return _with_odds(model, present, labels) | {"prior": 0.0, "net": net}
 
 
-def _with_odds(base: dict, tokens: list[list[str]], labels: list[int]) -> dict:
-    word, char = (np.clip(_odds(tokens, labels, parts), -4, 4) for parts in (lambda t: [slots_of(t)[0]], lambda t: slots_of(t)[1]))
-    return {"word_odds": word, "char": np.concatenate([base["char"][:, :DIM], char[:, None]], axis=1)}
+def _with_odds(base: dict, present: list[tuple[np.ndarray, np.ndarray]], labels: list[int]) -> dict:
+    word, char = (_odds([p[at] for p in present], labels) for at in (0, 1))
+    return base | {"word_odds": word, "char": np.concatenate([base["char"], char[:, None]], axis=1)}
 
 
-_CACHES: dict[int, dict] = {}
+_LAST: list[Inputs] = []
 
 
 def score(model: dict, texts: list[str]) -> list[float]:
     if "net" not in model:
         return [model["prior"]] * len(texts)
-    cache = _CACHES.setdefault(id(model), {})
-    best = np.full(len(texts), -np.inf)
-    block, owners, held = [], [], 0
+    if not _LAST or _LAST[0].model is not model:
+        _LAST[:] = [Inputs(model)]
+    inputs, out, block, held = _LAST[0], [0.0] * len(texts), [], 0
 
     def flush() -> None:
-        nonlocal held
-        if block:
-            x, m = (np.concatenate(part) for part in zip(*block))
-            for at in range(0, len(x), 8192):
-                logits = forward(x[at : at + 8192], m[at : at + 8192], model["net"])[0]
-                np.maximum.at(best, np.concatenate(owners)[at : at + 8192], logits)
+        numbers = inputs.numbers([t for _, tokens in block for t in tokens])
+        cuts = [cut(part) for part in np.split(numbers, np.cumsum([len(tokens) for _, tokens in block])[:-1])]
+        for (i, _), logit in zip(block, highest(cuts, inputs.rows, model["net"])):
+            out[i] = float(_sigmoid(np.float32(logit)))
         block.clear()
-        owners.clear()
-        held = 0
 
     for i, text in enumerate(texts):
         tokens = tokens_of(text)
         if tokens:
-            block.append(cut(inputs(model, tokens, cache)))
-            owners.append(np.full(len(block[-1][0]), i))
-            held += len(block[-1][0])
-        if held >= 4096:
+            block.append((i, tokens))
+            held += len(tokens)
+        if held >= BLOCK:
             flush()
-    flush()
-    return [0.0 if b == -math.inf else float(_sigmoid(np.float32(b))) for b in best]
+            held = 0
+    if block:
+        flush()
+    return out
 
 
 def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
