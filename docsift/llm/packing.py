@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docsift.llm.token_counts import PreTokens
+from docsift.llm.token_counts import in_worker
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, ids array<int>"
 
@@ -45,7 +45,7 @@ def cut(docs: DataFrame, path: str, room: int = 1024, closing: int = 0, with_ids
     """The pieces of every document: all of ``room`` ids but the last."""
 
     def pieces(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        own, end = PreTokens(path), np.array([closing], "<u4").tobytes()
+        own, end = in_worker(path), np.array([closing], "<u4").tobytes()
         for batch in batches:
             rows = []
             for doc, text in zip(batch["doc_id"], batch["text"]):

@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-TABLE, SUMMARY, CACHE = 16_384, 1_024, 400_000
+TABLE, SUMMARY, CACHE = 16_384, 1_024, 600_000
 #: Fixed value: the pre-tokenizing pattern of the byte-level vocabulary.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Up to here the classes of the pattern agree with the library on every code point (tested).
@@ -52,29 +52,40 @@ class PreTokens:
             return []
         if self.odd(text) or any(s in text for s in self.special):
             return [self.encode(text)]
-        cache, tokens = self.cache, self.split(text)
-        if len(cache) > CACHE:
-            cache.clear()
-        ids = list(map(self.table.get, tokens)) if self.table else list(map(cache.get, tokens))
-        left = [at for at, known in enumerate(ids) if known is None]
-        if self.table:
-            for at in left:
-                ids[at] = cache.get(tokens[at])
-        missing = list({tokens[at] for at in left if ids[at] is None})
-        if missing:
-            for token, found in zip(missing, self.many(missing, add_special_tokens=False)):
-                cache[token] = struct.pack(f"<{len(found.ids)}I", *found.ids)
-            for at in left:
-                if ids[at] is None:
-                    ids[at] = cache[tokens[at]]
-        return ids
+        tokens = self.split(text)
+        if not self.table:
+            self.learn(tokens)
+            return list(map(self.cache.__getitem__, tokens))
+        ids = list(map(self.table.get, tokens))
+        rest = [token for token, known in zip(tokens, ids) if known is None]
+        self.learn(rest)
+        left = map(self.cache.__getitem__, rest)
+        return [next(left) if known is None else known for known in ids]
+
+    def learn(self, tokens: list[str]) -> None:
+        """Encodes the tokens that the cache lacks, in one call."""
+        if len(self.cache) > CACHE:
+            self.cache.clear()
+        missing = list(set(tokens).difference(self.cache))
+        for token, found in zip(missing, self.many(missing, add_special_tokens=False) if missing else ()):
+            self.cache[token] = struct.pack(f"<{len(found.ids)}I", *found.ids)
+
+
+_WORKER: dict[str, PreTokens] = {}
+
+
+def in_worker(path: str, table: dict[str, bytes] | None = None) -> PreTokens:
+    """The splitter of this Python worker: its cache outlives a task, so a later task of the worker finds it filled."""
+    own = _WORKER.get(path) or _WORKER.setdefault(path, PreTokens(path))
+    own.table = table or {}
+    return own
 
 
 def frequent(docs: DataFrame, path: str, text: str = "text") -> dict[str, bytes]:
     """Ids of the most frequent pre-tokens of all texts, from bounded summaries of every task."""
 
     def summaries(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        own, counts = PreTokens(path), Counter()
+        own, counts = in_worker(path), Counter()
         for batch in batches:
             for value in batch[text]:
                 if value and not own.odd(value):
@@ -96,7 +107,7 @@ def count_tokens(docs: DataFrame, path: str, text: str = "text", keep: tuple[str
     lookup = session.sparkContext.broadcast(frequent(docs, path, text))
 
     def counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        own = PreTokens(path, lookup.value)
+        own = in_worker(path, lookup.value)
         for batch in batches:
             batch["n_bytes"] = [len(t.encode()) if t else 0 for t in batch[text]]
             batch["n_tokens"] = [sum(map(len, own.pieces(t))) // 4 for t in batch[text]]
