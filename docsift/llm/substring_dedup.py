@@ -12,8 +12,9 @@ anchor are segments.
 4. The distinct segments of any other anchor form a reference shard: a generalised suffix automaton
    whose states hold the smallest document id. The segments stream through it, and their matching
    statistics give, per window, the first document that holds it.
-5. An anchor with more than ``SPLIT`` distinct segments is dealt by whole windows, one shard for each,
-   so that no shard grows with the corpus.
+5. An anchor with more than ``SPLIT`` distinct segments has no shard: the first document of each of its
+   windows is a minimum by the window's hash, combined before the shuffle, so that no list grows with
+   the corpus, however many surroundings a passage has.
 
 Null or wordless text has no words. Equal rows keep the words of the row with the smaller id; rows
 with one id don't cut each other. Texts that lose nothing keep their white space.
@@ -133,7 +134,7 @@ def repeated_windows(docs: DataFrame, size: int = 13, split: int = SPLIT) -> Dat
                 for p in places:
                     start, n = p["start"], p["n"]
                     if p["hot"]:
-                        rows += [(p["anchor"], hashes[k], p["digest"], k - start, " ".join(tokens[k : k + size]), doc) for k in range(start, start + n)]
+                        rows += [(p["anchor"], hashes[start + k], p["digest"], k, None, doc) for k in range(n)]
                     else:
                         rows.append((p["anchor"], 0, p["digest"], 0, " ".join(tokens[start : start + n + size - 1]), doc))
                 yield pd.DataFrame(rows, columns=["anchor", "window", "digest", "shift", "segment", "first"])
@@ -141,25 +142,25 @@ def repeated_windows(docs: DataFrame, size: int = 13, split: int = SPLIT) -> Dat
     def shard(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         def solve(key, group):
             automaton = SuffixAutomaton()
-            parts = [(digest, shift, segment.split(" "), first) for digest, shift, segment, first in group]
+            parts = [(digest, segment.split(" "), first) for digest, segment, first in group]
             known = {}
-            for _, _, symbols, first in parts:
+            for _, symbols, first in parts:
                 at = tuple(symbols)
                 if known.get(at, first + 1) > first:
                     automaton.add(symbols, first)
                     known[at] = first
             automaton.finish()
-            return [(key[0], digest, shift, automaton.first_documents(symbols, size)) for digest, shift, symbols, _ in parts]
+            return [(key, digest, 0, automaton.first_documents(symbols, size)) for digest, symbols, _ in parts]
 
         current, group = None, []
         for batch in batches:
             rows = []
-            for anchor, window, digest, shift, segment, first in batch.itertuples(index=False):
-                if group and (anchor, window) != current:
+            for anchor, digest, segment, first in batch.itertuples(index=False):
+                if group and anchor != current:
                     rows += solve(current, group)
                     group = []
-                current = (anchor, window)
-                group.append((digest, shift, segment, first))
+                current = anchor
+                group.append((digest, segment, first))
             yield pd.DataFrame(rows, columns=["anchor", "digest", "shift", "firsts"])
         if group:
             yield pd.DataFrame(solve(current, group), columns=["anchor", "digest", "shift", "firsts"])
@@ -175,9 +176,14 @@ def repeated_windows(docs: DataFrame, size: int = 13, split: int = SPLIT) -> Dat
     asked = met.filter("kinds > 1")
     shown = asked.filter("doc_id = low").groupBy("doc_id", "anchor", "digest").agg(F.min("start").alias("start"), F.max("n").alias("n"), (F.max("kinds") > split).alias("hot"))
     places = shown.groupBy("doc_id").agg(F.collect_list(F.struct("anchor", "digest", "start", "n", "hot")).alias("places"))
-    pieces = texts.join(places, "doc_id").mapInPandas(cut, "anchor long, window long, digest long, shift int, segment string, first long")
-    dealt = pieces.repartition("anchor", "window").sortWithinPartitions("anchor", "window", "first", "digest", "shift")
-    firsts = shared(dealt.mapInPandas(shard, "anchor long, digest long, shift int, firsts array<long>"))
+    pieces = shared(texts.join(places, "doc_id").mapInPandas(cut, "anchor long, window long, digest long, shift int, segment string, first long"))
+    dealt = pieces.filter("segment is not null").select("anchor", "digest", "segment", "first").repartition("anchor").sortWithinPartitions("anchor", "first", "digest")
+    solved = dealt.mapInPandas(shard, "anchor long, digest long, shift int, firsts array<long>")
+    windows = pieces.filter("segment is null")
+    least = windows.groupBy("anchor", "window").agg(F.min("first").alias("least"))
+    # no sort-merge buffer holds a hot window: the side of the minima has one row for each
+    lone = windows.join(least, ["anchor", "window"]).select("anchor", "digest", "shift", F.array("least").alias("firsts"))
+    firsts = shared(solved.union(lone))
     hits = asked.select("anchor", "digest", "doc_id", "start").join(firsts, ["anchor", "digest"])
     hits = hits.select("doc_id", F.expr("transform(filter(sequence(0, size(firsts) - 1), k -> firsts[k] < doc_id), k -> k + start + shift)").alias("windows"))
     return told.union(hits.filter("size(windows) > 0")).groupBy("doc_id").agg(F.flatten(F.collect_list("windows")).alias("windows"))
