@@ -31,7 +31,7 @@ def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def remove_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the spans that an earlier document has."""
-    kept = substring_dedup.remove_repeats(docs).filter("n_removed > 0").select("doc_id", "kept")
+    kept = substring_dedup.remove_repeats(docs).filter("n_removed > 0").groupBy("doc_id").agg(F.min("kept").alias("kept"))  # equal rows keep equal texts
     rows = docs.join(kept, "doc_id", "left").withColumn("text", F.coalesce("kept", "text"))
     return rows.withColumn("n_chars", F.when(F.col("kept").isNull(), F.col("n_chars")).otherwise(F.length("text").cast("long"))).select(*COLUMNS)
 
@@ -50,7 +50,7 @@ STAGES = [
     ("toxicity", drop_toxic), ("ngram_join", keep_one_of_each_group), ("substring_dedup", remove_repeats),
     ("decontamination", decontaminate), ("packing", pack_documents),
 ]
-#: The model of the first stage has no SQL; tests compare the stages with brute force.
+#: The model of the first stage has no SQL; tests compare the stages after it with brute force.
 ORACLE_SQL = None
 
 

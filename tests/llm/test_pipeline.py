@@ -4,6 +4,7 @@ import itertools
 import random
 
 import corpus_pipeline as pipeline
+import pytest
 
 from docsift.llm.common import ascii_lower, words
 
@@ -41,3 +42,49 @@ def test_one_of_each_group_stays_by_five_words_and_four_fifths(spark):
     got = sorted(r.doc_id for r in pipeline.keep_one_of_each_group(spark, docs, "").collect())
     assert got == sorted(i for i, _ in rows if i not in gone)
     assert pipeline.keep_one_of_each_group(spark, docs.limit(0), "").count() == 0
+
+
+def kept_words(rows, size=13):
+    first, out = {}, []
+    for i, t in sorted(rows, key=lambda r: r[0]):
+        for j in range(len(words(t)) - size + 1):
+            first.setdefault(tuple(words(t)[j : j + size]), i)
+    for i, t in rows:
+        w = words(t)
+        gone = {k for j in range(len(w) - size + 1) if first[tuple(w[j : j + size])] < i for k in range(j, j + size)}
+        out.append((i, " ".join(x for k, x in enumerate(w) if k not in gone) if gone else t))
+    return out
+
+
+def test_repeats_leave_and_repeated_rows_stay_two(spark):
+    passage = " ".join(f"p{i}" for i in range(20))
+    rows = [(0, None), (1, ""), (2, f"a b {passage} c"), (3, f"d {passage} e  f"), (3, f"d {passage} e  f"), (4, passage), (4, passage), (5, "own  text")]
+    docs = table_of(spark, rows)
+    got = sorted((r.doc_id, r.text or "", r.n_chars) for r in pipeline.remove_repeats(spark, docs, "").collect())
+    assert got == sorted((i, t or "", len(t or "")) for i, t in kept_words(rows)) and len(got) == len(rows)
+    assert pipeline.remove_repeats(spark, docs.limit(0), "").count() == 0
+
+
+@pytest.mark.parametrize("verdicts", [{2, 3}, set()])
+def test_verdicts_and_benchmark_drop_documents(spark, monkeypatch, verdicts):
+    item = " ".join(f"q{i}" for i in range(40))
+    rows = [(0, None), (1, ""), (2, "x y"), (3, "z"), (3, "z"), (4, f"u {item} v"), (4, f"u {item} v"), (5, "q1 q2 q3")]
+    docs = table_of(spark, rows)
+    benchmark = spark.createDataFrame([(9, item), (10, None), (11, "")], "item_id long, text string")
+    monkeypatch.setattr(pipeline, "table", lambda spark, folder, name: benchmark)
+    monkeypatch.setattr(pipeline.toxicity, "classify", lambda docs, labels: docs.selectExpr("doc_id", f"cast(doc_id in ({', '.join(map(str, verdicts or {-1}))}) as int) as predicted"))
+    for stage, gone in ((pipeline.drop_toxic, verdicts), (pipeline.decontaminate, {4})):
+        assert sorted((r.doc_id, r.text) for r in stage(spark, docs, "").select("doc_id", "text").fillna("-").collect()) == sorted((i, "-" if t is None else t) for i, t in rows if i not in gone)
+        assert stage(spark, docs.limit(0), "").count() == 0
+
+
+def test_every_token_is_packed(spark):
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(pipeline.tokenizer_path())
+    rows = [(0, None), (1, ""), (2, "x y"), (3, "many words " * 900)]
+    docs, want = table_of(spark, rows), {i: len(library.encode(t or "", add_special_tokens=False).ids) + 1 for i, t in rows}
+    got = dict.fromkeys(want, 0)
+    for r in pipeline.pack_documents(spark, docs, "").collect():
+        got[r.doc_id] += r.length
+    assert got == want and pipeline.pack_documents(spark, docs.limit(0), "").count() == 0
