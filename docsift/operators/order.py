@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-BOUNDARY_ROWS = 8192  # rows looked at to place range boundaries, and the bound on what is collected
-MAX_RANGES = 256
+from .stored import stored
+
+RANGE_ROWS = 1_000_000  # rows of one range
+BROADCAST_SHIFTS = 200_000  # rows of some tens of bytes
 SMALL_LIMIT = 100_000
 
 
@@ -35,68 +37,60 @@ def _plain(df: DataFrame) -> list[str]:
     return [f"`{f.name}`" for f in df.schema.fields if "map<" not in f.dataType.simpleString()]
 
 
-def _range_column(df: DataFrame, by: list[str]) -> Column:
-    """Number of the key range a row falls into: a plain function of its sort key.
-
-    Boundaries are taken from the ``BOUNDARY_ROWS`` rows of lowest key hash (an even,
-    repeatable pick); at most ``MAX_RANGES`` of them reach the driver. Every row is
-    placed, the pick only decides how even the ranges are.
-    """
-    picked = df.select(*by).orderBy(F.xxhash64(*by)).limit(BOUNDARY_ROWS)
-    places = (
-        picked.withColumn("_place", F.row_number().over(Window.orderBy(*by)))
-        .withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy()))
-    )
-    every = BOUNDARY_ROWS // MAX_RANGES
-    rows = places.where((F.col("_n") == BOUNDARY_ROWS) & (F.col("_place") % every == 0)).orderBy(*by)
-    bounds = [r[0] for r in rows.select(F.base64(F.to_json(F.struct(*by)).cast("binary"))).collect()]
-    shape = df.select(F.struct(*by).alias("k")).schema["k"].dataType.simpleString()
-    key = f"named_struct({', '.join(f'{chr(39)}{c}{chr(39)}, `{c}`' for c in by)})"
-
-    def place(lo: int, hi: int) -> str:
-        """A constant decision tree as one SQL text (thousands of Column calls would be slow)."""
-        if lo == hi:
-            return str(lo)
-        mid = (lo + hi) // 2
-        bound = f"from_json(decode(unbase64('{bounds[mid]}'), 'UTF-8'), '{shape}')"
-        return f"CASE WHEN {key} < {bound} THEN {place(lo, mid)} ELSE {place(mid + 1, hi)} END"
-
-    return F.expr(place(0, len(bounds)))
-
-
 def group_index(
-    df: DataFrame, keys: list[str], order: list[str], name: str = "index", base: int = 0
+    df: DataFrame,
+    keys: list[str],
+    order: list[Column | str],
+    name: str = "index",
+    base: int = 0,
+    total: str | None = None,
+    range_rows: int = RANGE_ROWS,
 ) -> DataFrame:
-    """Position of each row within its group over a unique ``order``.
+    """Position of each row within its group over an order; with ``total``, also the group's number of rows.
+
+    Spark cuts the rows into ranges of (keys, order), as many as the row count asks for, and
+    sorts inside each. The ranged table is stored once, with every row's range and place in it, so a
+    repeated task can't move a row. One prefix sum over the counts per range and group then turns
+    places into positions. A group of any size is spread over as many ranges as it fills.
 
-    Rows are cut into ranges of (keys, order), numbered inside each range, and shifted by
-    the rows the same group has in earlier ranges. A group of any size is therefore spread
-    over as many tasks as it has ranges. The shifts are at most one row per range.
+    Rows that tie on the whole order get their positions in any order, nulls come first. An empty
+    table gives an empty result.
     """
-    ranged = df.withColumn("_range", _range_column(df, [*keys, *order]))
-    counts = ranged.groupBy(*keys, "_range").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    # A range starts inside a group at most once, so this has at most MAX_RANGES rows.
-    shifts = (
-        counts.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))
-        .where(F.col("_before") > 0)
-        .select(*[F.col(k).alias(f"_key_{i}") for i, k in enumerate(keys)], F.col("_range").alias("_start_range"), "_before")
+    sort = [*[F.col(f"`{k}`") for k in keys], *[F.col(f"`{c}`") if isinstance(c, str) else c for c in order]]
+    ranges = max(1, -(-df.count() // range_rows))
+    placed = df.repartitionByRange(ranges, *sort).sortWithinPartitions(*sort)
+    # The id holds the number of the range above bit 33 and the place inside it below.
+    rows = stored(placed.withColumn("_at", F.monotonically_increasing_id()))
+    rows = rows.withColumn("_range", F.shiftright("_at", 33))
+    counts = rows.groupBy(*keys, "_range").agg(F.count(F.lit(1)).alias("_n"), F.min("_at").alias("_first"))
+    group = Window.partitionBy(*keys)
+    before = group.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    shifts = counts.select(
+        F.col("_range").alias("_of"),
+        (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first") + base).alias("_shift"),
+        F.sum("_n").over(group).alias("_total"),
+        *[F.col(f"`{k}`").alias(f"_key_{i}") for i, k in enumerate(keys)],
     )
-    numbered = ranged.withColumn(
-        "_row", F.row_number().over(Window.partitionBy(*keys, "_range").orderBy(*order))
-    )
-    same = F.col("_range") == F.col("_start_range")
+    if keys:  # one row per group and range: as many as there are groups, so the size is looked at
+        shifts = stored(shifts)
+        few = shifts.count() <= BROADCAST_SHIFTS
+    else:
+        few = ranges <= BROADCAST_SHIFTS
+    same = F.col("_range") == F.col("_of")
     for i, k in enumerate(keys):
-        same = same & F.col(k).eqNullSafe(F.col(f"_key_{i}"))
-    joined = numbered.join(F.broadcast(shifts), on=same, how="left")
-    index = (F.col("_row") + F.coalesce("_before", F.lit(0)) - 1 + base).cast("bigint")
-    drops = ["_range", "_row", "_start_range", "_before", *[f"_key_{i}" for i in range(len(keys))]]
-    return joined.withColumn(name, index).drop(*drops)
+        same = same & F.col(f"`{k}`").eqNullSafe(F.col(f"_key_{i}"))
+    joined = rows.join(F.broadcast(shifts) if few else shifts, on=same, how="left")
+    out = joined.withColumn(name, F.col("_at") + F.col("_shift"))
+    if total is not None:
+        out = out.withColumn(total, F.col("_total"))
+    return out.drop("_at", "_range", "_of", "_shift", "_total", *[f"_key_{i}" for i in range(len(keys))])
 
 
-def global_index(df: DataFrame, order: list[str], name: str = "index") -> DataFrame:
-    """0-based position over a unique order, without pulling the table into one task."""
-    return group_index(df, [], order, name)
+def global_index(
+    df: DataFrame, order: list[Column | str], name: str = "index", total: str | None = None, range_rows: int = RANGE_ROWS
+) -> DataFrame:
+    """0-based position over an order, without pulling the table into one task."""
+    return group_index(df, [], order, name, total=total, range_rows=range_rows)
 
 
 def first_rows(df: DataFrame, order: list[str], limit: int, name: str | None = None) -> DataFrame:
@@ -111,12 +105,17 @@ def first_rows(df: DataFrame, order: list[str], limit: int, name: str | None = N
 
 
 def ordered_split(
-    df: DataFrame, order: list[str], val_split: float = 0.15, name: str = "split", index: str = "index"
+    df: DataFrame,
+    order: list[Column | str],
+    val_split: float = 0.15,
+    name: str = "split",
+    index: str = "index",
+    range_rows: int = RANGE_ROWS,
 ) -> DataFrame:
     """The first ``int(n * (1 - val_split))`` rows are ``train``, the rest ``validation``."""
-    at = global_index(df, order, index)
-    train = F.floor(df.agg(F.count(F.lit(1)).cast("double")).scalar() * F.lit(1.0 - val_split))
-    return at.withColumn(name, F.when(F.col(index) < train, "train").otherwise("validation"))
+    at = global_index(df, order, index, total="_rows", range_rows=range_rows)
+    train = F.floor(F.col("_rows").cast("double") * F.lit(1.0 - val_split))
+    return at.withColumn(name, F.when(F.col(index) < train, "train").otherwise("validation")).drop("_rows")
 
 
 def cap_pairs(pairs: DataFrame, order: list[str], target: int = 50) -> DataFrame:

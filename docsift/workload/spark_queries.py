@@ -23,10 +23,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents, dealt out to all cores when the files give fewer scan tasks than that."""
-    df = table(spark, sf_dir, "documents")
-    cores = spark.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    return table(spark, sf_dir, "documents")
 
 
 def _files(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -330,6 +327,14 @@ def ordered_split(spark, sf_dir):
     return order.ordered_split(documents(spark, sf_dir).select("doc_id"), ["doc_id"])
 
 
+def line_index(spark, sf_dir):
+    """Every line's position by date, and by date among the lines of its flag, over ranges of 8,192 rows."""
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_shipdate", "l_returnflag")
+    by = [F.desc("l_shipdate"), "l_orderkey", "l_linenumber", "l_partkey"]
+    placed = order.global_index(lines, by, "position", total="n_lines", range_rows=8192)
+    return order.group_index(placed, ["l_returnflag"], by, "flag_position", total="n_flag", range_rows=8192)
+
+
 def extract_fallback_stub(spark, sf_dir):
     receipts = documents(spark, sf_dir).select("doc_id", F.col("text").alias("receipt_text"))
     out = extraction.extract(receipts, stubs.receipt_model(False), stubs.receipt_model(True), backoff=0.0)
@@ -523,7 +528,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         ingest_new_only, cached_answers, cache_misses, rerank, source_cards, score_parse, evaluate_rows,
         evaluate_summary, judge_alignment, context_precision, target_check, score_bands, field_scores,
         exact_match_rate, box_links, box_links_large, document_clearance, clearance_records, redaction_boxes,
-        confidence_route, pair_by_stem, normalise_receipts, training_text, ordered_split, extract_fallback_stub,
+        confidence_route, pair_by_stem, normalise_receipts, training_text, ordered_split, line_index, extract_fallback_stub,
         field_json, head_per_group, corpus_sample, qa_sources, generate_qa_stub, cap_pairs, complete_stub,
         extend_gold, mail_clean, mail_body, pii_scan, pii_redact, rehydrate, triage_user_turns, review_fold,
         approval_map, customer_lookup, classification_parse, feedback_append, call_stats, review_queue,

@@ -195,6 +195,10 @@ SELECT s.doc_id, coalesce(p.part, 0) AS part, {_STATUS} AS document_status, coal
 w AS (SELECT doc_id, t, {_words('t')} AS w FROM t) SELECT doc_id, CASE WHEN len(w) <= 512 THEN t ELSE array_to_string(w[1:512], ' ') END AS training_text FROM w""",
     "ordered_split": """WITH n AS (SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS "index", count(*) OVER () AS n FROM documents)
 SELECT doc_id, "index", CASE WHEN "index" < floor(n * (1 - 0.15::DOUBLE)) THEN 'train' ELSE 'validation' END AS split FROM n""",
+    "line_index": """SELECT l_orderkey, l_linenumber, l_partkey, l_shipdate, l_returnflag,
+  row_number() OVER (ORDER BY l_shipdate DESC, l_orderkey, l_linenumber, l_partkey) - 1 AS position, count(*) OVER () AS n_lines,
+  row_number() OVER (PARTITION BY l_returnflag ORDER BY l_shipdate DESC, l_orderkey, l_linenumber, l_partkey) - 1 AS flag_position,
+  count(*) OVER (PARTITION BY l_returnflag) AS n_flag FROM lineitem""",
     "extract_fallback_stub": """WITH n AS (SELECT doc_id, length(text) AS n FROM documents)
 SELECT doc_id, CASE WHEN n % 3 = 2 OR (n % 3 = 0 AND n % 5 <> 0) THEN concat('c', n % 10) END AS company,
   CASE WHEN n % 3 = 2 OR (n % 3 = 0 AND n % 5 <> 0) THEN 'None' END AS date,

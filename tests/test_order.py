@@ -7,36 +7,43 @@ from docsift.operators import order
 from docsift.operators.skew import durable, many_to_one
 
 
-@pytest.fixture
-def small_ranges(monkeypatch):
-    monkeypatch.setattr(order, "BOUNDARY_ROWS", 64)
-    monkeypatch.setattr(order, "MAX_RANGES", 16)
-
-
-def test_group_index_with_a_hot_group(spark, small_ranges):
+def test_group_index_with_a_hot_group(spark):
     rng = random.Random(1)
-    rows = [("hot" if rng.random() < 0.4 else f"g{rng.randrange(200)}", f"k{i:05d}") for i in range(3000)]
+    rows = [("hot" if rng.random() < 0.4 else None if rng.random() < 0.1 else f"g{rng.randrange(200)}", f"k{i:05d}") for i in range(3000)]
     rng.shuffle(rows)
     df = spark.createDataFrame(rows, "g string, k string")
     want = {}
     for g in {g for g, _ in rows}:
-        want.update({(g, k): i for i, k in enumerate(sorted(k for h, k in rows if h == g))})
-    ranged = df.withColumn("r", order._range_column(df, ["g", "k"]))
-    assert ranged.where("g = 'hot'").select("r").distinct().count() > 3  # the hot group is cut
-    got = {(r.g, r.k): r["index"] for r in order.group_index(df, ["g"], ["k"]).collect()}
-    assert got == want
+        want.update({(g, k): (i, sum(h == g for h, _ in rows)) for i, k in enumerate(sorted(k for h, k in rows if h == g))})
+    for limit in (order.BROADCAST_SHIFTS, 0):  # with and without a broadcast of the shifts
+        order_limit, order.BROADCAST_SHIFTS = order.BROADCAST_SHIFTS, limit
+        try:
+            got = {(r.g, r.k): (r["index"], r.n) for r in order.group_index(df, ["g"], ["k"], total="n", range_rows=200).collect()}
+        finally:
+            order.BROADCAST_SHIFTS = order_limit
+        assert got == want
 
 
-def test_global_index_and_split(spark, small_ranges):
+def test_global_index_and_split(spark):
     rng = random.Random(2)
     keys = [None, *rng.sample(range(10_000), 999)]
     df = spark.createDataFrame([(k,) for k in keys], "k int")
     at = {k: i for i, k in enumerate([None, *sorted(keys[1:])])}
-    assert {r.k: r["index"] for r in order.global_index(df, ["k"]).collect()} == at
-    split = {r.k: r.split for r in order.ordered_split(df, ["k"]).collect()}
+    assert {r.k: r["index"] for r in order.global_index(df, ["k"], range_rows=70).collect()} == at
+    back = {r.k: r["index"] for r in order.global_index(df, [F.desc("k")], range_rows=70).collect()}
+    assert back == {k: 999 - i for k, i in at.items()}
+    split = {r.k: r.split for r in order.ordered_split(df, ["k"], range_rows=70).collect()}
     assert split == {k: "train" if i < int(1000 * (1 - 0.15)) else "validation" for k, i in at.items()}
 
 
+def test_index_over_ties_and_nothing(spark):
+    df = spark.createDataFrame([(i % 3,) for i in range(300)], "k int")
+    got = order.global_index(df, ["k"], range_rows=20).collect()
+    assert sorted(r["index"] for r in got) == list(range(300))
+    assert [r.k for r in sorted(got, key=lambda r: r["index"])] == sorted(i % 3 for i in range(300))
+    assert order.global_index(df.where("k > 5"), ["k"], total="n").count() == 0
+
+
 @pytest.mark.parametrize("n", [0, 1, 6, 7, 20])
 def test_split_sizes(spark, n):
     df = spark.range(n)

@@ -11,6 +11,8 @@ sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(
 from check_twins import TABLES, compare  # noqa: E402
 
 from __spark_entry__ import entry, oracle_sql, queries  # noqa: E402
+from docsift.workload.spark_queries import QUERIES  # noqa: E402
+from docsift.workload.twins import TWINS  # noqa: E402
 
 FOLDER = "/root/testdata/sf0.001"
 ROWS_ONLY = {"vector_topk_cells"}
@@ -25,16 +27,17 @@ def con():
 
 
 def test_contract(spark):
-    assert set(queries()) - set(oracle_sql()) == ROWS_ONLY and set(oracle_sql()) <= set(queries())
+    assert set(QUERIES) - set(TWINS) == ROWS_ONLY and set(TWINS) <= set(QUERIES)
+    assert set(QUERIES) <= set(queries()) and set(TWINS) <= set(oracle_sql()) <= set(queries())
     assert entry(spark).count() > 0
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, con, name):
-    df = queries()[name](spark, FOLDER)
+    df = QUERIES[name](spark, FOLDER)
     rows = df.collect()
     assert rows
     if name not in ROWS_ONLY:
-        got = con.execute(oracle_sql()[name])
+        got = con.execute(TWINS[name])
         cols = [d[0] for d in got.description]
         assert compare(rows, df.columns, got.fetchall(), cols) is None
