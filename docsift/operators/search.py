@@ -1,14 +1,18 @@
-"""Nearest vectors by cosine distance: exact, through cells, and re-ranked.
+"""Nearest vectors by cosine distance: the k nearest, those within a distance, and re-ranked.
 
 No plan here pairs rows. Vectors meet questions as blocks of bounded size inside a task,
 as one matrix product per block, and only the ``k`` best of each block leave the task.
-The three exact plans differ in what moves:
+The three plans are exact and differ in what moves:
 
-* few questions: their matrix goes to every task, the vectors are scanned in place;
-* few vectors: their matrix goes to every task, the questions are scanned in place;
-* neither: both sides are cut into blocks by id hash and meet on a grid of blocks.
+* ``scan_vectors``: few questions; their matrix goes to every task, the vectors are scanned in place;
+* ``scan_questions``: few vectors; their matrix goes to every task, the questions are scanned in place;
+* ``cells``: neither is few. Every vector belongs to the cell of its nearest centre and, in it, to a
+  band of angles to that centre. A question meets its nearest cells first, which gives a bound, and
+  then only bands that can hold something within the bound: by the triangle inequality on angles,
+  a vector is at least as far as the angle to its centre differs from the question's.
 
-"Few" is checked by reading at most ``small_rows + 1`` rows.
+"Few" is checked by reading at most ``small_rows + 1`` rows. In all plans null, empty and zero
+vectors are never found and find nothing, and vectors of different lengths fail the job.
 """
 
 from __future__ import annotations
@@ -24,13 +28,18 @@ from pyspark.sql import types as T
 
 from ..functions.embedding import DISTANCE_DIGITS
 from .order import best_per_group
+from .stored import stored
 
 SMALL_ROWS = 4096
 SMALL_BYTES = 64 << 20
+BLOCK_BYTES = 16 << 20  # of one side's vectors in a block, as doubles
 BLOCK_QUESTIONS = 2048
-BLOCK_VECTORS = 32_768
-MAX_CELLS = 65_536
+MAX_CELLS = 16_384
+BANDS = 32  # of angles, over half a turn
 BROADCAST_HITS = 200_000
+BROADCAST_GROUPS = 200_000  # rows of three numbers
+SLACK = 1e-7  # of a distance: what rounding and the arc cosine can be off by
+PLANS = ("scan_vectors", "scan_questions", "cells")
 
 
 def _block_functions(digits: int):
@@ -152,13 +161,15 @@ def vector_search(
     vector_id: str = "id",
     embedding: str = "embedding",
     small_rows: int = SMALL_ROWS,
+    plan: str | None = None,
 ) -> DataFrame:
     """The ``k`` nearest vectors of each question: ``question_id, rank, id, distance``.
 
     Exact; the distance is a cosine distance (small is near), ties go to the lower id.
-    ``where`` narrows the vectors ahead of the search and reaches their scan.
+    ``where`` narrows the vectors ahead of the search and reaches their scan. ``plan`` (one of
+    ``PLANS``) overrides the choice by size; a scan plan then takes its small side whole.
     """
-    return _search(questions, vectors, k, where, question_id, vector_id, embedding, small_rows)[0]
+    return _search(questions, vectors, k, where, question_id, vector_id, embedding, small_rows, plan)[0]
 
 
 def search_chunks(
@@ -181,24 +192,34 @@ def search_chunks(
     return attach_chunks(hits, vectors if texts is None else texts, vector_id, most)
 
 
-def _search(questions, vectors, k, where, question_id, vector_id, embedding, small_rows) -> tuple[DataFrame, int | None]:
+def _search(
+    questions, vectors, k, where, question_id, vector_id, embedding, small_rows, plan=None, tau=None
+) -> tuple[DataFrame, int | None]:
     """The hits, and how many there can be when the questions were few."""
+    if plan is not None and plan not in PLANS:
+        raise ValueError(f"plan is one of {PLANS}")
     if where is not None:
         vectors = vectors.where(where)
     q = _usable(questions, question_id, embedding)
     v = _usable(vectors, vector_id, embedding)
-    few = _fits(q, small_rows)
-    most = None
-    if few is not None:
-        most = few.num_rows * k
+    few = most = None
+    if plan in (None, "scan_vectors"):
+        few = q.toArrow() if plan else _fits(q, small_rows)
+        if few is not None:
+            plan, most = "scan_vectors", few.num_rows * k
+    if plan in (None, "scan_questions"):
+        few = v.toArrow() if plan else _fits(v, small_rows)
+        if few is not None:
+            plan = "scan_questions"
+    if plan == "scan_vectors":
         hits = _scan_vectors(few, q, v, k, question_id, vector_id)
+    elif plan == "scan_questions":
+        hits = _scan_questions(few, q, v, k, question_id, vector_id)
     else:
-        few = _fits(v, small_rows)
-        if few is not None:
-            hits = _scan_questions(few, q, v, k, question_id, vector_id)
-        else:
-            one = F.lit(0)
-            hits = _grid(q.withColumn("_cell", one), v.withColumn("_cell", one), k, question_id, vector_id)
+        cells = pick_cells(v, vector_id=vector_id, embedding=embedding)
+        hits = _search_cells(q, cells, k, question_id, tau)
+    if tau is not None:
+        hits = hits.where(F.col("distance") <= tau)
     best = best_per_group(hits, [question_id], ["distance", vector_id], k)
     return best.select(question_id, "rank", vector_id, "distance"), most
 
@@ -217,7 +238,8 @@ def _scan_vectors(few, q, v, k, question_id, vector_id) -> DataFrame:
         q_ids, q_rows = shared.value
         best = None
         for batch in batches:
-            if batch.num_rows == 0 or not q_ids:
+            if batch.num_rows == 0 or not q_rows.any():
+                matrix(batch.column(1))
                 continue
             found = nearest(q_rows, matrix(batch.column(1), q_rows.shape[1]), id_array(batch.column(0)), k)
             best = found if best is None else merge(*best, *found, k)
@@ -249,7 +271,8 @@ def _scan_questions(few, q, v, k, question_id, vector_id) -> DataFrame:
 
         ids, rows = shared.value
         for batch in batches:
-            if batch.num_rows == 0 or len(ids) == 0:
+            if batch.num_rows == 0 or not rows.any():
+                matrix(batch.column(1))
                 continue
             d, j = nearest(matrix(batch.column(1), rows.shape[1]), rows, ids, k)
             row, at = np.nonzero(np.isfinite(d))
@@ -265,33 +288,34 @@ def _scan_questions(few, q, v, k, question_id, vector_id) -> DataFrame:
     return q.mapInArrow(scan, schema)
 
 
-def _grid(q: DataFrame, v: DataFrame, k: int, question_id: str, vector_id: str) -> DataFrame:
-    """Blocks of both sides meet per cell on a grid.
+def _meet(q: DataFrame, v: DataFrame, k: int, question_id: str, vector_id: str, dim: int) -> DataFrame:
+    """The ``k`` nearest within the bound, per question and block; both sides meet by ``_group`` on a grid.
 
-    A cell of any size is cut by id hash into blocks of a bounded number of rows, so a hot
-    cell becomes many tasks. What is repeated is one side's block, once per block of the
-    other side.
+    A group of any size is cut by id hash into blocks of bounded bytes, so a hot group becomes
+    many tasks. What is repeated is one side's block, once per block of the other side.
     """
     schema = _hit_schema(q, question_id, v, vector_id)
     types = [_arrow_type(schema[0].dataType), _arrow_type(schema[1].dataType)]
+    per_block = max(1, BLOCK_BYTES // (8 * dim))
     sizes = (
-        v.groupBy("_cell").agg(F.count(F.lit(1)).alias("_nv"))
-        .join(q.groupBy("_cell").agg(F.count(F.lit(1)).alias("_nq")), on="_cell")
+        v.groupBy("_group").agg(F.count(F.lit(1)).alias("_nv"))
+        .join(q.groupBy("_group").agg(F.count(F.lit(1)).alias("_nq")), on="_group")
         .select(
-            "_cell",
-            F.ceil(F.col("_nv") / BLOCK_VECTORS).cast("int").alias("_vb"),
-            F.ceil(F.col("_nq") / BLOCK_QUESTIONS).cast("int").alias("_qb"),
+            "_group",
+            F.ceil(F.col("_nv") / per_block).cast("int").alias("_vb"),
+            F.ceil(F.col("_nq") / min(per_block, BLOCK_QUESTIONS)).cast("int").alias("_qb"),
         )
     )
-    # At most one row per cell, and cells are at most MAX_CELLS.
-    sizes = F.broadcast(sizes)
-    vb = v.join(sizes, on="_cell").select(
-        vector_id, v.columns[1], "_cell",
+    sizes = stored(sizes)
+    if sizes.count() <= BROADCAST_GROUPS:
+        sizes = F.broadcast(sizes)
+    vb = v.join(sizes, on="_group").select(
+        vector_id, v.columns[1], "_group",
         F.pmod(F.xxhash64(vector_id), F.col("_vb")).cast("int").alias("_v"),
         F.explode(F.sequence(F.lit(0), F.col("_qb") - 1)).alias("_q"),
     )
-    qb = q.join(sizes, on="_cell").select(
-        question_id, q.columns[1], "_cell",
+    qb = q.join(sizes, on="_group").select(
+        question_id, q.columns[1], "_bound", "_group",
         F.explode(F.sequence(F.lit(0), F.col("_vb") - 1)).alias("_v"),
         F.pmod(F.xxhash64(question_id), F.col("_qb")).cast("int").alias("_q"),
     )
@@ -305,11 +329,8 @@ def _grid(q: DataFrame, v: DataFrame, k: int, question_id: str, vector_id: str)
         if left.num_rows == 0 or right.num_rows == 0:
             empty = [pa.array([], types[0]), pa.array([], types[1]), pa.array([], pa.float64())]
             return pa.Table.from_arrays(empty, names=names)
-        asked, held = matrix(left.column(1)), matrix(right.column(1))
-        if asked.shape[1] != held.shape[1]:  # one side has no usable vector
-            asked = np.zeros((len(asked), held.shape[1]))
-        d, j = nearest(asked, held, id_array(right.column(0)), k)
-        row, at = np.nonzero(np.isfinite(d))
+        d, j = nearest(matrix(left.column(1), dim), matrix(right.column(1), dim), id_array(right.column(0)), k)
+        row, at = np.nonzero(np.isfinite(d) & (d <= left.column(2).to_numpy()[:, None]))
         return pa.Table.from_arrays(
             [
                 left.column(0).take(pa.array(row)).combine_chunks().cast(types[0]),
@@ -319,85 +340,210 @@ def _grid(q: DataFrame, v: DataFrame, k: int, question_id: str, vector_id: str)
             names=names,
         )
 
-    keys = ["_cell", "_v", "_q"]
+    keys = ["_group", "_v", "_q"]
     return qb.groupBy(*keys).cogroup(vb.groupBy(*keys)).applyInArrow(meet, schema)
 
 
 @dataclass
 class Cells:
-    """Centroids (a small matrix) and the vectors with the cell each belongs to."""
+    """Centres, the bands of angles in their cells, and the vectors with the band each belongs to.
 
-    centroids: np.ndarray
+    ``bands`` has a row per band that holds vectors (at most ``MAX_CELLS * BANDS``): cell, least
+    and largest angle to the centre, number of vectors. ``vectors`` is a stored table of id,
+    embedding and ``_group`` (``cell * BANDS + band``).
+    """
+
+    centres: np.ndarray
+    bands: np.ndarray
+    groups: np.ndarray
     vectors: DataFrame
     vector_id: str
     embedding: str
 
 
-def _with_cells(df: DataFrame, id_col: str, centroids: np.ndarray, n: int) -> DataFrame:
-    """Each row once per nearest cell (the ``n`` nearest), scanned in place."""
-    shared = df.sparkSession.sparkContext.broadcast(centroids)
-    schema = T.StructType([*df.schema.fields, T.StructField("_cell", T.IntegerType())])
-    matrix, _, nearest, _ = _block_functions(DISTANCE_DIGITS)
-    names = [*df.columns, "_cell"]
+def _as_cells(v: DataFrame, centres: np.ndarray, vector_id: str, embedding: str) -> Cells:
+    """Every vector with its nearest centre, scanned in place."""
+    shared = v.sparkSession.sparkContext.broadcast(centres)
+    schema = T.StructType([*v.schema.fields, T.StructField("_group", T.LongType()), T.StructField("_angle", T.DoubleType())])
+    matrix, _, _, _ = _block_functions(DISTANCE_DIGITS)
+    names = [*v.columns, "_group", "_angle"]
 
-    def scan(batches):
+    def assign(batches):
         import numpy as np
         import pyarrow as pa
 
         c = shared.value
+        step = max(1, 4_000_000 // len(c))
         for batch in batches:
-            if batch.num_rows == 0:
-                continue
-            d, j = nearest(matrix(batch.column(1), c.shape[1]), c, np.arange(len(c)), n)
-            row, at = np.nonzero(np.isfinite(d))
-            keep = batch.take(pa.array(row))
-            yield pa.RecordBatch.from_arrays([*keep.columns, pa.array(j[row, at].astype("int32"))], names=names)
+            rows = matrix(batch.column(1), c.shape[1])
+            kept = np.flatnonzero(rows.any(axis=1))
+            for i in range(0, len(kept), step):
+                part = kept[i : i + step]
+                cosines = rows[part] @ c.T
+                cell = cosines.argmax(axis=1)
+                angle = np.arccos(np.clip(np.take_along_axis(cosines, cell[:, None], 1)[:, 0], -1, 1))
+                band = np.minimum((angle * (BANDS / np.pi)).astype("int64"), BANDS - 1)
+                columns = [*batch.take(pa.array(part)).columns, pa.array(cell * BANDS + band), pa.array(angle)]
+                yield pa.RecordBatch.from_arrays(columns, names=names)
+
+    assigned = stored(v.mapInArrow(assign, schema))
+    angles = assigned.groupBy("_group").agg(
+        F.min("_angle").alias("low"), F.max("_angle").alias("high"), F.count(F.lit(1)).alias("n")
+    ).orderBy("_group").toArrow()  # at most MAX_CELLS * BANDS rows
+    bands = np.zeros((angles.num_rows, 4))
+    for i, name in enumerate(("_group", "low", "high", "n")):
+        bands[:, i] = angles.column(name).to_numpy()
+    bands[:, 0] //= BANDS
+    groups = angles.column("_group").to_numpy()
+    return Cells(centres, bands, groups, assigned.drop("_angle"), vector_id, embedding)
+
+
+def _default_cells(n: int) -> int:
+    return max(1, min(MAX_CELLS, round(n**0.5)))
+
+
+def pick_cells(vectors: DataFrame, n_cells: int | None = None, vector_id: str = "id", embedding: str = "embedding") -> Cells:
+    """Cells around some of the vectors themselves, those of least id hash: one scan, no training.
+
+    A search over them is exact; how many cells it can leave out depends on the centres. By
+    default there are as many as the root of the number of vectors.
+    """
+    v = _usable(vectors, vector_id, embedding)
+    usable = v.where(F.exists(embedding, lambda x: x != 0))
+    n_cells = n_cells or _default_cells(v.count())
+    _check_cells(n_cells)
+    picked = usable.orderBy(F.xxhash64(vector_id), vector_id).limit(n_cells).select(embedding).toArrow()
+    matrix, _, _, _ = _block_functions(DISTANCE_DIGITS)
+    return _as_cells(v, matrix(picked.column(0)) if picked.num_rows else np.zeros((1, 1)), vector_id, embedding)
 
-    return df.mapInArrow(scan, schema)
+
+def _check_cells(n_cells: int) -> None:
+    if not 1 <= n_cells <= MAX_CELLS:
+        raise ValueError(f"1 to {MAX_CELLS} cells")
 
 
 def build_cells(
     vectors: DataFrame,
-    n_cells: int,
+    n_cells: int | None = None,
     vector_id: str = "id",
     embedding: str = "embedding",
     seed: int = 17,
-    train_rows: int = 1_000_000,
+    train_rows: int | None = None,
+    iterations: int = 10,
 ) -> Cells:
-    """K-means centroids under cosine distance and the cell of every vector.
+    """Cells around k-means centres under cosine distance.
 
-    Only the centroids are trained on a share of a table larger than ``train_rows``;
-    every vector is assigned and searched.
+    The centres are trained on all vectors, or on about ``train_rows`` of them when asked to;
+    every vector is assigned and searched either way.
     """
     from pyspark.ml.clustering import KMeans
     from pyspark.ml.functions import array_to_vector
 
-    if not 1 <= n_cells <= MAX_CELLS:
-        raise ValueError(f"1 to {MAX_CELLS} cells")
     v = _usable(vectors, vector_id, embedding)
     total = v.count()
-    has_length = F.exists(embedding, lambda x: x != 0)
-    train = v.where(has_length)
-    if total > train_rows:
+    n_cells = n_cells or _default_cells(total)
+    _check_cells(n_cells)
+    train = v.where(F.exists(embedding, lambda x: x != 0))
+    if train_rows is not None and total > train_rows:
         train = train.sample(fraction=train_rows / total, seed=seed)
     features = train.select(array_to_vector(F.col(embedding).cast("array<double>")).alias("features")).persist()
     try:
-        model = KMeans(
-            k=n_cells, distanceMeasure="cosine", seed=seed, maxIter=20, initSteps=2
-        ).fit(features)
+        if features.isEmpty():
+            return pick_cells(vectors, n_cells, vector_id, embedding)
+        model = KMeans(k=n_cells, distanceMeasure="cosine", seed=seed, maxIter=iterations, initSteps=2).fit(features)
     finally:
         features.unpersist()
     centres = np.array(model.clusterCenters(), dtype="float64")
-    centres /= np.linalg.norm(centres, axis=1, keepdims=True)
-    return Cells(centres, _with_cells(v, vector_id, centres, 1), vector_id, embedding)
+    norms = np.linalg.norm(centres, axis=1, keepdims=True)
+    return _as_cells(v, (centres / np.where(norms > 0, norms, 1))[norms[:, 0] > 0], vector_id, embedding)
+
+
+def _route(q: DataFrame, cells: Cells, k: int, question_id: str, turn: int, last: bool) -> DataFrame:
+    """Each question once per band it has to meet in this round (``_group``), scanned in place.
+
+    The nearest cells that hold ``k`` vectors are met first, four times as many in each later
+    round, all others in the last; of them only the bands that can hold something within the bound.
+    """
+    shared = q.sparkSession.sparkContext.broadcast((cells.centres, cells.bands, cells.groups))
+    schema = T.StructType([*q.schema.fields, T.StructField("_group", T.LongType())])
+    matrix, _, _, _ = _block_functions(DISTANCE_DIGITS)
+    names = [*q.columns, "_group"]
+
+    def route(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        centres, bands, groups = shared.value
+        cell, low, high, n = bands.T
+        cell = cell.astype(int)
+        held = np.bincount(cell, n, len(centres))
+        step = max(1, 2_000_000 // max(len(groups), len(centres)))
+        for batch in batches:
+            rows = matrix(batch.column(1), centres.shape[1] if len(groups) else None)
+            if not len(groups):
+                continue
+            bound = batch.column(2).to_numpy(zero_copy_only=False)
+            kept = np.flatnonzero(rows.any(axis=1))
+            for i in range(0, len(kept), step):
+                part = kept[i : i + step]
+                angle = np.arccos(np.clip(rows[part] @ centres.T, -1, 1))
+                near = np.argsort(angle, axis=1, kind="stable")
+                first = (np.cumsum(held[near], axis=1) < k).sum(axis=1, keepdims=True) + 1
+                place = np.empty_like(near)
+                np.put_along_axis(place, near, np.arange(len(centres))[None, :], 1)
+                now = place >= (first * 4 ** (turn - 1) if turn else 0)
+                if not last:
+                    now &= place < first * 4**turn
+                to_centre = angle[:, cell]
+                gap = np.maximum(np.maximum(to_centre - high, low - to_centre), 0)
+                meets = now[:, cell] & (1 - np.cos(gap) <= bound[part, None] + SLACK)
+                row, at = np.nonzero(meets)
+                yield pa.RecordBatch.from_arrays([*batch.take(pa.array(part[row])).columns, pa.array(groups[at])], names=names)
+
+    return q.mapInArrow(route, schema)
+
+
+def _search_cells(
+    q: DataFrame, cells: Cells, k: int, question_id: str, tau: float | None = None, rounds: int = 2, record: dict | None = None
+) -> DataFrame:
+    """Rounds over the cells; after each, a question's bound is the distance of its k-th hit so far."""
+    far = float("inf") if tau is None else float(tau)
+    q = stored(q)
+    hits = bounds = None
+    for turn in range(rounds):
+        if bounds is None:
+            asked = q.withColumn("_bound", F.lit(far))
+        else:
+            asked = q.join(bounds, on=question_id, how="left").withColumn("_bound", F.least(F.coalesce("_bound", F.lit(far)), F.lit(far)))
+        routed = stored(_route(asked.select(*q.columns, "_bound"), cells, k, question_id, turn, turn == rounds - 1))
+        if record is not None:
+            record["met"] = record.get("met", 0) + routed.count()
+        found = _meet(routed, cells.vectors, k, question_id, cells.vector_id, cells.centres.shape[1])
+        hits = stored(best_per_group(found if hits is None else hits.unionByName(found), [question_id], ["distance", cells.vector_id], k).drop("rank"))
+        full = F.when(F.count(F.lit(1)) >= k, F.max("distance"))
+        bounds = hits.groupBy(question_id).agg(full.alias("_bound"))
+    if record is not None:
+        record["all"] = q.count() * len(cells.groups)
+    return hits
 
 
 def vector_search_cells(
-    questions: DataFrame, cells: Cells, k: int = 5, nprobe: int = 4, question_id: str = "question_id"
+    questions: DataFrame,
+    cells: Cells,
+    k: int = 5,
+    tau: float | None = None,
+    question_id: str = "question_id",
+    rounds: int = 2,
+    record: dict | None = None,
 ) -> DataFrame:
-    """Approximate search: each question meets the vectors of its ``nprobe`` nearest cells."""
-    q = _with_cells(_usable(questions, question_id, cells.embedding), question_id, cells.centroids, nprobe)
-    hits = _grid(q, cells.vectors, k, question_id, cells.vector_id)
+    """``vector_search`` over cells that are built already, and as exact.
+
+    With ``tau`` only hits within that distance are looked for, so the work follows the number of
+    near vectors. More ``rounds`` tighten the bounds sooner and cost a shuffle each. ``record``
+    gets the pairs of question and band ``met``, and ``all`` there are.
+    """
+    q = _usable(questions, question_id, cells.embedding)
+    hits = _search_cells(q, cells, k, question_id, tau, rounds, record)
     return best_per_group(hits, [question_id], ["distance", cells.vector_id], k).select(
         question_id, "rank", cells.vector_id, "distance"
     )
@@ -447,13 +593,20 @@ def cached_answers(
     prompt_id: str = "question_id",
     cache_id: str = "id",
     answer: str = "answer",
+    cells: Cells | None = None,
+    plan: str | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Earlier answers for prompts whose nearest cached prompt is within ``tau``, and the rest.
 
-    Returns (hits: prompt id, cache id, distance, answer) and (misses: prompt rows).
+    Returns (hits: prompt id, cache id, distance, answer) and (misses: prompt rows). A large cache
+    is searched by cells (given, or picked here), where a prompt only meets the bands that can
+    hold a cached prompt within ``tau``.
     """
-    near = vector_search(prompts, cache, k=1, question_id=prompt_id, vector_id=cache_id)
-    near = near.where(F.col("distance") <= tau).drop("rank")
+    if cells is not None:
+        near = vector_search_cells(prompts, cells, 1, tau, prompt_id).where(F.col("distance") <= tau)
+    else:
+        near = _search(prompts, cache, 1, None, prompt_id, cache_id, "embedding", SMALL_ROWS, plan, tau)[0]
+    near = near.drop("rank")
     hits = near.join(cache.select(cache_id, answer), on=cache_id).select(prompt_id, cache_id, "distance", answer)
     misses = prompts.join(near.select(prompt_id), on=prompt_id, how="left_anti")
     return hits, misses

@@ -43,35 +43,33 @@ def found(hits):
 
 
 @pytest.mark.parametrize("text_ids", [False, True])
-@pytest.mark.parametrize("plan", ["scan_vectors", "scan_questions", "grid"])
-def test_exact_plans_agree_with_brute_force(spark, monkeypatch, text_ids, plan):
+@pytest.mark.parametrize("plan", search.PLANS)
+def test_plans_agree_with_brute_force(spark, monkeypatch, text_ids, plan):
     q, v = frames(spark, text_ids)
-    want = brute(q, v, 5)
-    if plan == "scan_questions":
-        monkeypatch.setattr(search, "_fits", iter_fits([None, search._fits]))
-    elif plan == "grid":
-        monkeypatch.setattr(search, "BLOCK_VECTORS", 37)
-        monkeypatch.setattr(search, "BLOCK_QUESTIONS", 11)
-    small = 5 if plan == "grid" else 4096
-    got = found(search.vector_search(q, v, 5, small_rows=small))
-    assert got == want
+    monkeypatch.setattr(search, "BLOCK_BYTES", 37 * 64)
+    monkeypatch.setattr(search, "BLOCK_QUESTIONS", 11)
+    assert found(search.vector_search(q, v, 5, plan=plan)) == brute(q, v, 5)
 
 
-def iter_fits(steps):
-    todo = list(steps)
-
-    def fits(df, small):
-        step = todo.pop(0)
-        return None if step is None else step(df, small)
-
-    return fits
+def test_the_plan_follows_the_sizes(spark):
+    q, v = frames(spark)
+    for small, plan in ((4096, "scan_vectors"), (40, "scan_vectors"), (5, "cells")):
+        assert found(search.vector_search(q, v, 3, small_rows=small)) == found(search.vector_search(q, v, 3, plan=plan))
+    many = q.withColumn("question_id", F.explode(F.array(*[F.col("question_id") + 1000 * i for i in range(10)])))
+    assert found(search.vector_search(many, v, 3, small_rows=310)) == found(search.vector_search(many, v, 3, plan="scan_questions"))
+    with pytest.raises(ValueError):
+        search.vector_search(q, v, 3, plan="other")
 
 
 def test_filter_and_short_table(spark):
     q, v = frames(spark)
     got = found(search.vector_search(q, v, 500, where=F.col("label") == 1))
     assert got == brute(q, v, 500, keep=lambda r: r.label == 1)
-    assert found(search.vector_search(q, v.where("false"), 3)) == {}
+    for plan in search.PLANS:
+        assert found(search.vector_search(q, v.where("false"), 3, plan=plan)) == {}
+        assert found(search.vector_search(q.where("false"), v, 3, plan=plan)) == {}
+        nulls = v.withColumn("embedding", F.when(F.lit(False), F.col("embedding")))
+        assert found(search.vector_search(q, nulls, 3, plan=plan)) == {}
 
 
 def test_rank_is_one_based_and_ascending(spark):
@@ -81,11 +79,13 @@ def test_rank_is_one_based_and_ascending(spark):
     assert top[0].distance == 0.0
 
 
-def test_lengths_must_agree(spark):
-    q, _ = frames(spark)
-    bad = spark.createDataFrame([(1, [1.0, 2.0])], "id long, embedding array<float>")
-    with pytest.raises(Exception, match="same length"):
-        search.vector_search(q, bad, 1).collect()
+@pytest.mark.parametrize("plan", search.PLANS)
+def test_lengths_must_agree(spark, plan):
+    q, v = frames(spark)
+    bad = spark.createDataFrame([(1000 + i, [1.0, 2.0], 0) for i in range(20)], "id long, embedding array<float>, label int")
+    for asked, held in ((q, bad), (q, v.unionByName(bad)), (bad.select(F.col("id").alias("question_id"), "embedding"), v)):
+        with pytest.raises(Exception, match="same length"):
+            search.vector_search(asked, held, 1, plan=plan).collect()
 
 
 def test_distance_expression(spark):
@@ -97,17 +97,58 @@ def test_distance_expression(spark):
     assert all(abs(near[(h.question_id, h.id)] - h.distance) < 2e-9 for h in hits)
 
 
-def test_cells_recall_and_skew(spark, monkeypatch):
-    v = spark.read.parquet("/root/testdata/sf0.01/embeddings.parquet").select(F.col("vec_id").alias("id"), "embedding")
-    q = v.withColumnRenamed("id", "question_id")
-    monkeypatch.setattr(search, "BLOCK_VECTORS", 20)
-    cells = search.build_cells(v, 8)
+def clustered(spark, n, seed, name):
+    """Vectors in 40 narrow clusters, one of which holds a third of them; some are copies."""
+    r = np.random.default_rng(9)
+    centres = r.normal(size=(40, 16))
+    r = np.random.default_rng(seed)
+    at = np.where(r.random(n) < 1 / 3, 0, r.integers(0, 40, n))
+    rows = centres[at] + 0.03 * r.normal(size=(n, 16))
+    rows[: n // 10] = rows[0]
+    return spark.createDataFrame([(i, [float(x) for x in row]) for i, row in enumerate(rows)], f"{name} long, embedding array<float>")
+
+
+def nearest_by_matrix(q, v, k):
+    a, b = (np.array([r.embedding for r in df.orderBy(df.columns[0]).collect()], dtype="float64") for df in (q, v))
+    a /= np.linalg.norm(a, axis=1, keepdims=True)
+    b /= np.linalg.norm(b, axis=1, keepdims=True)
+    d = np.round(1 - a @ b.T, 9) + 0.0
+    at = np.argsort(d, axis=1, kind="stable")[:, :k]
+    return at, np.take_along_axis(d, at, 1)
+
+
+@pytest.mark.parametrize("build", [search.build_cells, search.pick_cells])
+def test_cells_are_exact_and_leave_cells_out(spark, monkeypatch, build):
+    monkeypatch.setattr(search, "BLOCK_BYTES", 100 * 128)
+    q, v = clustered(spark, 300, 1, "question_id"), clustered(spark, 2000, 2, "id")
+    cells = build(v, 40)
     assert cells.vectors.count() == v.count()
-    exact = {(r.question_id, r.id) for r in search.vector_search(q, v, 5).collect()}
-    near = {(r.question_id, r.id) for r in search.vector_search_cells(q, cells, 5, nprobe=6).collect()}
-    assert len(exact & near) / len(exact) >= 0.9
-    every = {(r.question_id, r.id) for r in search.vector_search_cells(q, cells, 5, nprobe=8).collect()}
-    assert every == exact
+    at, d = nearest_by_matrix(q, v, 5)
+    for rounds in (1, 2, 3):
+        record = {}
+        got = search.vector_search_cells(q, cells, 5, rounds=rounds, record=record).collect()
+        assert {(r.question_id, r["rank"]): (r.id, round(r.distance, 8)) for r in got} == {
+            (i, j + 1): (int(at[i, j]), round(float(d[i, j]), 8)) for i in range(len(at)) for j in range(5)
+        }
+        assert rounds == 1 or record["met"] < 0.3 * record["all"]
+    few = search.vector_search_cells(q, cells, 3000).collect()  # more than there are: everything is a hit
+    assert len(few) == 300 * 2000
+
+
+def test_reuse_within_a_distance(spark):
+    prompts, cache = clustered(spark, 2000, 3, "question_id"), clustered(spark, 2000, 4, "id").withColumn("answer", F.concat(F.lit("a"), "id"))
+    at, d = nearest_by_matrix(prompts, cache, 1)
+    tau = float(np.median(d))
+    want = {(i, int(at[i, 0])) for i in range(2000) if d[i, 0] <= tau}
+    record = {}
+    cells = search.pick_cells(cache)
+    search.vector_search_cells(prompts, cells, 1, tau, record=record).count()
+    assert record["met"] < 0.2 * record["all"]
+    for options in ({"plan": "scan_vectors"}, {"plan": "cells"}, {"cells": cells}):
+        hits, misses = search.cached_answers(prompts, cache, tau, **options)
+        assert {(r.question_id, r.id) for r in hits.collect()} == want
+        assert misses.count() == 2000 - len(want)
+    assert search.cached_answers(prompts, cache, -1.0, cells=cells)[0].count() == 0
 
 
 def test_rerank(spark):
