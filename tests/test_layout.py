@@ -91,6 +91,28 @@ def test_both_plans_agree_with_brute_force(spark, shape):
         assert got == want
 
 
+def test_boxes_without_a_centre_neither_ask_nor_answer(spark):
+    bad = [None, [], [1, 2, 3], [1, None, 3, 4]]
+    rows = [("d", i, "a", "ANSWER", b, 0.9) for i, b in enumerate(bad)] + [("d", 10 + i, "q", "QUESTION", b, 0.9) for i, b in enumerate(bad)]
+    rows += [("d", 20, "a", "ANSWER", [50, 50, 60, 60], 0.9), ("d", 21, "a", "ANSWER", [90, 50, 90, 60], 0.9), ("d", 22, "q", "QUESTION", [0, 0, 2, 2], 0.9)]
+    tokens = spark.createDataFrame(rows, SCHEMA)
+    for small in (0, 1, 100):
+        assert [(r.question_pos, r.answer_pos) for r in layout.link_boxes(tokens, small).collect()] == [(22, 20)]
+        none = spark.createDataFrame(rows[:8], SCHEMA)
+        assert layout.link_boxes(none, small).count() == 0
+
+
+def test_the_tree_follows_the_extent_and_skips_levels(spark):
+    """Two far corners of a wide page: the levels between them have nothing to tell apart."""
+    rng = random.Random(8)
+    at = {(base + rng.randrange(30), base + rng.randrange(30)) for base in (0, 2**26) for _ in range(80)}
+    points = spark.createDataFrame([("far", x, y) for x, y in at] + [("one", 5, 5)], "doc_id string, x long, y long")
+    nodes, heights, top = layout._tree(points)
+    kept = {r.doc_id: r.kept for r in heights.collect()}
+    assert len(kept["far"]) <= 4 and kept["one"] == [0, 1] and top == len(kept["far"]) - 1
+    assert max(len(r.children) for r in nodes.collect()) <= 64
+
+
 def test_long_documents_come_in_parts(spark):
     n = 25
     rows = [("long", i, f"q{i:02d}", "QUESTION", [i, 0, i, 0], 0.9) for i in range(n)] + [("long", n, "a", "ANSWER", [0, 0, 0, 0], 0.5)]
