@@ -2,20 +2,21 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.privacy import has_pii, privacy_label, redaction, restored
+from ..functions.privacy import PATTERNS, Span, has_pii, privacy_label, redaction, redaction_of_kinds, restored
 from ..functions.prompts import mail_context
 from ..functions.text import mail_body
 from .order import best_per_group, first_rows
-from .skew import many_to_one
 
 
 def clean_mail(
-    df: DataFrame, order: list[str], max_samples: int = 500, message: str = "message", min_chars: int = 50
+    df: DataFrame, order: list[str], max_samples: int | None = None, message: str = "message", min_chars: int = 50
 ) -> DataFrame:
-    """The first ``max_samples`` messages, then the bodies longer than ``min_chars`` of those."""
+    """The first ``max_samples`` messages (null: all), then the bodies longer than ``min_chars`` of those."""
     top = first_rows(df.where(F.col(message).isNotNull()), order, max_samples)
     return top.withColumn("email_text", mail_body(message)).where(F.length("email_text") > min_chars)
 
@@ -32,30 +33,48 @@ def scan_mail(mail: DataFrame, company: str | Column, text: str = "email_text")
     )
 
 
-def redact_mail(mail: DataFrame, text: str = "email_text") -> DataFrame:
-    """Adds ``redacted`` and ``placeholders`` (array of placeholder and value)."""
-    return mail.withColumn("_r", redaction(text)).select(*mail.columns, "_r.redacted", "_r.placeholders")
+def redact_mail(
+    mail: DataFrame,
+    text: str = "email_text",
+    patterns: dict[str, str] | None = None,
+    recogniser: Callable[[list[str]], list[list[Span]]] | None = None,
+) -> DataFrame:
+    """Adds ``redacted`` and ``placeholders`` (array of placeholder and value).
+
+    E-mail addresses and phone numbers by column functions; with ``patterns`` (kind to pattern,
+    such as ``privacy.PATTERNS``) or a ``recogniser`` any kinds, see ``redaction_of_kinds``.
+    """
+    if patterns is None and recogniser is None:
+        found = redaction(text)
+    else:
+        found = redaction_of_kinds(text, PATTERNS if patterns is None else patterns, recogniser)
+    return mail.withColumn("_r", found).select(*mail.columns, "_r.redacted", "_r.placeholders")
 
 
 def rehydrate(drafts: DataFrame, placeholders: DataFrame, on: str = "mail_id", draft: str = "response") -> DataFrame:
-    """The values put back into each draft, from the placeholder table of its mail."""
-    table = placeholders.select(on, "placeholders")
+    """The values put back into each draft, from the placeholder table of its mail.
+
+    One row per draft. Where a mail has several rows of placeholders, all are put back; of two
+    values for one placeholder the lesser wins.
+    """
+    listed = F.array_sort(F.array_distinct(F.flatten(F.collect_set("placeholders"))))
+    table = placeholders.groupBy(on).agg(listed.alias("placeholders"))
     return drafts.join(table, on=on, how="left").select(
         *[c for c in drafts.columns if c != draft], restored(draft, "placeholders").alias(draft)
     )
 
 
 def with_customer(
-    mail: DataFrame, customers: DataFrame, on: str = "email", order: list[Column | str] | None = None, salts: int = 8
+    mail: DataFrame, customers: DataFrame, on: str = "email", order: list[Column | str] | None = None
 ) -> DataFrame:
     """The first customer record of the mail's address, or nulls.
 
-    Spark broadcasts the customers when its size estimate allows; otherwise the join is
-    salted, as one address may have sent most of the mail.
+    Spark broadcasts the customers when its size estimate allows; otherwise the adaptive skew
+    join splits an address that sent most of the mail.
     """
     others = [c for c in customers.columns if c != on]
     first = best_per_group(customers, [on], order or [F.asc(c) for c in others], 1, rank="_first").drop("_first")
-    return many_to_one(mail, first, [on], how="left", salts=salts)
+    return mail.join(first, on=on, how="left")
 
 
 def fold_reviews(events: DataFrame) -> DataFrame:
@@ -71,7 +90,7 @@ def fold_reviews(events: DataFrame) -> DataFrame:
     starts = (
         events.where(drafted & ~remark).groupBy("mail_id").agg(F.max("seq").alias("_start"))
     )
-    marked = many_to_one(events, starts, ["mail_id"], how="left")
+    marked = events.join(starts, on="mail_id", how="left")
     counted = drafted & remark & (F.col("_start").isNull() | (F.col("seq") > F.col("_start")))
     decision = F.max_by(F.col("approved"), F.when(F.col("approved").isNotNull(), F.col("seq")))
     return marked.groupBy("mail_id").agg(

@@ -1,6 +1,7 @@
 import random
 import re
 
+import pytest
 from pyspark.sql import functions as F
 
 from docsift.functions import parsing as ps
@@ -82,5 +83,35 @@ def test_prompts_hold_their_slots(spark):
     assert "cite" in p.answer and "urgent" in p.sort and "complaint" in p.sort
     assert "{ctx} %s" in p.receipt and "{ctx} %s" in p.qa and "4" in p.qa
     long = spark.createDataFrame([("c" * 4000, "a" * 2000)], "c string, a string")
-    f = long.select(prompts.faithfulness_prompt("a", "c")).first()[0]
+    f = long.select(prompts.faithfulness_prompt("a", "c", prompts.ANSWER_CHARS, prompts.CONTEXT_CHARS)).first()[0]
     assert f.count("c" * 3000) == 1 and "c" * 3001 not in f and "a" * 1501 not in f
+
+
+def test_spans_are_leftmost_then_longest():
+    spans = [("A", 5, 9), ("B", 0, 3), ("C", 2, 8), ("D", 5, 12), ("E", 12, 13), ("F", 12, 13)]
+    assert pv.chosen_spans(spans) == [("B", 0, 3), ("D", 5, 12), ("E", 12, 13)]
+
+
+def test_redaction_of_any_kinds(spark):
+    texts = [
+        "Ann Lee: a@b.cd, 4111 1111 1111 1111 or 4111-1111-1111-1111; again a@b.cd, [CARD_7]", None, "", "nothing",
+        "123-456-7890@x.yz and 123-456-7890", "Ann [NAME_3] Lee " + "9@a.bc " * 3000, "\U0001f600 Ann Lee \u0663\u0663\u0663-456-7890",
+    ]
+
+    def names(batch):
+        import re
+
+        return [[("NAME", m.start(), m.end()) for m in re.finditer("Ann Lee|Ann", t)] for t in batch]
+
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    found = df.withColumn("r", pv.redaction_of_kinds("t", pv.PATTERNS, names))
+    rows = {r.i: r for r in found.select("i", "t", "r.*", pv.restored("r.redacted", "r.placeholders").alias("back")).collect()}
+    assert all(r.back == r.t for r in rows.values())
+    assert rows[0].redacted == "[NAME_8]: [EMAIL_9], [CARD_10] or [CARD_11]; again [EMAIL_9], [CARD_7]"
+    assert rows[4].redacted == "[EMAIL_1] and [PHONE_2]" and rows[1].redacted is None and rows[2].redacted == ""
+    assert rows[5].redacted.startswith("[NAME_4] [NAME_3] Lee [EMAIL_5] ") and len(rows[5].placeholders) == 2
+    assert rows[6].redacted == "\U0001f600 [NAME_1] [PHONE_2]"
+    with pytest.raises(ValueError):
+        pv.redaction_of_kinds("t", {"no good": "x"})
+    with pytest.raises(Exception, match="outside the text"):
+        df.select(pv.redaction_of_kinds("t", {}, lambda batch: [[("NAME", 0, 10**6)] for _ in batch])).collect()
