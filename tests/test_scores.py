@@ -1,5 +1,7 @@
 import itertools
+import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -77,3 +79,29 @@ def test_flag_is_on_the_unrounded_mean(spark):
     assert (total.total_questions, total.flagged_count, total.flag_rate) == (3, 1, 0.333)
     empty = judge.summarise(flagged.where("false")).first()
     assert (empty.total_questions, empty.avg_faithfulness, empty.flagged_count, empty.flag_rate) == (0, None, 0, 0.0)
+
+
+@pytest.mark.parametrize("kinds", [(1000, 1000), (4, 3), (1000, 2), (1, 5)])
+def test_rank_agreement_against_all_pairs(spark, kinds):
+    rng = random.Random(str(kinds))
+    rows = [(i, rng.randrange(kinds[0]) / 7, float(rng.randrange(kinds[1]))) for i in range(250)]
+    scored = spark.createDataFrame([(i, s) for i, s, _ in rows] + [(900, None)], "doc long, s double")
+    labels = spark.createDataFrame([(i, x) for i, _, x in rows] + [(900, 1.0)], "doc long, x double")
+    agree = sum((a[1] - b[1]) * (a[2] - b[2]) > 0 for a, b in itertools.combinations(rows, 2))
+    against = sum((a[1] - b[1]) * (a[2] - b[2]) < 0 for a, b in itertools.combinations(rows, 2))
+    apart = [sum(a[k] != b[k] for a, b in itertools.combinations(rows, 2)) for k in (1, 2)]
+
+    def ranks(k):
+        order = sorted(r[k] for r in rows)
+        return [order.index(r[k]) + (order.count(r[k]) - 1) / 2 for r in rows]
+
+    for cut in (1000, 40):
+        row = judge.judge_alignment(scored, labels, "doc", "s", "x", range_rows=cut).first()
+        assert row.n_pairs == 251
+        if kinds[0] == 1:
+            assert row.kendall is None and row.spearman is None
+        else:
+            assert row.kendall == pytest.approx((agree - against) / (apart[0] * apart[1]) ** 0.5)
+            assert row.spearman == pytest.approx(float(np.corrcoef(ranks(1), ranks(2))[0, 1]))
+    none = judge.judge_alignment(scored.where("false"), labels, "doc", "s", "x").first()
+    assert (none.n_pairs, none.kendall, none.spearman, none.correlation) == (0, None, None, None)
