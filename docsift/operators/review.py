@@ -42,3 +42,27 @@ def extend_gold(gold: DataFrame, confirmed: DataFrame, on: str = "question") ->
     """Confirmed pairs whose question the set does not hold yet, added to it (duplicates kept)."""
     fresh = confirmed.select(*gold.columns).join(gold.select(on).distinct(), on=on, how="left_anti")
     return gold.unionByName(fresh.select(*gold.columns))
+
+
+def extend_training(
+    records: DataFrame, corrections: DataFrame, version: str = "version", key: str = "receipt_text"
+) -> DataFrame:
+    """Training records (``input, output``) with what reviewers confirmed or corrected.
+
+    ``corrections`` has the receipt text, the ``predicted`` and ``corrected`` fields (structs) and a
+    version. The fields of a review are the corrected ones, or the predicted ones it confirmed. Of
+    several reviews of a receipt the latest wins (a null version is the oldest, at equal versions the
+    greater JSON text); the rest is dropped before the shuffle. A reviewed receipt replaces the output of every
+    record with its text, or is added once. Reviews without a text or any fields change nothing.
+    Column ``reviewed`` tells the rows apart.
+    """
+    known = F.coalesce(F.to_json("corrected"), F.to_json("predicted"))
+    usable = corrections.select(F.col(key).alias("input"), F.col(version).alias("_v"), known.alias("_fields")).where(
+        F.col("input").isNotNull() & F.col("_fields").isNotNull()
+    )
+    # A struct is never null, so rows with a null version count too.
+    latest = usable.groupBy("input").agg(F.max(F.struct("_v", "_fields")).alias("_last")).select("input", F.col("_last._fields").alias("_new"))
+    joined = records.select("input", "output", F.lit(True).alias("_old")).join(latest, on="input", how="full")
+    return joined.select(
+        "input", F.coalesce("_new", "output").alias("output"), F.col("_new").isNotNull().alias("reviewed")
+    )

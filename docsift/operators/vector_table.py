@@ -2,9 +2,26 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .order import global_index
+
+
+def with_default_ids(batch: DataFrame, id_col: str = "id", order: list[Column | str] | None = None) -> DataFrame:
+    """Rows without an id get ``doc_{i}``, ``i`` being their place in the batch.
+
+    The place follows ``order`` (by default all other columns but maps), so that the same batch gets the same ids
+    again. Null columns come first; rows that tie on the whole order are equal and take the places
+    in any way. Without the id column all rows are without an id. Ids become texts.
+    """
+    if id_col not in batch.columns:
+        batch = batch.withColumn(id_col, F.lit(None).cast("string"))
+    others = [f.name for f in batch.schema.fields if f.name != id_col and "map<" not in f.dataType.simpleString()]
+    placed = global_index(batch.withColumn(id_col, F.col(id_col).cast("string")), [*(order or others), id_col], "_place")
+    default = F.concat(F.lit("doc_"), F.col("_place").cast("string"))
+    return placed.withColumn(id_col, F.coalesce(id_col, default)).select(*batch.columns)
+
 
 def unique_ids(batch: DataFrame, id_col: str = "id") -> DataFrame:
     """The batch, failing when an id occurs twice in it."""

@@ -75,3 +75,29 @@ def read_receipt_pairs(spark: SparkSession, path: str) -> tuple[DataFrame, DataF
     texts = _whole_files(spark, path, "*.txt").select(F.col("_file").alias("name"), strip("text").alias("input"))
     labels = _whole_files(spark, path, "*.json").select(F.col("_file").alias("name"), strip("text").alias("output"))
     return texts, labels
+
+
+MANIFESTS = "_manifests"
+
+
+def vector_parts(spark: SparkSession, path: str) -> tuple[int, list[str]]:
+    """Number of the last whole manifest of a vector table and the folders it names; (0, []) without one."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{MANIFESTS}")
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(folder):
+        return 0, []
+    names = sorted((f.getPath().getName() for f in files.listStatus(folder)), reverse=True)
+    numbers = [n for n in names if n.isdigit()]
+    for name in numbers:
+        lines = [r.value for r in spark.read.text(f"{path}/{MANIFESTS}/{name}").coalesce(1).collect()]  # a line per append
+        if lines and lines[-1] == f"{len(lines) - 1} parts":
+            return int(numbers[0]), lines[:-1]
+    return int(numbers[0]) if numbers else 0, []
+
+
+def read_vectors(spark: SparkSession, path: str) -> DataFrame:
+    """The rows of a vector table as its last manifest has them."""
+    _, parts = vector_parts(spark, path)
+    if not parts:
+        raise FileNotFoundError(f"no vector table at {path}")
+    return spark.read.parquet(*[f"{path}/{p}" for p in parts])

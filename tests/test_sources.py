@@ -53,7 +53,7 @@ def test_chunks_keep_their_order(spark, tmp_path):
         assert got == [f"{letter}{i}" for i in range(30)]
     from docsift.operators.chunks import qa_sources
 
-    first = qa_sources(df, ["file"], ["pos"], min_chars=0).orderBy("file", "pos").collect()
+    first = qa_sources(df, ["file"], ["pos"], n=20, min_chars=0).orderBy("file", "pos").collect()
     assert [r.text for r in first] == [f"t{i}" for i in range(20)] + [f"c{i}" for i in range(20)]
 
 
@@ -86,11 +86,40 @@ def test_vector_table_keeps_the_first_row(spark, tmp_path):
     first = embed(spark.createDataFrame([("a", "one"), ("b", "two")], schema))
     second = embed(spark.createDataFrame([("b", "changed"), ("c", "three")], schema))
     assert sinks.append_vectors(first, path) == 2 and sinks.append_vectors(second, path) == 2
-    assert {r.id: r.text for r in spark.read.parquet(path).collect()} == {"a": "one", "b": "two", "c": "three"}
+    assert {r.id: r.text for r in readers.read_vectors(spark, path).collect()} == {"a": "one", "b": "two", "c": "three"}
     twice = embed(spark.createDataFrame([("d", "x"), ("d", "y")], schema))
     with pytest.raises(Exception, match="id occurs twice"):
         sinks.append_vectors(twice, path)
-    assert spark.read.parquet(path).count() == 3
+    assert readers.read_vectors(spark, path).count() == 3
+
+
+def test_an_append_counts_once_or_not_at_all(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "vectors")
+    schema = "id string, text string"
+    batch = spark.createDataFrame([("a", "one"), (None, "two"), (None, None), (None, "two")], schema).repartition(3)
+    assert sinks.append_vectors(batch, path) == 4 and sinks.append_vectors(batch, path) == 4
+    held = sorted((r.id, r.text) for r in readers.read_vectors(spark, path).select("id", F.coalesce("text", F.lit("-")).alias("text")).collect())
+    assert held == [("a", "one"), ("doc_0", "-"), ("doc_2", "two"), ("doc_3", "two")]
+    assert sinks.append_vectors(batch.drop("id"), str(tmp_path / "unnamed")) == 4
+    assert {r.id for r in readers.read_vectors(spark, str(tmp_path / "unnamed")).collect()} == {f"doc_{i}" for i in range(4)}
+    more = spark.createDataFrame([("z", "new")], schema)
+
+    def killed(*_):
+        raise RuntimeError("killed")
+
+    with monkeypatch.context() as m:
+        m.setattr(sinks, "name_vector_parts", killed)
+        with pytest.raises(RuntimeError):
+            sinks.append_vectors(more, path)
+    assert readers.read_vectors(spark, path).count() == 4  # the folder is there, but nothing names it
+    number, parts = readers.vector_parts(spark, path)
+    (tmp_path / "vectors" / readers.MANIFESTS / f"{number + 1:010d}").write_text(parts[0])  # cut off while it was written
+    assert readers.vector_parts(spark, path) == (number + 1, parts)
+    with pytest.raises(Exception, match="xist"):
+        sinks.name_vector_parts(spark, path, number + 1, parts)
+    assert sinks.append_vectors(more, path) == 1 and readers.read_vectors(spark, path).count() == 5
+    with pytest.raises(FileNotFoundError):
+        readers.read_vectors(spark, str(tmp_path / "none"))
 
 
 def test_append_tables(spark, tmp_path):
@@ -113,3 +142,17 @@ def test_review_tables(spark):
     one = review.queue_item(gold, "answer", F.col("question"), F.lit("low score"), F.lit(0.5))
     two = review.queue_item(more, "draft", F.col("question"), F.lit("approval"))
     assert review.review_queue(one, two).count() == 5
+
+
+def test_the_latest_review_wins(spark):
+    records = spark.createDataFrame([("r1", "old"), ("r1", "old"), ("r2", "old"), (None, "old")], "input string, output string")
+    kind = "struct<total:string>"
+    rows = [
+        ("r1", ("1",), ("2",), 5), ("r1", ("1",), ("3",), 7), ("r1", ("1",), ("4",), 7), ("r1", ("9",), None, 6), ("r1", ("8",), ("8",), None),
+        ("new", ("5",), None, None), ("new", ("6",), None, None), (None, ("7",), ("7",), 1), ("r2", None, None, 9),
+    ]
+    reviews = spark.createDataFrame(rows, f"receipt_text string, predicted {kind}, corrected {kind}, version int")
+    got = sorted((r.input or "", r.output, r.reviewed) for r in review.extend_training(records, reviews).collect())
+    assert got == [("", "old", False), ("new", '{"total":"6"}', True)] + [("r1", '{"total":"4"}', True)] * 2 + [("r2", "old", False)]
+    assert review.extend_training(records, reviews.where("false")).count() == 4
+    assert review.extend_training(records.where("false"), reviews).count() == 2
