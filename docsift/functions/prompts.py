@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from .text import col, truncate
 
-# Label sets and character cuts.
+# Label sets, and the character cuts a caller may ask for (none is made by default).
 PRIORITIES = ("urgent", "normal", "low")
 MAIL_TYPES = ("complaint", "request", "info")
 CONTEXT_CHARS = 3000
@@ -28,33 +28,35 @@ def answer_prompt(question: Column | str, context: Column | str) -> Column:
     )
 
 
-def _judge(task: str, head: str, reference: Column, answer: Column) -> Column:
+def _judge(task: str, head: str, reference: Column, answer: Column, answer_chars: int | None) -> Column:
     return _join(
-        task + f"\n\n{head}:\n", reference, "\n\nAnswer:\n", truncate(answer, ANSWER_CHARS),
+        task + f"\n\n{head}:\n", reference, "\n\nAnswer:\n", truncate(answer, answer_chars),
         "\n\nReply with one number between 0.0 and 1.0 and nothing else.\nScore:",
     )
 
 
-def faithfulness_prompt(answer: Column | str, context: Column | str) -> Column:
+def faithfulness_prompt(
+    answer: Column | str, context: Column | str, answer_chars: int | None = None, context_chars: int | None = None
+) -> Column:
     task = "Judge how far every claim of the answer is backed by the context (1.0: all of them)."
-    return _judge(task, "Context", truncate(context, CONTEXT_CHARS), col(answer))
+    return _judge(task, "Context", truncate(context, context_chars), col(answer), answer_chars)
 
 
-def relevancy_prompt(answer: Column | str, question: Column | str) -> Column:
+def relevancy_prompt(answer: Column | str, question: Column | str, answer_chars: int | None = None) -> Column:
     task = "Judge how directly the answer settles the question, without filler (1.0: fully)."
-    return _judge(task, "Question", col(question), col(answer))
+    return _judge(task, "Question", col(question), col(answer), answer_chars)
 
 
-def correctness_prompt(answer: Column | str, truth: Column | str) -> Column:
+def correctness_prompt(answer: Column | str, truth: Column | str, answer_chars: int | None = None) -> Column:
     task = "Judge whether the answer states the same facts as the verified answer (1.0: the same)."
-    return _judge(task, "Verified answer", col(truth), col(answer))
+    return _judge(task, "Verified answer", col(truth), col(answer), answer_chars)
 
 
-def qa_prompt(text: Column | str, pairs: int = 3) -> Column:
+def qa_prompt(text: Column | str, pairs: int = 3, text_chars: int | None = None) -> Column:
     return _join(
         f"Write {pairs} questions with their answers about the text below, as a JSON array of "
         'objects with the keys "question" and "answer". Reply with the array only.\n\nText:\n',
-        truncate(text, QA_TEXT_CHARS),
+        truncate(text, text_chars),
     )
 
 

@@ -38,8 +38,8 @@ def unix_newlines(text: Column | str) -> Column:
     return F.regexp_replace(col(text), "\r\n?", "\n")
 
 
-def truncate(text: Column | str, n: int) -> Column:
-    return F.substring(col(text), 1, n)
+def truncate(text: Column | str, n: int | None) -> Column:
+    return col(text) if n is None else F.substring(col(text), 1, n)
 
 
 def chunk_texts(
@@ -79,12 +79,12 @@ TRAINING_RECEIPT_HEAD = "### Receipt:\n"
 TRAINING_FIELDS_HEAD = "\n\n### Extracted Fields:\n"
 
 
-def training_text(receipt: Column | str, fields_json: Column | str, max_words: int = 512) -> Column:
-    """Receipt and fields sections, cut after ``max_words`` words (joined by blanks when cut)."""
+def training_text(receipt: Column | str, fields_json: Column | str, max_words: int | None = None) -> Column:
+    """Receipt and fields sections, cut after ``max_words`` words (joined by blanks when cut; null: whole)."""
     whole = F.concat(
         F.lit(TRAINING_RECEIPT_HEAD), col(receipt), F.lit(TRAINING_FIELDS_HEAD), col(fields_json)
     )
-    return _cut(whole, max_words)
+    return whole if max_words is None else _cut(whole, max_words)
 
 
 def _cut(text: Column, max_words: int) -> Column:

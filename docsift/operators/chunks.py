@@ -44,10 +44,11 @@ def manifest(
 
 
 def qa_sources(
-    chunks: DataFrame, file: list[str], order: list[str], text: str = "text", n: int = 20, min_chars: int = 100
+    chunks: DataFrame, file: list[str], order: list[str], text: str = "text", n: int | None = None, min_chars: int = 100
 ) -> DataFrame:
-    """The first ``n`` chunks of each file, and of those the ones longer than ``min_chars``."""
-    return head_per_group(chunks, file, order, n).where(F.length(text) > min_chars)
+    """The first ``n`` chunks of each file (null: all), and of those the ones longer than ``min_chars``."""
+    first = chunks if n is None else head_per_group(chunks, file, order, n)
+    return first.where(F.length(text) > min_chars)
 
 
 def mark_unverified(pairs: DataFrame) -> DataFrame:

@@ -5,9 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-SOURCE_CARD_CHARS = 150
-
-
 def build_context(
     questions: DataFrame, hits: DataFrame, question_id: str = "question_id", text: str = "text"
 ) -> DataFrame:
@@ -38,21 +35,26 @@ def build_context(
     )
 
 
-def source_card(source: Column, page: Column, section: Column, content: Column) -> Column:
-    """Struct ``source, place, excerpt`` for showing one cited chunk."""
+def source_card(source: Column, page: Column, section: Column, content: Column, chars: int | None = None) -> Column:
+    """Struct ``source, place, excerpt`` for showing one cited chunk.
+
+    The excerpt is the first ``chars`` characters, with dots where there are more (null: the whole text).
+    """
 
     def filled(c: Column) -> Column:
         return F.nullif(c.cast("string"), F.lit(""))
 
     body = F.coalesce(content, F.lit(""))
-    dots = F.when(F.length(body) > SOURCE_CARD_CHARS, "...").otherwise("")
+    excerpt = body if chars is None else F.concat(F.substring(body, 1, chars), F.when(F.length(body) > chars, "...").otherwise(""))
     return F.struct(
         F.coalesce(filled(source), F.lit("Unknown")).alias("source"),
         F.coalesce(filled(page), filled(section), F.lit("N/A")).alias("place"),
-        F.concat(F.substring(body, 1, SOURCE_CARD_CHARS), dots).alias("excerpt"),
+        excerpt.alias("excerpt"),
     )
 
 
-def source_cards(df: DataFrame, source: Column, page: Column, section: Column, content: Column) -> DataFrame:
-    card = source_card(source, page, section, content)
+def source_cards(
+    df: DataFrame, source: Column, page: Column, section: Column, content: Column, chars: int | None = None
+) -> DataFrame:
+    card = source_card(source, page, section, content, chars)
     return df.withColumn("_card", card).select(*df.columns, "_card.*")

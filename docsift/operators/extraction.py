@@ -45,16 +45,17 @@ def normalise_receipts(df: DataFrame) -> DataFrame:
     )
 
 
-def with_training_text(records: DataFrame, max_words: int = 512) -> DataFrame:
+def with_training_text(records: DataFrame, max_words: int | None = None) -> DataFrame:
     return records.withColumn("training_text", training_text("input", "output", max_words))
 
 
 def score_extractions(pred: DataFrame, gold: DataFrame, on: str = "receipt_id") -> DataFrame:
     """Field scores and exact match per labelled receipt; a missing prediction counts as empty.
 
-    Both sides carry a struct column ``fields``.
+    Both sides carry a struct column ``fields``. One row per labelled receipt: of several
+    predictions the least by its fields counts.
     """
-    p = pred.select(on, F.col("fields").alias("predicted"))
+    p = pred.groupBy(on).agg(F.min("fields").alias("predicted"))
     g = gold.select(on, F.col("fields").alias("gold"))
     joined = g.join(p, on=on, how="left")
     return joined.select(
@@ -137,14 +138,16 @@ def generate_qa(
     order: list[str],
     text: str = "text",
     num_pairs: int = 3,
-    target_pairs: int | None = 50,
+    target_pairs: int | None = None,
+    text_chars: int | None = None,
     **call,
 ) -> DataFrame:
     """Question-answer rows from texts, in source order, unverified; failures give none.
 
-    ``target_pairs`` is the size of the wanted set (null keeps all pairs).
+    ``target_pairs`` is the size of the wanted set (null keeps all pairs), ``text_chars`` the part of
+    a text that is asked about (null: the whole).
     """
-    asked = sources.withColumn("_ask", prompts.qa_prompt(text, num_pairs))
+    asked = sources.withColumn("_ask", prompts.qa_prompt(text, num_pairs, text_chars))
     options = {"temperature": TEMPERATURE_QA, "on_error": "null", **call}
     replied = complete(asked, "_ask", fn, **options)
     pairs = replied.select(*order, F.posexplode(question_answer_pairs("reply")).alias("pair", "_qa")).select(

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .skew import durable, many_to_one
+from .stored import stored
 
 # Fixed default temperatures per kind of call.
 TEMPERATURE_DEFAULT = 0.2
@@ -75,15 +75,15 @@ def complete(
     on_error: str = "raise",
     backoff: float = 1.0,
     batch_size: int = 64,
-    salts: int = 8,
     keep: bool = False,
 ) -> DataFrame:
     """Adds ``out`` and ``out_error``: the reply to each row's prompt.
 
     Equal prompts are sent once and share the reply; null prompts are not sent. A prompt
-    that most rows share is reduced before the shuffle, and its reply goes back to salted
-    slices of those rows. ``keep=True`` stores the replies in the checkpoint folder, so a
-    paid model is not called again when the result is used twice or an executor is lost.
+    that most rows share is reduced before the shuffle; its rows meet the reply in a plain
+    join, which the adaptive skew join splits. ``keep=True`` stores the replies in the
+    checkpoint folder, so a paid model is not called again when the result is used twice
+    or an executor is lost.
     """
     if on_error not in ("raise", "null"):
         raise ValueError("on_error is raise or null")
@@ -102,6 +102,6 @@ def complete(
     )
     replies = distinct.mapInPandas(_caller(fn, temperature, retries, on_error, backoff, batch_size), schema)
     if keep:
-        replies = durable(replies)
-    joined = many_to_one(keyed, replies, ["_key"], how="left", salts=salts)
+        replies = stored(replies)
+    joined = keyed.join(replies, on="_key", how="left")
     return joined.select(*df.columns, F.col("_reply").alias(out), F.col("_error").alias(f"{out}_error"))

@@ -29,7 +29,7 @@ def best_per_group(df: DataFrame, keys: list[str], order: list[Column | str], k:
     return df.withColumn(rank, F.row_number().over(out)).where(F.col(rank) <= k)
 
 
-def head_per_group(df: DataFrame, group: list[str], order: list[Column | str], n: int = 20) -> DataFrame:
+def head_per_group(df: DataFrame, group: list[str], order: list[Column | str], n: int) -> DataFrame:
     return best_per_group(df, group, order, n, rank="_head").drop("_head")
 
 
@@ -93,8 +93,10 @@ def global_index(
     return group_index(df, [], order, name, total=total, range_rows=range_rows)
 
 
-def first_rows(df: DataFrame, order: list[str], limit: int, name: str | None = None) -> DataFrame:
-    """The first ``limit`` rows of an order, with their position when ``name`` is given."""
+def first_rows(df: DataFrame, order: list[str], limit: int | None, name: str | None = None) -> DataFrame:
+    """The first ``limit`` rows of an order (null: all), with their position when ``name`` is given."""
+    if limit is None:
+        return df if name is None else global_index(df, order, name)
     top = df.orderBy(*order).limit(limit)
     if name is None:
         return top
@@ -118,7 +120,8 @@ def ordered_split(
     return at.withColumn(name, F.when(F.col(index) < train, "train").otherwise("validation")).drop("_rows")
 
 
-def cap_pairs(pairs: DataFrame, order: list[str], target: int = 50) -> DataFrame:
+def cap_pairs(pairs: DataFrame, order: list[str], target: int | None = None) -> DataFrame:
+    """The first ``target`` pairs; all of them when it is null."""
     return first_rows(pairs, order, target)
 
 
@@ -127,9 +130,9 @@ def sample_corpus(
     order: list[str],
     text: str = "text",
     min_chars: int = 200,
-    limit: int = 100,
+    limit: int | None = None,
     name_format: str = "arxiv_%04d",
 ) -> DataFrame:
-    """The first ``limit`` texts longer than ``min_chars``, named by their position."""
+    """The first ``limit`` texts (null: all) longer than ``min_chars``, named by their position."""
     kept = first_rows(df.where(F.length(text) > min_chars), order, limit, "index")
     return kept.withColumn("name", F.format_string(name_format, F.col("index"))).drop("index")

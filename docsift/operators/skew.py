@@ -1,52 +1,15 @@
-"""Joins and intermediate tables that hold up under hot keys and lost executors."""
+"""Intermediate results that hold up under lost executors."""
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-
-def many_to_one(
-    left: DataFrame, right: DataFrame, on: list[str], how: str = "inner", salts: int = 8
-) -> DataFrame:
-    """Equi-join to a side with one row per key, where any key may hold most of ``left``.
 
-    Each key of ``left`` is spread over ``salts`` tasks by a hash of the whole row (the
-    same on every retry); ``right`` is repeated once per salt. ``salts`` is a power of two;
-    1 leaves the split to the adaptive skew join.
-    """
-    if how not in ("inner", "left"):
-        raise ValueError("many_to_one joins inner or left")
-    if salts < 1 or salts & (salts - 1):
-        raise ValueError("salts must be a power of two")
-    if salts == 1:
-        return left.join(right, on=on, how=how)
-    # A bit mask cannot be null, so Spark adds no null check that would hash each row again.
-    salted = left.withColumn("_salt", F.xxhash64(*_hashable(left)).bitwiseAND(F.lit(salts - 1)))
-    spread = right.withColumn("_salt", F.explode(F.array(*[F.lit(i).cast("bigint") for i in range(salts)])))
-    return salted.join(spread, on=[*on, "_salt"], how=how).drop("_salt")
-
-
-def _hashable(df: DataFrame) -> list[str]:
-    names = [f.name for f in df.schema.fields if "map<" not in f.dataType.simpleString()]
-    return [f"`{n}`" for n in names]
+from .stored import shared_folder
 
 
 def durable(df: DataFrame) -> DataFrame:
-    """Computed once and kept in the cluster's checkpoint folder.
-
-    The folder comes from ``spark.checkpoint.dir``. Only a local session without one gets
-    a folder of its own; a cluster session must name a shared one.
-    """
-    spark = df.sparkSession
-    sc = spark.sparkContext
+    """Computed once and checkpointed in the cluster's folder (``spark.checkpoint.dir``)."""
+    sc = df.sparkSession.sparkContext
     if sc.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if folder is None:
-            if not sc.master.startswith("local"):
-                raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-            folder = tempfile.mkdtemp(prefix="docsift-checkpoint-")
-        sc.setCheckpointDir(folder)
+        sc.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint(eager=True)

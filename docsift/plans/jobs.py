@@ -78,9 +78,11 @@ def number_questions(qa: DataFrame, order: list[str]) -> DataFrame:
     return global_index(qa, order, "id").withColumnRenamed("answer", "ground_truth")
 
 
-def build_qa_set(chunks: DataFrame, fn: Model, path: str | None = None, target_pairs: int = 50, **call) -> DataFrame:
-    """``file, pos, text`` chunks to unverified question-answer rows."""
-    sources = ch.qa_sources(chunks, ["file"], ["pos"])
+def build_qa_set(chunks: DataFrame, fn: Model, path: str | None = None, target_pairs: int | None = None, per_file: int | None = None, **call) -> DataFrame:
+    """``file, pos, text`` chunks to unverified question-answer rows.
+
+    ``per_file`` chunks of a file are asked about and ``target_pairs`` pairs kept (null: all)."""
+    sources = ch.qa_sources(chunks, ["file"], ["pos"], n=per_file)
     pairs = ex.generate_qa(sources, fn, ["file", "pos"], target_pairs=target_pairs, **call)
     out = pairs.select("question", "answer", "verified")
     if path is not None:
@@ -88,10 +90,12 @@ def build_qa_set(chunks: DataFrame, fn: Model, path: str | None = None, target_p
     return out
 
 
-def prepare_receipts(spark: SparkSession, path: str, out: str | None = None, val_split: float = 0.15) -> DataFrame:
+def prepare_receipts(
+    spark: SparkSession, path: str, out: str | None = None, val_split: float = 0.15, max_words: int | None = None
+) -> DataFrame:
     """Receipt folder to training records with their split, in file order."""
     paired = ex.pair_by_stem(*read_receipt_pairs(spark, path))
-    records = ex.with_training_text(ordered_split(paired, ["stem"], val_split))
+    records = ex.with_training_text(ordered_split(paired, ["stem"], val_split), max_words)
     if out is not None:
         for name in ("train", "validation"):
             write_jsonl(records.where(F.col("split") == name).select("input", "output"), f"{out}/{name}")

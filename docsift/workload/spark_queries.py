@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import parsing, routing, scores, text
+from ..functions import parsing, privacy, routing, scores, text
 from ..operators import calls, chunks, context, extraction, judge, layout, mail, order, review, search, vector_table
 from ..operators.embedding import embed
 from ..operators.model import complete
@@ -81,8 +81,18 @@ def vector_topk_filtered(spark, sf_dir):
 
 
 def vector_topk_cells(spark, sf_dir):
+    """The same over 16 trained cells: nearest cells first, then those the bound leaves."""
     cells = search.build_cells(_vectors(spark, sf_dir), 16)
-    return search.vector_search_cells(_centroids(spark, sf_dir), cells, 5, nprobe=6).select(
+    return search.vector_search_cells(_centroids(spark, sf_dir), cells, 5).select(
+        "question_id", F.col("rank").cast("bigint").alias("rank"), "id", "distance"
+    )
+
+
+def vector_neighbours(spark, sf_dir):
+    """Every vector as a question to all of them, by the plan for two large sides."""
+    vectors = _vectors(spark, sf_dir)
+    asked = vectors.select(F.col("id").alias("question_id"), "embedding")
+    return search.vector_search(asked, vectors, 4, plan="cells").select(
         "question_id", F.col("rank").cast("bigint").alias("rank"), "id", "distance"
     )
 
@@ -115,18 +125,23 @@ def ingest_new_only(spark, sf_dir):
     return vector_table.new_rows(batch, stored).select("id", F.length("text").cast("bigint").alias("n_chars"))
 
 
-def _cache(spark, sf_dir):
+def _cache(spark, sf_dir, plan=None):
     prompts = documents(spark, sf_dir).select(F.col("doc_id").alias("question_id"), "text")
     cache = table(spark, sf_dir, "benchmark").select(
         F.col("item_id").alias("id"), F.col("text"), F.concat(F.lit("answer to "), F.col("item_id")).alias("answer")
     )
-    return search.cached_answers(embed(prompts), embed(cache), CACHE_TAU)
+    return search.cached_answers(embed(prompts), embed(cache), CACHE_TAU, plan=plan)
 
 
 def cached_answers(spark, sf_dir):
     return _cache(spark, sf_dir)[0]
 
 
+def cached_answers_cells(spark, sf_dir):
+    """The same by the plan for a large cache."""
+    return _cache(spark, sf_dir, "cells")[0]
+
+
 def cache_misses(spark, sf_dir):
     return _cache(spark, sf_dir)[1].select("question_id")
 
@@ -150,7 +165,7 @@ def source_cards(spark, sf_dir):
     source = F.when(F.col("lang") != "es", F.col("source"))
     page = F.when(F.col("lang") == "de", F.col("n_chars").cast("string")).otherwise("")
     section = F.when(F.col("lang") == "fr", F.col("lang"))
-    card = context.source_card(source, page, section, F.col("text"))
+    card = context.source_card(source, page, section, F.col("text"), chars=150)
     return docs.select("doc_id", card.alias("c")).select("doc_id", "c.source", "c.place", "c.excerpt")
 
 
@@ -162,17 +177,17 @@ def score_parse(spark, sf_dir):
 
 
 def _scored(spark, sf_dir):
-    """Labelled documents as QA pairs. Good ones are answered by their first chunk, the calls
+    """Labelled documents as QA pairs. Good ones are answered by their text in lower case, the calls
     for the others failed; toxic ones come back without context."""
     rows = documents(spark, sf_dir).join(table(spark, sf_dir, "labels"), on="doc_id")
     ask = F.concat(F.lit("What is said in "), "source", F.lit(" ("), "lang", F.lit("): "), "text", F.lit("?"))
     qa = order.global_index(rows.select("doc_id", ask.alias("question"), F.col("text").alias("ground_truth")), ["doc_id"], "id")
     answers = rows.where(F.col("quality") == 1).select(
-        "doc_id", F.get(text.chunk_texts("text"), F.lit(0)).alias("answer"),
+        "doc_id", F.lower("text").alias("answer"),
         F.when(F.col("toxic") == 1, "").otherwise(F.col("text")).alias("retrieved_context"),
     )
     paired = judge.attach_answers(qa, answers, on="doc_id")
-    return judge.flag_low(judge.judge(paired, stubs.overlap_judge()))
+    return judge.flag_low(judge.judge(paired, stubs.overlap_judge(), keep=True))
 
 
 def evaluate_rows(spark, sf_dir):
@@ -193,8 +208,8 @@ def evaluate_summary(spark, sf_dir):
 
 
 def judge_alignment(spark, sf_dir):
-    out = judge.judge_alignment(_scored(spark, sf_dir), table(spark, sf_dir, "labels"), "doc_id", "average", "quality")
-    return out.select("n_pairs", F.round("correlation", 9).alias("correlation"), F.round("mean_abs_gap", 9).alias("mean_abs_gap"))
+    out = judge.judge_alignment(_scored(spark, sf_dir), table(spark, sf_dir, "labels"), "doc_id", "average", "quality", range_rows=150)
+    return out.select("n_pairs", *[F.round(c, 9).alias(c) for c in ("correlation", "mean_abs_gap", "spearman", "kendall")])
 
 
 def context_precision(spark, sf_dir):
@@ -246,7 +261,7 @@ def exact_match_rate(spark, sf_dir):
     return out.select("n_receipts", *[_nine(c).alias(c) for c in out.columns if c != "n_receipts"])
 
 
-def _tokens(spark, sf_dir, doc: Column):
+def _tokens(spark, sf_dir, doc: Column, box: Column | None = None):
     """Line items as boxes on a page: odd lines ask, even lines answer."""
     x = (F.col("l_partkey") * 13 + F.col("l_linenumber") * 31) % 900
     y = (F.col("l_suppkey") * 17 + F.col("l_quantity").cast("bigint") * 7) % 1200
@@ -258,7 +273,7 @@ def _tokens(spark, sf_dir, doc: Column):
         doc.alias("doc_id"), pos.alias("token_pos"),
         F.concat(F.lit("part "), F.col("l_partkey")).alias("text"),
         F.when(F.col("l_linenumber") % 2 == 1, "QUESTION").otherwise("ANSWER").alias("label"),
-        F.array(x, y, x + wide, y + F.col("l_linenumber") + 10).cast("array<int>").alias("box"),
+        (F.array(x, y, x + wide, y + F.col("l_linenumber") + 10).cast("array<int>") if box is None else box).alias("box"),
         F.round(F.lit(1.0) - F.col("l_discount") * 2, 4).alias("confidence"),
     )
 
@@ -276,6 +291,15 @@ def box_links_large(spark, sf_dir):
     return _links(_tokens(spark, sf_dir, F.col("l_returnflag")))
 
 
+def box_links_wide(spark, sf_dir):
+    """Three pages of 8,000,000 x 8,000,000; some boxes are missing."""
+    x = (F.col("l_partkey") * 7919 + F.col("l_orderkey") * 31 + F.col("l_linenumber") * 104729) % 8_000_000
+    y = (F.col("l_suppkey") * 15485863 + F.col("l_orderkey") * 17) % 8_000_000
+    corners = F.array(x, y, x + F.col("l_linenumber"), y + F.col("l_linenumber") + 10).cast("array<int>")
+    box = F.when(F.col("l_partkey") % 10 != 3, corners)
+    return _links(_tokens(spark, sf_dir, F.col("l_returnflag"), box))
+
+
 def document_clearance(spark, sf_dir):
     tokens = _tokens(spark, sf_dir, F.col("l_orderkey"))
     return layout.clear_documents(tokens, layout.link_boxes(tokens))
@@ -320,7 +344,7 @@ def training_text(spark, sf_dir):
     records = documents(spark, sf_dir).select(
         "doc_id", F.col("text").alias("input"), F.concat(F.lit('{"lang": "'), "lang", F.lit('"}')).alias("output")
     )
-    return extraction.with_training_text(records).select("doc_id", "training_text")
+    return extraction.with_training_text(records, 512).select("doc_id", "training_text")
 
 
 def ordered_split(spark, sf_dir):
@@ -360,26 +384,24 @@ def head_per_group(spark, sf_dir):
 
 
 def corpus_sample(spark, sf_dir):
-    return order.sample_corpus(documents(spark, sf_dir), ["doc_id"]).select("doc_id", "name")
-
-
-def _qa_sources(spark, sf_dir):
-    return chunks.qa_sources(documents(spark, sf_dir).select("source", "doc_id", "text"), ["source"], ["doc_id"])
+    return order.sample_corpus(documents(spark, sf_dir), ["doc_id"], limit=100).select("doc_id", "name")
 
 
 def qa_sources(spark, sf_dir):
-    return _qa_sources(spark, sf_dir).select("source", "doc_id", "text")
+    docs = documents(spark, sf_dir).select("source", "doc_id", "text")
+    return chunks.qa_sources(docs, ["source"], ["doc_id"], n=20).select("source", "doc_id", "text")
 
 
 def generate_qa_stub(spark, sf_dir):
-    return extraction.generate_qa(_qa_sources(spark, sf_dir), stubs.qa_model(), ["source", "doc_id"]).select(
+    sources = chunks.qa_sources(documents(spark, sf_dir).select("source", "doc_id", "text"), ["source"], ["doc_id"])
+    return extraction.generate_qa(sources, stubs.qa_model(), ["source", "doc_id"]).select(
         "source", "doc_id", F.col("pair").cast("bigint").alias("pair"), "question", "answer", "verified"
     )
 
 
 def cap_pairs(spark, sf_dir):
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", F.col("text").alias("question"))
-    return chunks.mark_unverified(order.cap_pairs(turns, ["conv_id", "turn"]))
+    return chunks.mark_unverified(order.cap_pairs(turns, ["conv_id", "turn"], 50))
 
 
 def complete_stub(spark, sf_dir):
@@ -395,12 +417,30 @@ def extend_gold(spark, sf_dir):
     return review.extend_gold(gold, confirmed)
 
 
+def extend_training(spark, sf_dir):
+    """Half the parts are training records; lines are reviews of receipts, some confirmed, some without text."""
+    part = table(spark, sf_dir, "part")
+    records = part.where(F.col("p_partkey") % 2 == 0).select(
+        F.concat(F.lit("receipt "), "p_partkey").alias("input"), F.to_json(F.struct(F.col("p_name").alias("company"))).alias("output")
+    )
+    def fields(total: Column) -> Column:
+        return F.struct(F.concat(F.lit("shop "), F.col("l_suppkey")).alias("company"), total.alias("total"))
+
+    reviews = table(spark, sf_dir, "lineitem").select(
+        F.when(F.col("l_linenumber") < 7, F.concat(F.lit("receipt "), "l_partkey")).alias("receipt_text"),
+        fields(F.lit("?")).alias("predicted"),
+        F.when(F.col("l_returnflag") != "N", fields(F.col("l_quantity").cast("bigint").cast("string"))).alias("corrected"),
+        F.when(F.col("l_linenumber") > 1, F.trunc("l_shipdate", "month")).alias("version"),
+    )
+    return review.extend_training(records, reviews)
+
+
 # Mail
 
 
 def mail_clean(spark, sf_dir):
     messages = documents(spark, sf_dir).select("doc_id", F.col("text").alias("message"))
-    return mail.clean_mail(messages, ["doc_id"]).select("doc_id", "email_text")
+    return mail.clean_mail(messages, ["doc_id"], max_samples=500).select("doc_id", "email_text")
 
 
 def mail_body(spark, sf_dir):
@@ -419,6 +459,15 @@ def pii_redact(spark, sf_dir):
     return rows.select("doc_id", "redacted", F.array_join(shown, ";").alias("placeholders"))
 
 
+def pii_redact_kinds(spark, sf_dir):
+    """Addresses, phone and card numbers by pattern, callers by a recogniser, and the text put back."""
+    rows = documents(spark, sf_dir).select(F.col("doc_id").alias("mail_id"), F.col("text").alias("email_text"))
+    found = mail.redact_mail(rows, patterns=privacy.PATTERNS, recogniser=stubs.caller_recogniser())
+    shown = F.transform("placeholders", lambda p: F.concat_ws("=", p["placeholder"], p["value"]))
+    back = privacy.restored("redacted", "placeholders")
+    return found.select("mail_id", "redacted", F.array_join(shown, ";").alias("placeholders"), back.alias("restored"))
+
+
 def rehydrate(spark, sf_dir):
     """The redacted text as the draft: putting the values back must give the text."""
     rows = mail.redact_mail(documents(spark, sf_dir).select(F.col("doc_id").alias("mail_id"), F.col("text").alias("email_text")))
@@ -495,19 +544,30 @@ def feedback_append(spark, sf_dir):
     return review.feedback_rows(rows)
 
 
-def call_stats(spark, sf_dir):
+def _log(spark, sf_dir):
     k = F.get_json_object("props", "$.k").cast("bigint")
-    log = table(spark, sf_dir, "events").select(
-        F.col("event_type").alias("prompt_version"), F.col("value").alias("latency"),
+    return table(spark, sf_dir, "events").select(
+        F.col("event_type").alias("prompt_version"), F.col("value").alias("latency"), F.to_date("ts").alias("on_day"),
         k.alias("tokens_in"), (k * 3).alias("tokens_out"), (F.col("value") > 20).alias("error"),
     )
-    stats = calls.call_stats(log)
+
+
+def _stats(stats):
     return stats.select(
-        "prompt_version", "calls", _nine("avg_latency").alias("avg_latency"), "max_latency",
+        "prompt_version", "calls", _nine("avg_latency").alias("avg_latency"), "max_latency", _nine("p95_latency").alias("p95_latency"),
         "tokens_in", "tokens_out", _nine("cost").alias("cost"), _nine("error_rate").alias("error_rate"),
     )
 
 
+def call_stats(spark, sf_dir):
+    return _stats(calls.call_stats(_log(spark, sf_dir)))
+
+
+def call_stats_by_day(spark, sf_dir):
+    """Days rolled up apart, then merged."""
+    return _stats(calls.merge_call_days(calls.call_days(_log(spark, sf_dir), "on_day")))
+
+
 def review_queue(spark, sf_dir):
     flagged = _scored(spark, sf_dir).where("flagged")
     links = layout.link_boxes(_tokens(spark, sf_dir, F.col("l_orderkey"))).where(F.col("confidence") < routing.FIELD_CONFIDENCE)
@@ -524,13 +584,13 @@ def review_queue(spark, sf_dir):
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
-        chunk_documents, chunk_manifest, vector_topk, vector_topk_filtered, vector_topk_cells, rag_context,
-        ingest_new_only, cached_answers, cache_misses, rerank, source_cards, score_parse, evaluate_rows,
+        chunk_documents, chunk_manifest, vector_topk, vector_topk_filtered, vector_topk_cells, vector_neighbours, rag_context,
+        ingest_new_only, cached_answers, cached_answers_cells, cache_misses, rerank, source_cards, score_parse, evaluate_rows,
         evaluate_summary, judge_alignment, context_precision, target_check, score_bands, field_scores,
-        exact_match_rate, box_links, box_links_large, document_clearance, clearance_records, redaction_boxes,
+        exact_match_rate, box_links, box_links_large, box_links_wide, document_clearance, clearance_records, redaction_boxes,
         confidence_route, pair_by_stem, normalise_receipts, training_text, ordered_split, line_index, extract_fallback_stub,
         field_json, head_per_group, corpus_sample, qa_sources, generate_qa_stub, cap_pairs, complete_stub,
-        extend_gold, mail_clean, mail_body, pii_scan, pii_redact, rehydrate, triage_user_turns, review_fold,
-        approval_map, customer_lookup, classification_parse, feedback_append, call_stats, review_queue,
+        extend_gold, extend_training, mail_clean, mail_body, pii_scan, pii_redact, pii_redact_kinds, rehydrate, triage_user_turns, review_fold,
+        approval_map, customer_lookup, classification_parse, feedback_append, call_stats, call_stats_by_day, review_queue,
     )
 }

@@ -1,10 +1,13 @@
 import json
+import math
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from docsift.operators import calls, context, mail
 from docsift.plans import jobs
+from docsift.sources.readers import read_vectors
 
 
 def test_ingest_and_answer(spark, tmp_path):
@@ -12,7 +15,7 @@ def test_ingest_and_answer(spark, tmp_path):
     docs = spark.createDataFrame([("refunds are paid within thirty days", "refund.txt"), ("the office opens at nine every day", "office.txt"), ("tiny", "t.txt")], "text string, source string")
     assert tuple(jobs.ingest(docs, path).first()) == (3, 2)
     jobs.ingest(docs, path)
-    vectors = spark.read.parquet(path)
+    vectors = read_vectors(spark, path)
     assert vectors.count() == 2
     questions = spark.createDataFrame([(1, "refunds paid within how many days"), (2, "")], "question_id int, question string")
     rows = {r.question_id: r for r in jobs.answer(questions, vectors, lambda ps, t: [f"{t} {'refunds are' in p}" for p in ps], k=1).collect()}
@@ -33,7 +36,7 @@ def test_context_order(spark):
 def test_source_cards(spark):
     df = spark.createDataFrame([("s", "", "sec", "x" * 151), (None, "3", "sec", "x" * 150), ("", None, None, None)], "source string, page string, section string, content string")
     cols = [F.col(c) for c in df.columns]
-    got = [tuple(r) for r in df.select(context.source_card(*cols).alias("c")).select("c.*").collect()]
+    got = [tuple(r) for r in df.select(context.source_card(*cols, chars=150).alias("c")).select("c.*").collect()]
     assert got == [("s", "sec", "x" * 150 + "..."), ("Unknown", "3", "x" * 150), ("Unknown", "N/A", "")]
 
 
@@ -61,8 +64,10 @@ def test_evaluate(spark, tmp_path):
 def test_build_qa_set(spark, tmp_path):
     df = spark.createDataFrame([("f", i, "x" * 101) for i in range(30)], "file string, pos int, text string")
     out = str(tmp_path / "qa")
-    pairs = jobs.build_qa_set(df, lambda ps, t: ['[{"question": "q", "answer": "a"}]' for _ in ps], out)
+    pairs = jobs.build_qa_set(df, lambda ps, t: ['[{"question": "q", "answer": "a"}]' for _ in ps], out, per_file=20)
     assert pairs.count() == 20
+    whole = jobs.build_qa_set(df, lambda ps, t: ['[{"question": "q", "answer": "a"}]' for _ in ps])
+    assert whole.count() == 30
     saved = [json.loads(line) for p in (tmp_path / "qa").glob("*.json") for line in p.read_text().splitlines()]
     assert saved == [{"question": "q", "answer": "a", "verified": False}] * 20
 
@@ -114,4 +119,27 @@ def test_call_stats(spark):
     log = spark.createDataFrame([("v1", 1.0, 1_000_000, 250_000, False), ("v1", 3.0, 0, 0, True)], "prompt_version string, latency double, tokens_in long, tokens_out long, error boolean")
     row = calls.call_stats(log).first()
     assert (row.calls, row.avg_latency, row.tokens_in, row.tokens_out, row.error_rate) == (2, 2.0, 1_000_000, 250_000, 0.5)
-    assert row.cost == pytest.approx(0.30) and row.p95_latency == 3.0
+    assert row.cost == pytest.approx(0.30) and row.p95_latency == pytest.approx(3.0, rel=0.01)
+
+
+def test_merged_days_equal_one_pass(spark):
+    rng = random.Random(6)
+    rows = []
+    for i in range(3000):
+        latency = None if i % 50 == 0 else 0.0 if i % 70 == 0 else round(rng.lognormvariate(1, 1.5), 4)
+        rows.append((f"2024-01-{rng.randrange(1, 28):02d}", rng.choice(["v1", "v1", "v2", None]), latency, i, None if i % 9 else 2 * i, rng.random() < 0.1))
+    log = spark.createDataFrame(rows, "on_day string, prompt_version string, latency double, tokens_in long, tokens_out long, error boolean")
+    days = calls.call_days(log, "on_day")
+    whole = {r.prompt_version: r for r in calls.call_stats(log).collect()}
+    merged = {r.prompt_version: r for r in calls.merge_call_days(days).collect()}
+    assert days.count() > 60 and set(whole) == {"v1", "v2", None}
+    for version, row in whole.items():
+        assert [merged[version][c] for c in ("calls", "max_latency", "p95_latency", "tokens_in", "tokens_out", "error_rate")] == [
+            row[c] for c in ("calls", "max_latency", "p95_latency", "tokens_in", "tokens_out", "error_rate")
+        ]
+        assert merged[version].avg_latency == pytest.approx(row.avg_latency)
+        own = sorted(r[2] for r in rows if r[1] == version and r[2] is not None)
+        assert row.p95_latency == pytest.approx(own[math.ceil(0.95 * len(own)) - 1], rel=0.01)
+    untimed = calls.call_stats(log.where("latency is null")).where("prompt_version = 'v2'").first()
+    assert untimed.p95_latency is None and untimed.avg_latency is None and untimed.calls > 0
+    assert calls.call_stats(log.where("false")).count() == 0

@@ -3,7 +3,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from docsift.operators import extraction, judge
+from docsift.operators import extraction, judge, mail
 from docsift.operators.model import complete
 
 
@@ -155,3 +155,31 @@ def test_generate_qa(spark):
     assert [(r.pos, r.pair) for r in rows] == [(0, 0), (0, 1), (0, 2), (2, 0), (2, 1), (2, 2), (3, 0)]
     assert not any(r.verified for r in rows)
     assert extraction.generate_qa(df, fn, ["file", "pos"], target_pairs=None).count() == 12
+
+
+def test_repeated_keys_keep_one_row_per_left_row(spark):
+    qa = spark.createDataFrame([(i, "q", f"t{i}") for i in range(2)] + [(2, None, "t")], "id long, question string, ground_truth string")
+    answers = spark.createDataFrame(
+        [("q", "b", "c1", None), ("q", "a", "c2", None), ("q", "0", None, "timeout"), (None, "n", "c", None)],
+        "question string, answer string, retrieved_context string, error string",
+    )
+    got = {r.id: (r.rag_answer, r.retrieved_context) for r in judge.attach_answers(qa, answers).collect()}
+    assert got == {0: ("a", "c2"), 1: ("a", "c2"), 2: ("ERROR: no answer", "")}
+    assert judge.attach_answers(qa, answers).count() == 3
+    failed = judge.attach_answers(qa, answers.where("error is not null")).where("id = 0").first()
+    assert failed.rag_answer == "ERROR: timeout"
+    fields = "struct<company:string,date:string,address:string,total:string>"
+    gold = spark.createDataFrame([(1, ("a", "b", "c", "d")), (2, ("x", "", "", ""))], f"receipt_id long, fields {fields}")
+    pred = spark.createDataFrame([(1, ("z", "b", "c", "d")), (1, ("a", "b", "c", "d")), (1, ("a", "b", "c", "d"))], f"receipt_id long, fields {fields}")
+    scored = {r.receipt_id: r.exact_match for r in extraction.score_extractions(pred, gold).collect()}
+    assert scored == {1: True, 2: False} and extraction.score_extractions(pred, gold).count() == 2
+    pair = "array<struct<placeholder:string,value:string>>"
+    drafts = spark.createDataFrame([(1, "[EMAIL_1] [PHONE_2]"), (1, "[EMAIL_1]")], "mail_id long, response string")
+    stored = spark.createDataFrame([(1, [("[EMAIL_1]", "a@b.c")]), (1, [("[EMAIL_1]", "a@b.c"), ("[PHONE_2]", "1")])], f"mail_id long, placeholders {pair}")
+    assert sorted(r.response for r in mail.rehydrate(drafts, stored).collect()) == ["a@b.c", "a@b.c 1"]
+
+
+def test_a_reply_that_most_rows_share(spark):
+    rows = spark.range(3000).select("id", F.when(F.col("id") % 10 > 0, "hot").otherwise(F.col("id").cast("string")).alias("p"))
+    got = complete(rows.unionByName(rows.limit(5)), "p", lambda p, t: [x + "!" for x in p]).collect()
+    assert len(got) == 3005 and all(r.reply == r.p + "!" for r in got)

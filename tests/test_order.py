@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from docsift.operators import order
-from docsift.operators.skew import durable, many_to_one
+from docsift.operators.skew import durable
 
 
 def test_group_index_with_a_hot_group(spark):
@@ -69,17 +69,6 @@ def test_first_rows_and_sample(spark, monkeypatch):
     assert [(r.i, r.name) for r in again] == [(r.i, r.name) for r in got]
 
 
-def test_many_to_one(spark):
-    left = spark.range(1000).select(F.when(F.col("id") < 900, 7).otherwise(F.col("id")).alias("k"), "id")
-    right = spark.createDataFrame([(7, "hot"), (950, "b")], "k long, v string")
-    inner = many_to_one(left, right, ["k"])
-    assert inner.count() == 901 and inner.where("v = 'hot'").count() == 900
-    outer = many_to_one(left, right, ["k"], how="left")
-    assert outer.count() == 1000 and outer.where("v is null").count() == 99
-    with pytest.raises(ValueError):
-        many_to_one(left, right, ["k"], salts=3)
-
-
 def test_durable_reads_the_session_setting(spark):
     kept = durable(spark.range(3))
     assert kept.count() == 3 and spark.sparkContext.getCheckpointDir() is not None

@@ -65,7 +65,7 @@ def test_truncate_and_training_text(one):
     assert one(["äöü𝄞x"], lambda c: tx.truncate(c, 4)) == ["äöü𝄞"]
     short = one(["a  b"], lambda c: tx.training_text(c, F.lit("{}")))[0]
     assert short == "### Receipt:\na  b\n\n### Extracted Fields:\n{}"
-    long = one(["w " * 600], lambda c: tx.training_text(c, F.lit("{}")))[0]
+    long = one(["w " * 600], lambda c: tx.training_text(c, F.lit("{}"), 512))[0]
     assert len(long.split()) == 512
 
 

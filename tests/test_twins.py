@@ -15,7 +15,6 @@ from docsift.workload.spark_queries import QUERIES  # noqa: E402
 from docsift.workload.twins import TWINS  # noqa: E402
 
 FOLDER = "/root/testdata/sf0.001"
-ROWS_ONLY = {"vector_topk_cells"}
 
 
 @pytest.fixture(scope="module")
@@ -27,7 +26,7 @@ def con():
 
 
 def test_contract(spark):
-    assert set(QUERIES) - set(TWINS) == ROWS_ONLY and set(TWINS) <= set(QUERIES)
+    assert set(QUERIES) == set(TWINS)
     assert set(QUERIES) <= set(queries()) and set(TWINS) <= set(oracle_sql()) <= set(queries())
     assert entry(spark).count() > 0
 
@@ -37,7 +36,6 @@ def test_query(spark, con, name):
     df = QUERIES[name](spark, FOLDER)
     rows = df.collect()
     assert rows
-    if name not in ROWS_ONLY:
-        got = con.execute(TWINS[name])
-        cols = [d[0] for d in got.description]
-        assert compare(rows, df.columns, got.fetchall(), cols) is None
+    got = con.execute(TWINS[name])
+    cols = [d[0] for d in got.description]
+    assert compare(rows, df.columns, got.fetchall(), cols) is None
