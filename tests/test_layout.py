@@ -71,7 +71,7 @@ def brute(rows):
 
 
 @pytest.mark.parametrize("shape", ["even", "apart", "negative", "wide"])
-def test_both_plans_agree_with_brute_force(spark, shape):
+def test_both_plans_agree_with_brute_force(spark, monkeypatch, shape):
     rng = random.Random(shape)
     rows = []
     for i in range(600):
@@ -86,7 +86,8 @@ def test_both_plans_agree_with_brute_force(spark, shape):
         rows.append((doc, i, f"t{i}", label, [x, y, x + rng.randrange(9), y + rng.randrange(9)], 0.9))
     tokens = spark.createDataFrame(rows, SCHEMA)
     want = brute(rows)
-    for small in (0, 5, 1000):
+    for small, sent in ((0, layout.BROADCAST_CHILDREN), (0, 0), (5, 0), (1000, 0)):
+        monkeypatch.setattr(layout, "BROADCAST_CHILDREN", sent)
         got = {(r.doc_id, r.question_pos): r.answer_pos for r in layout.link_boxes(tokens, small).collect()}
         assert got == want
 
@@ -107,9 +108,9 @@ def test_the_tree_follows_the_extent_and_skips_levels(spark):
     rng = random.Random(8)
     at = {(base + rng.randrange(30), base + rng.randrange(30)) for base in (0, 2**26) for _ in range(80)}
     points = spark.createDataFrame([("far", x, y) for x, y in at] + [("one", 5, 5)], "doc_id string, x long, y long")
-    nodes, heights, top = layout._tree(points)
+    nodes, heights, held = layout._tree(points)
     kept = {r.doc_id: r.kept for r in heights.collect()}
-    assert len(kept["far"]) <= 4 and kept["one"] == [0, 1] and top == len(kept["far"]) - 1
+    assert len(kept["far"]) <= 4 and kept["one"] == [0, 1] and max(held) == len(kept["far"]) - 1
     assert max(len(r.children) for r in nodes.collect()) <= 64
 
 
