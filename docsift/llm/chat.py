@@ -6,6 +6,7 @@ character of every control string, so the text can be read back. Turns are order
 and text (nulls first), so ties and repeated rows have one order. Null text is empty, null role
 the empty role; an unknown role has its own marker. A conversation whose turn order the machine
 rejects is formatted too, with ``valid`` false on the turn that breaks the order.
+A null conv_id is a conversation of its own. An empty table gives no rows; other columns are not read.
 A conversation is streamed through its task batch by batch, never gathered.
 """
 
@@ -19,6 +20,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from docsift.llm.common import map_frames
+
 TEMPLATE = {
     "roles": {"system": ("[SYS]", "[/SYS]"), "user": ("[INST]", "[/INST]"), "assistant": ("[OUT]", "</s>")},
     "other": ("[ROLE]", "[:]", "[/ROLE]"),
@@ -63,9 +66,9 @@ def format_turns(turns: DataFrame, template: dict = TEMPLATE, machine: dict = MA
                 parts = [{"text": opening, "loss": False}, {"text": escape(text), "loss": role in template["loss"]}, {"text": closing, "loss": False}]
                 rows.append((conv, None if pd.isna(turn) else int(turn), position, role in machine and state in machine[role], parts))
                 state, position = role, position + 1
-            yield pd.DataFrame(rows, columns=["conv_id", "turn", "position", "valid", "segments"])
+            yield pd.DataFrame(rows, columns=["conv_id", "turn", "position", "valid", "segments"], dtype=object)
 
-    return ordered.mapInPandas(segments, "conv_id long, turn long, position long, valid boolean, segments array<struct<text:string,loss:boolean>>")
+    return map_frames(ordered, segments, "conv_id long, turn long, position long, valid boolean, segments array<struct<text:string,loss:boolean>>")
 
 
 def read_back(formatted: DataFrame, template: dict = TEMPLATE) -> DataFrame:
@@ -98,12 +101,12 @@ def read_back(formatted: DataFrame, template: dict = TEMPLATE) -> DataFrame:
                         current[3] += len(plain)
                         current[4].update(plain.encode())
                 current[6] = current[6] and bool(valid)
-            yield pd.DataFrame(out, columns=columns)
+            yield pd.DataFrame(out, columns=columns, dtype=object)
         if open_:
-            yield pd.DataFrame([_closed(current)], columns=columns)
+            yield pd.DataFrame([_closed(current)], columns=columns, dtype=object)
 
-    return formatted.select("conv_id", "valid", "segments").mapInPandas(
-        digests, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long, valid boolean"
+    return map_frames(
+        formatted.select("conv_id", "valid", "segments"), digests, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long, valid boolean"
     )
 
 

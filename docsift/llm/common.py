@@ -3,12 +3,16 @@
 from __future__ import annotations
 
 import re
-import tempfile
-import uuid
+from collections.abc import Callable, Iterator
 
 import numpy as np
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
+from docsift.operators.stored import shared_folder  # noqa: F401 - the pipeline names its tables with it
+from docsift.operators.stored import stored as shared  # noqa: F401
+
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 _LOWER = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
@@ -26,20 +30,35 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that the cluster names in ``spark.checkpoint.dir``; where it is unset, as in tests, one of our own."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = "file://" + tempfile.mkdtemp(prefix="shared-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder.rstrip("/")
+def _arrow_schema(df: DataFrame, schema: str) -> pa.Schema:
+    return df.sparkSession.createDataFrame([], schema).toArrow().schema
+
+
+def _in_arrow(frame: pd.DataFrame, schema: pa.Schema) -> pa.RecordBatch:
+    return pa.RecordBatch.from_pandas(frame, schema=schema, preserve_index=False)
+
+
+def map_frames(df: DataFrame, fn: Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]], schema: str) -> DataFrame:
+    """``mapInPandas`` that keeps whole numbers exact beside nulls: such columns come as objects, ids above 2**53 included.
+
+    A result with nulls among its whole numbers has to be of objects as well."""
+    kinds = _arrow_schema(df, schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for frame in fn(batch.to_pandas(integer_object_nulls=True) for batch in batches):
+            yield _in_arrow(frame, kinds)
+
+    return df.mapInArrow(run, schema)
+
+
+def map_groups(df: DataFrame, keys: list[str], fn: Callable[[pd.DataFrame], pd.DataFrame], schema: str) -> DataFrame:
+    """``applyInPandas`` with the same care; the groups must be of bounded size."""
+    kinds = _arrow_schema(df, schema)
 
+    def run(group: pa.Table) -> pa.Table:
+        return pa.Table.from_batches([_in_arrow(fn(group.to_pandas(integer_object_nulls=True)), kinds)], kinds)
 
-def shared(df: DataFrame) -> DataFrame:
-    """Cuts the lineage by a table in the shared folder (columnar and compressed, unlike a checkpoint)."""
-    path = f"{shared_folder(df.sparkSession)}/table-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return df.groupBy(*keys).applyInArrow(run, schema)
 
 
 def word_hashes(tokens: list[str]) -> np.ndarray:

@@ -18,7 +18,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 
-from docsift.llm.common import gram_hashes, word_hashes
+from docsift.llm.common import gram_hashes, map_frames, word_hashes
 
 TOKEN = re.compile(r"[^\W_]+")
 BLOCK_CHARS = 8_000_000
@@ -104,6 +104,6 @@ def _against(texts: DataFrame, block, threshold: float, least: int) -> DataFrame
                     covered = sum(t[2] for t in tiles)
                     if covered >= threshold * len(item):
                         rows.append((doc, item_id, covered, len(item), covered / len(item), [dict(doc_start=a, item_start=b, length=c) for a, b, c in tiles]))
-            yield pd.DataFrame(rows, columns=["doc_id", "item_id", "covered", "item_words", "coverage", "tiles"])
+            yield pd.DataFrame(rows, columns=["doc_id", "item_id", "covered", "item_words", "coverage", "tiles"], dtype=object)
 
-    return texts.mapInPandas(scan, RESULT)
+    return map_frames(texts, scan, RESULT)

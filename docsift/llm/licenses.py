@@ -18,6 +18,8 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame
 
+from docsift.llm.common import map_frames
+
 # Sentences of public licence notices.
 SENTENCES = {
     "Licensed under the Apache License, Version 2.0": "apache-grant",
@@ -197,6 +199,6 @@ def scan(docs: DataFrame, sentences: dict[str, str] = SENTENCES, rules=RULES) ->
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             found = [(doc, *hit) for doc, text in zip(batch["doc_id"], batch["text"]) for hit in recognise(text, known, rules, longest, hint)]
-            yield pd.DataFrame(found, columns=["doc_id", "license", "rule", "sentence", "n_sentences", "matched"])
+            yield pd.DataFrame(found, columns=["doc_id", "license", "rule", "sentence", "n_sentences", "matched"], dtype=object)
 
-    return docs.select("doc_id", "text").mapInPandas(rows, RESULT)
+    return map_frames(docs.select("doc_id", "text"), rows, RESULT)

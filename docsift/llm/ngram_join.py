@@ -31,7 +31,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from docsift.llm.common import gram_hashes, hashes_of_texts, shared
+from docsift.llm.common import gram_hashes, hashes_of_texts, map_frames, shared
 
 FRAGMENTS, PIVOT_ROUNDS, HEAVY, SUMMARY = 4, 2, 16_384, 1_024
 
@@ -69,7 +69,7 @@ def set_digests(docs: DataFrame, size: int) -> DataFrame:
         often = top[1] > 1
         yield pd.DataFrame({"doc_id": 0, "n": -1, "first": top[0][often], "second": top[1][often]})
 
-    return docs.select("doc_id", "text").mapInPandas(digests, "doc_id long, n long, first long, second long")
+    return map_frames(docs.select("doc_id", "text"), digests, "doc_id long, n long, first long, second long")
 
 
 def in_order(shingles: np.ndarray, heavy: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:

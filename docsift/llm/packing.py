@@ -5,7 +5,8 @@ a randomised group of documents (a hash of the document id, so a retry gives the
 placed by first-fit decreasing; a tournament tree over the free room of the bins finds the first
 fit in a logarithm of the group's size. Groups hold about ``group_rows`` documents whatever the
 table's size. Null text is empty and gives the closing id alone; empty tables give no pieces;
-repeated rows are packed again, each for itself.
+repeated rows are packed again, each for itself. Null ids are one group and come first in it; other
+columns are not read.
 """
 
 from __future__ import annotations
@@ -18,6 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from docsift.llm.common import map_frames, map_groups
 from docsift.llm.token_counts import in_worker
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, ids array<int>"
@@ -54,9 +56,9 @@ def cut(docs: DataFrame, path: str, room: int = 1024, closing: int = 0, with_ids
                     part = raw[at : at + 4 * room]
                     ids = np.frombuffer(part, "<u4").astype(np.int32) if with_ids else None
                     rows.append((doc, at // 4, len(part) // 4, zlib.crc32(part), len(raw) // 4, ids))
-            yield pd.DataFrame(rows, columns=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "ids"])
+            yield pd.DataFrame(rows, columns=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "ids"], dtype=object)
 
-    return docs.select("doc_id", "text").mapInPandas(pieces, PIECES)
+    return map_frames(docs.select("doc_id", "text"), pieces, PIECES)
 
 
 def pack(docs: DataFrame, path: str, room: int = 1024, closing: int = 0, group_rows: int = 4096, with_ids: bool = False) -> DataFrame:
@@ -67,11 +69,11 @@ def pack(docs: DataFrame, path: str, room: int = 1024, closing: int = 0, group_r
 
     def place(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values(["doc_id", "start", "ids_crc32"], kind="stable", ignore_index=True)
-        bins, offsets = first_fit_decreasing(rows["length"].to_numpy(), room)
+        bins, offsets = first_fit_decreasing(rows["length"].to_numpy(np.int64), room)
         rows["sequence_id"] = rows["group"].to_numpy() + bins * groups
         rows["offset"] = offsets
         return rows.drop(columns=["group"])
 
     schema = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, ids array<int>, sequence_id long, offset long"
-    placed = pieces.withColumn("group", key).groupBy("group").applyInPandas(place, schema)
+    placed = map_groups(pieces.withColumn("group", key), ["group"], place, schema)
     return placed if with_ids else placed.drop("ids")

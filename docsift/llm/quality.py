@@ -4,7 +4,9 @@ Texts become counts of hashed character trigrams and word shapes of the whole te
 rarity and projected on the leading singular vectors, both fitted on the sample (at most
 ``SAMPLE`` labelled rows). The labelled vectors are broadcast (``SAMPLE`` x ``RANK`` floats, under
 2 MB); every document's exact cosines to all of them are computed in blocks, and the nearest
-vote with their similarity. Empty texts and tables without labels get the sample's mean (0.5).
+vote with their similarity. Empty and null texts are refused (0). Without labels of both kinds every
+text gets the one that there is, and without any 0.5. Rows are scored one by one, so repeated rows and null ids
+get their own score; columns beyond doc_id and text are not read, and an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -62,13 +64,14 @@ def fit(texts: list[str], labels: list[int]) -> dict | None:
     turn = np.linalg.svd(small, full_matrices=False)[2].T
     basis = (basis @ turn).astype(np.float32)
     counts = np.bincount(y.astype(int), minlength=2)
-    return {"prior": 0.5, "idf": idf, "mean": mean, "basis": basis, "vectors": _unit(x @ basis), "y": y, "weight": np.where(y > 0, 1 / counts[1], 1 / counts[0]) * len(y) / 2}
+    return {"idf": idf, "mean": mean, "basis": basis, "vectors": _unit(x @ basis), "y": y, "weight": np.where(y > 0, 1 / counts[1], 1 / counts[0]) * len(y) / 2}
 
 
 def score(model: dict, texts: list[str]) -> list[float]:
-    out = np.full(len(texts), model["prior"])
-    full = [i for i, t in enumerate(texts) if t]
-    if "basis" not in model or not full:
+    if "basis" not in model:
+        return [model["prior"]] * len(texts)
+    out, full = np.zeros(len(texts)), [i for i, t in enumerate(texts) if t]
+    if not full:
         return out.tolist()
     own = _unit((_weighted([texts[i] for i in full], model["idf"]) - model["mean"]) @ model["basis"])
     cosines = own @ model["vectors"].T

@@ -30,7 +30,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from docsift.llm.common import gram_hashes, hashes_of_texts, shared, words
+from docsift.llm.common import gram_hashes, hashes_of_texts, map_frames, shared, words
 
 INNER, SPLIT = 5, 1_000
 
@@ -212,6 +212,6 @@ def remove_repeats(docs: DataFrame, size: int = 13) -> DataFrame:
                 left = [t for t, d in zip(tokens, drop) if not d] if drop.any() else tokens
                 joined = " ".join(left)
                 out.append((doc, text if not drop.any() else joined, hashlib.sha256(joined.encode()).hexdigest(), len(tokens), int(drop.sum())))
-            yield pd.DataFrame(out, columns=["doc_id", "kept", "kept_sha256", "n_words", "n_removed"])
+            yield pd.DataFrame(out, columns=["doc_id", "kept", "kept_sha256", "n_words", "n_removed"], dtype=object)
 
-    return marked.mapInPandas(remove, f"doc_id {kind}, kept string, kept_sha256 string, n_words long, n_removed long")
+    return map_frames(marked, remove, f"doc_id {kind}, kept string, kept_sha256 string, n_words long, n_removed long")

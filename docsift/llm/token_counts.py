@@ -5,7 +5,9 @@ tier two is a cache in each worker (emptied at ``CACHE`` entries). Only a miss o
 by the library. Texts never leave their partition; to find the frequent pre-tokens each task
 passes on at most ``SUMMARY`` counts of its own. Null text counts as empty (0 tokens); a text
 that holds a special string, or a character for which the pattern below might differ from the
-library's, is encoded whole by the library.
+library's, is encoded whole by the library. Repeated rows and null ids are counted like any others, and
+equally frequent pre-tokens enter the table in the order of their text, which no count depends on. Other
+columns are only kept when named; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -19,6 +21,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from docsift.llm.common import map_frames
+
 TABLE, SUMMARY, CACHE = 16_384, 1_024, 600_000
 #: Fixed value: the pre-tokenizing pattern of the byte-level vocabulary.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -93,9 +97,9 @@ def frequent(docs: DataFrame, path: str, text: str = "text") -> dict[str, bytes]
                     if len(counts) > 64 * SUMMARY:
                         counts = Counter(dict(counts.most_common(16 * SUMMARY)))
         top = counts.most_common(SUMMARY)
-        yield pd.DataFrame({"token": [t for t, _ in top], "n": [n for _, n in top]})
+        yield pd.DataFrame({"token": [t for t, _ in top], "n": [n for _, n in top]}, dtype=object)
 
-    tops = docs.select(text).mapInPandas(summaries, "token string, n long").groupBy("token").agg(F.sum("n").alias("n"))
+    tops = map_frames(docs.select(text), summaries, "token string, n long").groupBy("token").agg(F.sum("n").alias("n"))
     rows = tops.orderBy(F.desc("n"), "token").limit(TABLE).collect()
     own = PreTokens(path)
     return {r.token: own.encode(r.token) for r in rows}
@@ -115,4 +119,4 @@ def count_tokens(docs: DataFrame, path: str, text: str = "text", keep: tuple[str
 
     picked = docs.select(*keep, text)
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*keep).schema) + ", n_bytes long, n_tokens long"
-    return picked.mapInPandas(counts, schema)
+    return map_frames(picked, counts, schema)

@@ -5,7 +5,9 @@ characters (the mean embedding of its hashed character n-grams and their highest
 are counted on the sample. The network reads windows of ``WINDOW`` words, half overlapping, over
 the whole text; a text's score is its highest window. Windows are trained as instances of their
 text: of a toxic text the ones with the highest odds, of others all. At most ``SAMPLE`` labelled
-rows are used. Empty texts get a clean score; tables without both labels get the label they have.
+rows are used. Null and empty texts get a clean score (0). Without labels of both kinds every text gets
+the one that there is, and without any 0. Rows are scored one by one, so repeated rows and null ids get
+their own score; columns beyond doc_id and text are not read, and an empty table gives no rows.
 """
 
 from __future__ import annotations
