@@ -1,13 +1,23 @@
 """Document fingerprints from closed syncmers, by column functions alone.
 
-Units are runs without white space (A-Z etc. lowered) and single ideographs. A run of ``k`` units
-is a closed syncmer if its least inner run of ``s`` units is its first or last one: a choice that
-depends on the run alone, so an edit moves no anchor outside it. ``anchors`` gives every syncmer
-with its place. The fingerprint is the ``size`` least anchor hashes, a fixed-size sample of all
-anchors of the whole text, whose likeness estimates their Jaccard similarity.
-
-Null text is empty; empty text has the empty fingerprint; text with fewer than ``k`` units, or with
-none, is one anchor. Equal texts have equal fingerprints. Two empty fingerprints are alike (1).
+Units are runs without white space (A-Z etc. lowered) and single ideographs. A run of ``K`` units
+is a closed syncmer if its least inner run of ``S`` units is its first or last one: a choice that
+depends on the run alone, so an edit moves no anchor outside it. ``anchors`` gives every syncmer of
+the whole text with its place, however long the text; of equal runs the first place counts.
+
+Two fingerprints are matched by position. Anchors with one hash pair up, and each pair has an offset.
+A pair counts fully when its offset is the median one and less the further it is off, down to nothing at
+an eighth of the longer text; the sum is divided by the number of different anchors of both. So the
+likeness of equal texts is 1, an edit lowers it by its share of the anchors, an insertion shifts all
+that follows by its length, and the same blocks in another order count little.
+
+Null text is empty; empty text has the empty fingerprint; text with fewer than ``K`` units, or with
+none, is one anchor. Equal texts have equal fingerprints. Two empty fingerprints are alike (1). Hashes
+have 32 bits: of two texts with 13,000 anchors about 40 pair up by chance, which the offsets mostly undo.
+
+A repeated row is a row of its own; of rows that share an id and differ, the least text is the neighbour's
+next. Rows without an id have no next text: their end is cut off, and nothing is near. An empty
+table gives an empty result. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -16,68 +26,88 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from docsift.llm.common import shared
+from docsift.operators.order import global_index
 
-SIZE = 128
+K, S = 4, 2
 UNITS = r"\\p{IsIdeographic}|[^\\s\\p{IsIdeographic}]+"
-
-
-def anchors(text: str, k: int = 4, s: int = 2) -> Column:
-    """array<struct<place, hash>> of the SQL expression ``text``; let-bindings keep each array computed once."""
-    chosen = (
-        f"filter(sequence(1, size(w) - {k - 1}), i -> array_min(slice(m, i, {k - s + 1})) = m[i - 1] or array_min(slice(m, i, {k - s + 1})) = m[i + {k - s - 1}])"
-    )
-    found = f"transform({chosen}, i -> struct(i as place, hash(slice(w, i, {k})) as hash))"
-    inner = f"transform(array(transform(sequence(1, size(w) - {s - 1}), i -> hash(slice(w, i, {s})))), m -> {found})[0]"
-    body = f"case when size(w) >= {k} then {inner} when size(w) > 0 then array(struct(1 as place, hash(w) as hash)) when t = '' then array() else array(struct(1 as place, hash(t) as hash)) end"
-    bound = f"transform(array(transform(regexp_extract_all(t, '{UNITS}', 0), u -> hash(u))), w -> {body})[0]"
-    return F.expr(f"transform(array(lower(coalesce({text}, ''))), t -> {bound})[0]")
-
-
-def sketch(text: str, size: int = SIZE) -> Column:
-    return F.slice(F.sort_array(F.array_distinct(F.transform(anchors(text), lambda a: a["hash"]))), 1, size)
-
-
-def printed(sketch_: Column) -> Column:
-    return F.array_join(F.transform(sketch_, lambda h: F.lpad(F.hex(h.bitwiseAND(F.lit(0xFFFFFFFF))), 8, "0")), "")
-
-
-def likeness(a: str, b: str, size: int = SIZE) -> Column:
-    return F.expr(
-        f"transform(array(slice(sort_array(array_union({a}, {b})), 1, {size})), u -> "
-        f"case when size(u) = 0 then 1D else size(array_intersect(u, array_intersect({a}, {b}))) / cast(size(u) as double) end)[0]"
-    )
-
-
-def next_ids(docs: DataFrame) -> DataFrame:
-    """doc_id, next_id, n_chars: the next smaller id, and for the smallest the largest.
-
-    Ids are ranged and numbered range by range; only one row per range is ordered in one task."""
-    ids = docs.filter("doc_id is not null").groupBy("doc_id").agg(F.max(F.length(F.coalesce("text", F.lit("")))).alias("n_chars"))
-    ranged = shared(ids.repartitionByRange("doc_id").withColumn("range", F.spark_partition_id()))
-    ends = ranged.groupBy("range").agg(F.max("doc_id").alias("largest"))
-    order = Window.orderBy("range")
-    ends = ends.withColumn("below", F.lag("largest").over(order)).withColumn("top", F.max("largest").over(Window.partitionBy()))
-    follow = F.lag("doc_id").over(Window.partitionBy("range").orderBy("doc_id"))
-    placed = ranged.withColumn("next_id", follow).join(F.broadcast(ends), "range")
-    return placed.select("doc_id", F.coalesce("next_id", "below", "top").alias("next_id"), "n_chars")
+BLOCKS = 100_000  # of ids that stand together; also the bound on seams that are broadcast, doubled
+LEAST_BLOCK = 16
+
+
+def anchors(text: str) -> Column:
+    """array<long> of the SQL expression ``text``: hash (32 bits), place (31 bits), in that order, a hash once.
+
+    Let-bindings keep each array computed once; sorting whole numbers needs no comparing of structs."""
+    # S = 2 and K = 4: three inner runs, of which an outer one has to be the least
+    closed = f"filter(sequence(1, size(w) - {K - 1}), i -> least(m[i - 1], m[i + 1]) <= m[i])"
+    packed = f"transform({closed}, i -> shiftleft(cast(hash(w[i - 1], w[i], w[i + 1], w[i + 2]) as bigint), 31) + i)"
+    inner = f"transform(array(transform(w, (u, i) -> hash(u, get(w, i + 1)))), m -> {packed})[0]"
+    one = "array(shiftleft(cast({} as bigint), 31) + 1)"
+    body = f"case when size(w) >= {K} then {inner} when size(w) > 0 then {one.format('hash(w)')} when t = '' then cast(array() as array<bigint>) else {one.format('hash(t)')} end"
+    found = f"transform(array(transform(regexp_extract_all(t, '{UNITS}', 0), u -> hash(u))), w -> {body})[0]"
+    first = f"transform(array(sort_array({found})), a -> filter(a, (x, i) -> i = 0 or shiftright(x, 31) <> shiftright(a[i - 1], 31)))[0]"
+    return F.expr(f"transform(array(lower(coalesce({text}, ''))), t -> {first})[0]")
+
+
+def printed(found: str) -> Column:
+    """The anchors' hashes in their order in the text."""
+    by_place = f"sort_array(transform({found}, x -> shiftleft(x & 2147483647, 32) + (shiftright(x, 31) & 4294967295)))"
+    return F.expr(f"array_join(transform({by_place}, x -> lpad(hex(x & 4294967295), 8, '0')), '')")
+
+
+def likeness(a: str, b: str) -> Column:
+    """Share of the anchors of both that pair up at a consistent offset."""
+    sided = "transform({0}, x -> shiftleft(shiftright(x, 31), 32) + (x & 2147483647) * 2 + {1})"
+    both = f"sort_array(concat({sided.format(a, 0)}, {sided.format(b, 1)}))"
+    pairs = "filter(sequence(0, size(m) - 2), i -> shiftright(m[i], 32) = shiftright(m[i + 1], 32))"
+    place = "shiftright(m[{0}] & 4294967295, 1)"
+    side = "(2 * (m[i + 1] & 1) - 1)"  # whether the later entry is the second text's
+    offsets = f"sort_array(transform({pairs}, i -> {side} * ({place.format('i + 1')} - {place.format('i')})))"
+    last = "array_max(transform({0}, x -> x & 2147483647))"
+    reach = f"greatest(8D, greatest({last.format(a)}, {last.format(b)}) / 8D)"
+    weight = f"aggregate(d, 0D, (acc, x) -> acc + greatest(0D, 1 - abs(x - d[size(d) div 2]) / {reach}))"
+    score = f"transform(array({offsets}), d -> case when size(d) = 0 then 0D else {weight} / (size(m) - size(d)) end)[0]"
+    some = f"transform(array({both}), m -> case when size(m) < 2 then 0D else {score} end)[0]"
+    return F.expr(f"case when size({a}) = 0 and size({b}) = 0 then 1D else {some} end")
+
+
+def in_blocks(docs: DataFrame) -> DataFrame:
+    """block, turn, doc_id, text, real: the rows with an id by blocks of ids, and in each block the row before its first.
+
+    Texts move once, by block. ``turn`` is the id; the copy of the largest id stands before the smallest. The copies come
+    from one row per block, found on ids alone."""
+    rows = docs.filter("doc_id is not null").select("doc_id", "text")
+    width = max(LEAST_BLOCK, docs.count() // BLOCKS)
+    block = F.expr(f"(doc_id - pmod(doc_id, {width})) div {width}")
+    tops = rows.select("doc_id").groupBy(block.alias("block")).agg(F.max("doc_id").alias("top"))
+    placed = shared(global_index(tops, ["block"], "place", total="n"))
+    follows = F.pmod(F.col("place") + 1, F.col("n"))
+    seams = placed.select("top", follows.alias("next_place")).join(placed.select(F.col("place").alias("next_place"), F.col("block").alias("to_block")), "next_place")
+    seams = shared(seams.select(F.col("top").alias("doc_id"), "to_block", F.when(F.col("next_place") == 0, F.col("to_block") * width - 1).otherwise(F.col("top")).alias("turn")))
+    few = seams.count() <= 2 * BLOCKS
+    copies = rows.join(F.broadcast(seams) if few else seams, "doc_id").select(F.col("to_block").alias("block"), "turn", "doc_id", "text", F.lit(False).alias("real"))
+    own = rows.select(block.alias("block"), F.col("doc_id").alias("turn"), "doc_id", "text", F.lit(True).alias("real"))
+    return own.unionByName(copies).repartition("block")
 
 
 def edited(docs: DataFrame) -> DataFrame:
     """Fingerprints of every text, of the text with its end replaced by the next one's start, and their likeness."""
-    base = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    sketches = shared(base.select("doc_id", "text").groupBy("doc_id").agg(F.min("text").alias("text")).select("doc_id", sketch("text").alias("next_sketch")))
-    links = next_ids(docs)
-    firsts = base.groupBy("doc_id").agg(F.min("text").alias("text")).select(F.col("doc_id").alias("next_id"), "text")
-    heads = links.join(firsts, "next_id").select("doc_id", "next_id", F.expr("substring(text, 1, cast(floor(n_chars / 3) as int))").alias("head"))
-    heads = heads.join(sketches.withColumnRenamed("doc_id", "next_id"), "next_id").drop("next_id")
-    rows = base.join(heads, "doc_id", "left").withColumn("n_chars", F.length("text").cast("long"))
+    rows = in_blocks(docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))).withColumn("own", anchors("text"))
+    same = Window.partitionBy("block", "turn")
+    rows = rows.withColumn("least", F.min("text").over(same)).withColumn("least_own", F.min_by("own", "text").over(same))
+    before = Window.partitionBy("block").orderBy("turn").rangeBetween(Window.unboundedPreceding, -1)
+    rows = rows.withColumn("next", F.last("least").over(before)).withColumn("next_own", F.last("least_own").over(before)).filter("real")
+    rows = rows.select("doc_id", "text", "own", "next", "next_own")
+    alone = docs.filter("doc_id is null").select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("own", anchors("text"))
+    none = F.lit(None).cast("array<bigint>")
+    rows = rows.unionByName(alone.withColumn("next", F.lit("")).withColumn("next_own", none))
+    rows = rows.withColumn("n_chars", F.length("text").cast("long"))
     cut = "cast(floor(n_chars / 3) as int)"
-    rows = rows.withColumn("edited", F.expr(f"concat(substring(text, 1, cast(n_chars as int) - {cut}), substring(coalesce(head, ''), 1, {cut}))"))
-    # lambda-bound, so that each sketch is computed once
-    rows = rows.withColumn("own", sketch("text")).withColumn("other", sketch("edited"))
+    rows = rows.withColumn("edited", F.expr(f"concat(substring(text, 1, cast(n_chars as int) - {cut}), substring(next, 1, {cut}))"))
+    # a generated row, so that each array is computed once
+    bound = F.explode(F.array(F.struct("own", anchors("edited").alias("other"), "next_own"))).alias("s")
+    rows = rows.select("doc_id", "n_chars", F.sha2(F.encode("edited", "UTF-8"), 256).alias("edited_sha256"), bound)
     return rows.select(
-        "doc_id", "n_chars", F.sha2(F.encode("edited", "UTF-8"), 256).alias("edited_sha256"), F.explode(F.array(F.struct("own", "other", "next_sketch"))).alias("s")
-    ).select(
-        "doc_id", "n_chars", "edited_sha256", printed(F.col("s.own")).alias("fingerprint"), printed(F.col("s.other")).alias("edited_fingerprint"),
-        likeness("s.own", "s.other").alias("near_edited"), likeness("s.own", "coalesce(s.next_sketch, array())").alias("near_next"),
+        "doc_id", "n_chars", "edited_sha256", printed("s.own").alias("fingerprint"), printed("s.other").alias("edited_fingerprint"),
+        likeness("s.own", "s.other").alias("near_edited"), F.when(F.col("s.next_own").isNull(), 0.0).otherwise(likeness("s.own", "s.next_own")).alias("near_next"),
     )
