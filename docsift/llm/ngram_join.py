@@ -10,7 +10,8 @@ shingle; a null or wordless text has an empty set and no link. Two documents lin
 2. The global order puts these frequent shingles last, by count, and all others before them by
    hash. Any order is right; this one keeps common passages out of the prefixes. A class leaves
    its task with the prefix of its order only, which any partner must share.
-3. Prefix shingles of one class alone are dropped. Pairs are first built with the most central
+3. Prefix shingles of one class alone are dropped, and of those that the same classes hold (told by a
+   128-bit digest) one stands for all, with their number: a shared passage is one key. Pairs are first built with the most central
    class of each prefix shingle (one pair per member); what these links join is one component.
    Then all pairs of different components are built, so a group of many near copies doesn't become
    all its pairs, and no component is lost.
@@ -19,7 +20,9 @@ shingle; a null or wordless text has an empty set and no link. Two documents lin
    overlap, and the counts are summed per pair.
 
 Repeated rows and ties are equal sets and share a class; the smallest id stands for them. Ids are
-unique but for equal rows; rows that share an id and differ are compared by the least text.
+unique but for equal rows; rows that share an id and differ are compared by the least text. A row without
+an id is in the component of its equal set, or of none (null) where no row of the class has an id, and
+links nothing. An empty table gives an empty result. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -147,7 +150,8 @@ def overlaps(pairs: DataFrame, parts: DataFrame, percent: int) -> DataFrame:
 
 
 def candidates(left: DataFrame, right: DataFrame, percent: int, both_ways: bool) -> DataFrame:
-    """a, b, needed: pairs over equal prefix shingles whose bounds allow a link; sides have x, n, i and y, m, j.
+    """a, b, needed: pairs over equal prefix shingles whose bounds allow a link; sides have x, n, i and y, m, j, the left one
+    the number of shingles that a row stands for.
 
     ``both_ways``: the sides are one table, so that each pair comes twice and once is kept."""
     n, m, i, j = (F.col(c) for c in "nmij")
@@ -156,8 +160,8 @@ def candidates(left: DataFrame, right: DataFrame, percent: int, both_ways: bool)
     fits = fits & (F.col("x") < F.col("y")) if both_ways else fits
     rows = left.join(right.withColumnRenamed("h", "h_y"), (F.col("h") == F.col("h_y")) & (F.col("label") != F.col("label_y")) & fits)
     bound = F.greatest(least_overlap(n, percent), least_overlap(m, percent)) - 1
-    rows = rows.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), needed.alias("needed"), bound.alias("bound"))
-    return rows.groupBy("a", "b", "needed", "bound").agg(F.count("*").alias("seen")).filter("seen + bound >= needed").select("a", "b", "needed")
+    rows = rows.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), needed.alias("needed"), bound.alias("bound"), "weight")
+    return rows.groupBy("a", "b", "needed", "bound").agg(F.sum("weight").alias("seen")).filter("seen + bound >= needed").select("a", "b", "needed")
 
 
 def join_components(docs: DataFrame, size: int = 4, percent: int = 85) -> DataFrame:
@@ -176,14 +180,18 @@ def join_components(docs: DataFrame, size: int = 4, percent: int = 85) -> DataFr
         return texts.join(ids, "doc_id", "left_semi").groupBy("doc_id").agg(F.min("text").alias("text"))
 
     whole = shared(prefixes(of(reps.select(F.col("rep").alias("doc_id"))), size, percent, heavy))
-    common = whole.groupBy("h").agg(F.min("rep").alias("low"), F.max("rep").alias("high"), F.count("*").alias("df")).filter("low < high").select("h", "df")
-    prefix = shared(whole.join(common, "h"))
-    rank = prefix.groupBy("rep").agg((-F.count("*") / (F.max("n") - least_overlap(F.max("n"), percent) + 1)).alias("lone"), (-F.avg("df")).alias("rare"))
+    mixed = F.xxhash64("rep")
+    held = (F.min("rep").alias("low"), F.max("rep").alias("high"), F.count("*").alias("df"), F.bit_xor(mixed).alias("mixed"), F.sum(F.shiftright(mixed, 32)).alias("total"))
+    common = whole.groupBy("h").agg(*held).filter("low < high")
+    kept = shared(common.groupBy("low", "high", "df", "mixed", "total").agg(F.min("h").alias("h"), F.count("*").alias("weight")).select("h", "df", "weight"))
+    prefix = shared(whole.join(kept, "h"))
+    weight = F.sum("weight")
+    rank = prefix.groupBy("rep").agg((-weight / (F.max("n") - least_overlap(F.max("n"), percent) + 1)).alias("lone"), (-F.sum(F.col("df") * F.col("weight")) / weight).alias("rare"))
     prefix = shared(prefix.join(rank, "rep").drop("df"))
     links, labels = None, prefix.select(F.col("rep").alias("node"), F.col("rep").alias("label")).distinct()
     for round_ in range(PIVOT_ROUNDS + 1):
         now = prefix.join(labels, prefix.rep == labels.node).drop("node")
-        left = now.select("h", F.col("rep").alias("x"), "n", F.col("position").alias("i"), "label")
+        left = now.select("h", F.col("rep").alias("x"), "n", F.col("position").alias("i"), "label", "weight")
         if round_ < PIVOT_ROUNDS:
             free = now if round_ == 0 else now.filter("rep <> label")
             pivot = F.min(F.struct("lone", "rare", "rep", F.col("n").alias("m"), F.col("position").alias("j"), "label")).alias("p")
