@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -30,6 +31,34 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+class Tables:
+    """Intermediate tables of one operator in the shared folder.
+
+    Writing one ends the shuffles behind it; their files go when the driver collects its garbage, which
+    is asked for here, as a long chain of tables would else hold the shuffles of all its steps. ``drop``
+    removes the tables that the result doesn't read.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.folder, self.open = spark, f"{shared_folder(spark)}/tables-{uuid.uuid4().hex}", {}
+
+    def __call__(self, df: DataFrame) -> DataFrame:
+        path = f"{self.folder}/{len(self.open)}"
+        df.write.parquet(path)
+        table_ = self.spark.read.schema(df.schema).parquet(path)
+        self.open[path] = table_
+        self.spark.sparkContext._jvm.System.gc()
+        return table_
+
+    def drop(self, *kept: DataFrame) -> None:
+        path_of = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+        for path, table_ in self.open.items():
+            if table_ is not None and not any(table_ is k for k in kept):
+                gone = path_of(path)
+                gone.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(gone, True)
+                self.open[path] = None
+
+
 def _arrow_schema(df: DataFrame, schema: str) -> pa.Schema:
     return df.sparkSession.createDataFrame([], schema).toArrow().schema
 

@@ -7,7 +7,8 @@ the whole text with its place, however long the text; of equal runs the first pl
 
 Two fingerprints are matched by position. Anchors with one hash pair up, and each pair has an offset.
 A pair counts fully when its offset is the median one and less the further it is off, down to nothing at
-an eighth of the longer text; the sum is divided by the number of different anchors of both. So the
+3 / 16 of the larger number of anchors (about an eighth of the longer text); the sum is divided by the number of
+different anchors of both. So the
 likeness of equal texts is 1, an edit lowers it by its share of the anchors, an insertion shifts all
 that follows by its length, and the same blocks in another order count little.
 
@@ -35,40 +36,39 @@ LEAST_BLOCK = 16
 
 
 def anchors(text: str) -> Column:
-    """array<long> of the SQL expression ``text``: hash (32 bits), place (31 bits), in that order, a hash once.
+    """array<long> of the SQL expression ``text``: hash (32 bits), place (31 bits), a zero; in that order, a hash once.
 
-    Let-bindings keep each array computed once; sorting whole numbers needs no comparing of structs."""
+    Let-bindings keep each array computed once. No array may hold a null by its type, so that whole numbers are
+    sorted as such."""
     # S = 2 and K = 4: three inner runs, of which an outer one has to be the least
     closed = f"filter(sequence(1, size(w) - {K - 1}), i -> least(m[i - 1], m[i + 1]) <= m[i])"
-    packed = f"transform({closed}, i -> shiftleft(cast(hash(w[i - 1], w[i], w[i + 1], w[i + 2]) as bigint), 31) + i)"
+    packed = f"transform({closed}, i -> shiftleft(cast(hash(w[i - 1], w[i], w[i + 1], w[i + 2]) as bigint), 32) + 2 * i)"
     inner = f"transform(array(transform(w, (u, i) -> hash(u, get(w, i + 1)))), m -> {packed})[0]"
-    one = "array(shiftleft(cast({} as bigint), 31) + 1)"
-    body = f"case when size(w) >= {K} then {inner} when size(w) > 0 then {one.format('hash(w)')} when t = '' then cast(array() as array<bigint>) else {one.format('hash(t)')} end"
+    one = "array(shiftleft(cast({} as bigint), 32) + 2)"
+    body = f"case when size(w) >= {K} then {inner} when size(w) > 0 then {one.format('hash(w)')} when t = '' then slice(array(0L), 1, 0) else {one.format('hash(t)')} end"
     found = f"transform(array(transform(regexp_extract_all(t, '{UNITS}', 0), u -> hash(u))), w -> {body})[0]"
-    first = f"transform(array(sort_array({found})), a -> filter(a, (x, i) -> i = 0 or shiftright(x, 31) <> shiftright(a[i - 1], 31)))[0]"
+    first = f"transform(array(sort_array({found})), a -> filter(a, (x, i) -> i = 0 or shiftright(x, 32) <> shiftright(a[i - 1], 32)))[0]"
     return F.expr(f"transform(array(lower(coalesce({text}, ''))), t -> {first})[0]")
 
 
 def printed(found: str) -> Column:
-    """The anchors' hashes in their order in the text."""
-    by_place = f"sort_array(transform({found}, x -> shiftleft(x & 2147483647, 32) + (shiftright(x, 31) & 4294967295)))"
-    return F.expr(f"array_join(transform({by_place}, x -> lpad(hex(x & 4294967295), 8, '0')), '')")
+    """The anchors' hashes, in the order of the hashes."""
+    return F.expr(f"array_join(transform({found}, x -> lpad(hex(shiftright(x, 32) & 4294967295), 8, '0')), '')")
 
 
 def likeness(a: str, b: str) -> Column:
     """Share of the anchors of both that pair up at a consistent offset."""
-    sided = "transform({0}, x -> shiftleft(shiftright(x, 31), 32) + (x & 2147483647) * 2 + {1})"
-    both = f"sort_array(concat({sided.format(a, 0)}, {sided.format(b, 1)}))"
+    both = f"sort_array(concat({a}, transform({b}, x -> x + 1)))"
     pairs = "filter(sequence(0, size(m) - 2), i -> shiftright(m[i], 32) = shiftright(m[i + 1], 32))"
     place = "shiftright(m[{0}] & 4294967295, 1)"
     side = "(2 * (m[i + 1] & 1) - 1)"  # whether the later entry is the second text's
     offsets = f"sort_array(transform({pairs}, i -> {side} * ({place.format('i + 1')} - {place.format('i')})))"
-    last = "array_max(transform({0}, x -> x & 2147483647))"
-    reach = f"greatest(8D, greatest({last.format(a)}, {last.format(b)}) / 8D)"
-    weight = f"aggregate(d, 0D, (acc, x) -> acc + greatest(0D, 1 - abs(x - d[size(d) div 2]) / {reach}))"
+    # bound, so that it is not computed for every offset
+    reach = f"greatest(8D, greatest(size({a}), size({b})) * 3 / 16D)"
+    weight = f"transform(array({reach}), r -> aggregate(d, 0D, (acc, x) -> acc + greatest(0D, 1 - abs(x - d[size(d) div 2]) / r)))[0]"
     score = f"transform(array({offsets}), d -> case when size(d) = 0 then 0D else {weight} / (size(m) - size(d)) end)[0]"
     some = f"transform(array({both}), m -> case when size(m) < 2 then 0D else {score} end)[0]"
-    return F.expr(f"case when size({a}) = 0 and size({b}) = 0 then 1D else {some} end")
+    return F.expr(f"case when {a} = {b} then 1D else {some} end")
 
 
 def in_blocks(docs: DataFrame) -> DataFrame:

@@ -34,7 +34,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from docsift.llm.common import gram_hashes, hashes_of_texts, map_frames, shared
+from docsift.llm.common import Tables, gram_hashes, hashes_of_texts, map_frames
 
 FRAGMENTS, PIVOT_ROUNDS, HEAVY, SUMMARY = 4, 2, 16_384, 1_024
 
@@ -127,8 +127,9 @@ def fragments(docs: DataFrame, size: int, heavy) -> DataFrame:
     return docs.mapInPandas(cut, "rep long, fragment int, part array<long>")
 
 
-def components(edges: DataFrame) -> DataFrame:
+def components(edges: DataFrame, keep: Tables) -> DataFrame:
     """node, label (the smallest node reachable) for every node of the edges a, b; each round also jumps over labels."""
+    shared = Tables(edges.sparkSession)
     both = shared(edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
     labels = shared(both.groupBy(F.col("a").alias("node")).agg(F.least(F.col("node"), F.min("b")).alias("label")))
     while True:
@@ -138,6 +139,8 @@ def components(edges: DataFrame) -> DataFrame:
         moved = shared(step.join(jump, step.next == jump["at"], "left").select("node", F.least("next", "further").alias("label"), F.col("label").alias("before")))
         labels = moved.select("node", "label")
         if not moved.filter("label < before").limit(1).count():
+            labels = keep(labels)
+            shared.drop()
             return labels
 
 
@@ -167,6 +170,7 @@ def candidates(left: DataFrame, right: DataFrame, percent: int, both_ways: bool)
 def join_components(docs: DataFrame, size: int = 4, percent: int = 85) -> DataFrame:
     """doc_id, n_shingles, component_id for every row."""
     session, texts = docs.sparkSession, docs.select("doc_id", "text")
+    shared = Tables(session)
     digests = shared(set_digests(texts, size))
     rows = digests.filter("n < 0").groupBy("first").agg(F.sum("second").alias("n")).orderBy(F.desc("n"), "first").limit(HEAVY).collect()
     often = sorted((r["first"], len(rows) - at) for at, r in enumerate(rows))
@@ -188,7 +192,8 @@ def join_components(docs: DataFrame, size: int = 4, percent: int = 85) -> DataFr
     weight = F.sum("weight")
     rank = prefix.groupBy("rep").agg((-weight / (F.max("n") - least_overlap(F.max("n"), percent) + 1)).alias("lone"), (-F.sum(F.col("df") * F.col("weight")) / weight).alias("rare"))
     prefix = shared(prefix.join(rank, "rep").drop("df"))
-    links, labels = None, prefix.select(F.col("rep").alias("node"), F.col("rep").alias("label")).distinct()
+    shared.drop(digests, reps, prefix)
+    links, labels, live = None, prefix.select(F.col("rep").alias("node"), F.col("rep").alias("label")).distinct(), [digests, reps, prefix]
     for round_ in range(PIVOT_ROUNDS + 1):
         now = prefix.join(labels, prefix.rep == labels.node).drop("node")
         left = now.select("h", F.col("rep").alias("x"), "n", F.col("position").alias("i"), "label", "weight")
@@ -204,7 +209,10 @@ def join_components(docs: DataFrame, size: int = 4, percent: int = 85) -> DataFr
         ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
         found = shared(overlaps(pairs, shared(fragments(of(ids), size, heavy)), percent))
         links = found if links is None else links.union(found)
-        joined = components(links)
+        joined = components(links, shared)
+        live.append(found)
+        shared.drop(*live, joined)
         labels = prefix.select("rep").distinct().join(joined, F.col("rep") == F.col("node"), "left").select(F.col("rep").alias("node"), F.coalesce("label", "rep").alias("label"))
+    shared.drop(digests, reps, joined)
     result = members.join(joined, members.rep == joined.node, "left")
     return result.select("doc_id", "n_shingles", F.coalesce("label", "rep").alias("component_id"))

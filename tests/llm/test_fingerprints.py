@@ -66,12 +66,12 @@ def anchors_by_force(text):
 
 
 def likeness_by_force(a, b):
-    if not a and not b:
+    if a == b:
         return 1.0
     offsets = sorted(b[h] - a[h] for h in a.keys() & b.keys())
     if not offsets:
         return 0.0
-    middle, reach = offsets[len(offsets) // 2], max(8, max([*a.values(), *b.values()]) / 8)
+    middle, reach = offsets[len(offsets) // 2], max(8, max(len(a), len(b)) * 3 / 16)
     return sum(max(0, 1 - abs(d - middle) / reach) for d in offsets) / len(a.keys() | b.keys())
 
 
@@ -85,13 +85,13 @@ def texts():
 def test_anchors_and_likeness(spark):
     all_ = texts()
     df = spark.createDataFrame([(i, t) for i, t in enumerate(all_)], "i int, t string").withColumn("a", fingerprints.anchors("t"))
-    got = {r.i: {x >> 31: x & (2**31 - 1) for x in r.a} for r in df.select("i", "a").collect()}
+    got = {r.i: {x >> 32: (x & MASK) >> 1 for x in r.a} for r in df.select("i", "a").collect()}
     want = {i: anchors_by_force(t) for i, t in enumerate(all_)}
     assert got == want
     pairs = df.select(F.col("i").alias("j"), F.col("a").alias("b")).crossJoin(df.select("i", "a"))
     for r in pairs.select("i", "j", fingerprints.likeness("a", "b").alias("x"), fingerprints.printed("a").alias("p")).collect():
         assert r.x == pytest.approx(likeness_by_force(want[r.i], want[r.j])), (r.i, r.j)
-        assert r.p == "".join(f"{h & MASK:08X}" for h, _ in sorted(want[r.i].items(), key=lambda a: a[1]))
+        assert r.p == "".join(f"{h & MASK:08X}" for h, _ in sorted(want[r.i].items()))
 
 
 def test_edited_rows(spark, monkeypatch):
