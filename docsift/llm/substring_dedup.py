@@ -7,7 +7,9 @@ hash of its inner word grams), and equal windows have equal anchors. Runs of win
 anchor are segments.
 
 1. Of equal texts only the one with the smallest id goes on; the others lose every window.
-2. Anchors that only one document has are dropped after narrow shuffles of hashes.
+2. Anchors that only one document has are dropped: one pass counts them as bare numbers, the next leaves the
+   rest out by a broadcast bit filter of a fixed size (16 MB; where it fills up it lets more through, and the
+   join behind it is exact).
 3. An anchor with a single segment needs no text: its first document is known.
 4. The distinct segments of any other anchor form a reference shard: a generalised suffix automaton
    whose states hold the smallest document id. The segments stream through it, and their matching
@@ -17,7 +19,8 @@ anchor are segments.
    the corpus, however many surroundings a passage has.
 
 Null or wordless text has no words. Equal rows keep the words of the row with the smaller id; rows
-with one id don't cut each other. Texts that lose nothing keep their white space.
+with one id don't cut each other, and rows without an id neither cut nor are cut. Texts that lose nothing keep
+their white space. An empty table gives an empty result. Other columns are only read when named.
 """
 
 from __future__ import annotations
@@ -30,9 +33,9 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from docsift.llm.common import gram_hashes, hashes_of_texts, map_frames, shared, words
+from docsift.llm.common import Tables, gram_hashes, hashes_of_texts, map_frames, words
 
-INNER, SPLIT = 5, 1_000
+INNER, SPLIT, BITS = 5, 1_000, 1 << 27
 
 
 def segments(hashes: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -113,10 +116,39 @@ class SuffixAutomaton:
         return out
 
 
-def repeated_windows(docs: DataFrame, size: int = 13, split: int = SPLIT) -> DataFrame:
+def _slots(anchors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two places in the bit filter; anchors are mixed hashes already."""
+    bits = anchors.view(np.uint64)
+    return bits & np.uint64(BITS - 1), (bits >> np.uint64(32)) & np.uint64(BITS - 1)
+
+
+def bit_filter(anchors: DataFrame) -> np.ndarray:
+    """Words of a bit filter that holds all anchors; at most ``BITS / 64`` rows reach the driver."""
+    places = F.explode(F.array(F.col("anchor").bitwiseAND(F.lit(BITS - 1)), F.shiftrightunsigned("anchor", 32).bitwiseAND(F.lit(BITS - 1))))
+    words_ = anchors.select(places.alias("at")).groupBy(F.shiftright("at", 6).alias("word"))
+    found = words_.agg(F.bit_or(F.expr("shiftleft(1L, cast(at & 63 as int))")).alias("mask")).toArrow()
+    out = np.zeros(BITS // 64, np.uint64)
+    out[found.column("word").to_numpy()] = found.column("mask").to_numpy().view(np.uint64)
+    return out
+
+
+def passes(bits: np.ndarray, anchors: np.ndarray) -> np.ndarray:
+    first, second = _slots(anchors)
+    return ((bits[first >> np.uint64(6)] >> (first & np.uint64(63))) & (bits[second >> np.uint64(6)] >> (second & np.uint64(63))) & np.uint64(1)) > 0
+
+
+def repeated_windows(docs: DataFrame, size: int = 13, split: int = SPLIT, shared: Tables | None = None, held: tuple[DataFrame, ...] = ()) -> DataFrame:
     """doc_id, windows: the places of the windows that a document with a smaller id holds too.
 
-    ``docs`` has no two documents with one text."""
+    ``docs`` has no two documents with one text; it is read three times. Tables of ``shared`` that are not
+    needed any more go, but for those in ``held``."""
+    shared = shared or Tables(docs.sparkSession)
+
+    def once(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for at in range(0, len(batch), 500):
+                found = [np.unique(segments(h, size)[0]) for h in hashes_of_texts(list(batch["text"].iloc[at : at + 500]))]
+                yield pd.DataFrame({"anchor": np.concatenate(found)})
 
     def anchors(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -124,7 +156,9 @@ def repeated_windows(docs: DataFrame, size: int = 13, split: int = SPLIT) -> Dat
                 part = batch.iloc[at : at + 500]
                 found = [segments(h, size) for h in hashes_of_texts(list(part["text"]))]
                 anchor, start, n, digest = (np.concatenate(x) for x in zip(*found))
-                yield pd.DataFrame({"doc_id": np.repeat(part["doc_id"].to_numpy(), [len(f[0]) for f in found]), "anchor": anchor, "start": start, "n": n, "digest": digest})
+                rows = {"doc_id": np.repeat(part["doc_id"].to_numpy(), [len(f[0]) for f in found]), "anchor": anchor, "start": start, "n": n, "digest": digest}
+                kept = passes(bits.value, anchor)
+                yield pd.DataFrame({name: column[kept] for name, column in rows.items()})
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -166,11 +200,15 @@ def repeated_windows(docs: DataFrame, size: int = 13, split: int = SPLIT) -> Dat
             yield pd.DataFrame(solve(current, group), columns=["anchor", "digest", "shift", "firsts"])
 
     texts = docs.select("doc_id", "text").filter("doc_id is not null")
-    found = shared(texts.mapInPandas(anchors, "doc_id long, anchor long, start int, n int, digest long"))
-    distinct = shared(found.groupBy("anchor", "digest").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")))
-    kinds = distinct.groupBy("anchor").agg(F.count("*").alias("kinds"), F.min("low").alias("least"), F.max("high").alias("most")).filter("least < most")
-    distinct = shared(distinct.join(kinds.select("anchor", "kinds"), "anchor").select("anchor", "digest", "low", "kinds"))
+    again = shared(texts.mapInPandas(once, "anchor long").groupBy("anchor").count().filter("count > 1").select("anchor"))
+    bits = docs.sparkSession.sparkContext.broadcast(bit_filter(again))
+    found = texts.mapInPandas(anchors, "doc_id long, anchor long, start int, n int, digest long")
+    found = shared(found.join(again, "anchor", "left_semi"))
+    every = shared(found.groupBy("anchor", "digest").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")))
+    kinds = every.groupBy("anchor").agg(F.count("*").alias("kinds"), F.min("low").alias("least"), F.max("high").alias("most")).filter("least < most")
+    distinct = shared(every.join(kinds.select("anchor", "kinds"), "anchor").select("anchor", "digest", "low", "kinds"))
     met = shared(found.join(distinct, ["anchor", "digest"]))
+    shared.drop(met, docs, *held)
     told = met.filter("kinds = 1 and low < doc_id").select("doc_id", F.expr("sequence(start, start + n - 1)").alias("windows"))
 
     asked = met.filter("kinds > 1")
@@ -189,14 +227,21 @@ def repeated_windows(docs: DataFrame, size: int = 13, split: int = SPLIT) -> Dat
     return told.union(hits.filter("size(windows) > 0")).groupBy("doc_id").agg(F.flatten(F.collect_list("windows")).alias("windows"))
 
 
-def remove_repeats(docs: DataFrame, size: int = 13) -> DataFrame:
-    """The rows with ``kept`` (the text left), n_words and n_removed."""
+def remove_repeats(docs: DataFrame, size: int = 13, carry: tuple[str, ...] = ()) -> DataFrame:
+    """The rows with ``kept`` (the text left), n_words and n_removed, and the columns named in ``carry``."""
     kind = docs.select("doc_id").schema[0].dataType.simpleString()
-    rows = docs.select("doc_id", "text", F.md5(F.encode("text", "UTF-8")).alias("sum"))
-    low = shared(rows.select("doc_id", "sum").groupBy("sum").agg(F.min("doc_id").alias("low")))
-    firsts = rows.join(low.select(F.col("low").alias("doc_id"), "sum"), ["doc_id", "sum"], "left_semi").dropDuplicates(["doc_id", "sum"])
-    hits = repeated_windows(firsts, size)
-    marked = rows.join(low, "sum", "left").select("doc_id", "text", (F.col("low") < F.col("doc_id")).alias("copy")).join(hits, "doc_id", "left")
+    shared = Tables(docs.sparkSession)
+    rows = docs.select("doc_id", "text", F.md5(F.encode("text", "UTF-8")).alias("sum"), *[F.col(c).alias(f"carry_{c}") for c in carry])
+    ids = rows.select("doc_id", "sum")
+    low = shared(ids.groupBy("sum").agg(F.min("doc_id").alias("low")))
+    firsts = rows.select("doc_id", "text", "sum").join(low.select(F.col("low").alias("doc_id"), "sum"), ["doc_id", "sum"], "left_semi")
+    firsts = shared(firsts.dropDuplicates(["doc_id", "sum"]))
+    hits = shared(repeated_windows(firsts, size, shared=shared, held=(low,)))
+    # what happens to a row is found on ids alone, so that texts move once more
+    copies = ids.join(low, "sum").filter("low < doc_id").groupBy("doc_id").agg(F.collect_set("sum").alias("copied"))
+    told = shared(hits.join(copies, "doc_id", "full"))
+    shared.drop(told)
+    marked = rows.join(told, "doc_id", "left").withColumn("copy", F.coalesce(F.array_contains("copied", F.col("sum")), F.lit(False))).drop("copied", "sum")
 
     def remove(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -212,6 +257,10 @@ def remove_repeats(docs: DataFrame, size: int = 13) -> DataFrame:
                 left = [t for t, d in zip(tokens, drop) if not d] if drop.any() else tokens
                 joined = " ".join(left)
                 out.append((doc, text if not drop.any() else joined, hashlib.sha256(joined.encode()).hexdigest(), len(tokens), int(drop.sum())))
-            yield pd.DataFrame(out, columns=["doc_id", "kept", "kept_sha256", "n_words", "n_removed"], dtype=object)
+            frame = pd.DataFrame(out, columns=["doc_id", "kept", "kept_sha256", "n_words", "n_removed"], dtype=object)
+            for name in carry:
+                frame[name] = batch[f"carry_{name}"].to_numpy()
+            yield frame
 
-    return map_frames(marked, remove, f"doc_id {kind}, kept string, kept_sha256 string, n_words long, n_removed long")
+    carried = "".join(f", `{f.name}` {f.dataType.simpleString()}" for f in docs.select(*carry).schema)
+    return map_frames(marked, remove, f"doc_id {kind}, kept string, kept_sha256 string, n_words long, n_removed long{carried}")
