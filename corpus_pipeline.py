@@ -1,6 +1,7 @@
 """The corpus pipeline: each stage works on what its predecessor kept, written as Parquet in the shared folder.
 
-A stage decides per document by the operator's own result and keeps clean documents as they are.
+A stage decides per document by the operator's own result and keeps clean documents as they are. Extra
+columns of the documents are left out, whatever their names. Empty tables give empty results.
 """
 
 from __future__ import annotations
@@ -18,26 +19,27 @@ COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier accepts."""
+    """Documents that the classifier accepts: all rows of an id go if it rejects one; rows without an id stay."""
     bad = toxicity.classify(docs, table(spark, sf_dir, "labels")).filter("predicted = 1").select("doc_id").distinct()
     return docs.join(bad, "doc_id", "left_anti").select(*COLUMNS)
 
 
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The smallest id of every component of links: five words and a similarity of 0.8, unlike the query of op9."""
+    """The smallest id of every component of links: five words and a similarity of 0.8, unlike the query of op9.
+
+    Repeated rows of that id, rows without an id and texts without words stay."""
     out = ngram_join.join_components(docs.select("doc_id", "text"), size=5, percent=80).filter("doc_id <> component_id").select("doc_id").distinct()
     return docs.join(out, "doc_id", "left_anti").select(*COLUMNS)
 
 
 def remove_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without the spans that an earlier document has."""
-    kept = substring_dedup.remove_repeats(docs).filter("n_removed > 0").groupBy("doc_id").agg(F.min("kept").alias("kept"))  # equal rows keep equal texts
-    rows = docs.join(kept, "doc_id", "left").withColumn("text", F.coalesce("kept", "text"))
-    return rows.withColumn("n_chars", F.when(F.col("kept").isNull(), F.col("n_chars")).otherwise(F.length("text").cast("long"))).select(*COLUMNS)
+    """Texts without the spans that an earlier document has; null and untouched texts stay as they are."""
+    rows = substring_dedup.remove_repeats(docs, carry=("lang", "source", "n_chars")).withColumnRenamed("kept", "text")
+    return rows.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(*COLUMNS)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that cover no benchmark item."""
+    """Documents that cover no benchmark item; rows without an id stay."""
     bad = decontamination.contaminated(docs, table(spark, sf_dir, "benchmark")).select("doc_id").distinct()
     return docs.join(bad, "doc_id", "left_anti").select(*COLUMNS)
 
