@@ -154,7 +154,8 @@ def judge_alignment(
     def correlation(a: str, b: str) -> Column:
         """Null, not an error, where a side has a single value."""
         a, b = (F.when(F.col("_s").isNotNull() & F.col("_l").isNotNull(), F.col(c)) for c in (a, b))
-        return F.try_divide(F.covar_pop(a, b), F.stddev_pop(a) * F.stddev_pop(b))
+        varied = (F.min(a) < F.max(a)) & (F.min(b) < F.max(b))  # a deviation of equal values may differ from 0 by rounding
+        return F.when(varied, F.try_divide(F.covar_pop(a, b), F.stddev_pop(a) * F.stddev_pop(b)))
 
     facts = [
         fact(pairs, n_pairs=n, correlation=correlation("_s", "_l"), mean_abs_gap=F.avg(F.abs(F.col("_s") - F.col("_l")))),
