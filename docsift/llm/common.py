@@ -10,6 +10,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from docsift.operators.stored import shared_folder  # noqa: F401 - the pipeline names its tables with it
 from docsift.operators.stored import stored as shared  # noqa: F401
@@ -137,3 +138,29 @@ def hashes_of_texts(texts: list[str | None], lower: bool = False) -> list[np.nda
     value *= _MULTIPLIER
     value ^= value >> np.uint64(29)
     return np.split(value, np.searchsorted(begin, ends[:-1]))
+
+
+#: Bits of a filter that tells most of what is not in a set; 16 MB whatever the set's size.
+BITS = 1 << 27
+
+
+def _slots(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two places in the bit filter; the hashes are mixed already."""
+    bits = hashes.view(np.uint64)
+    return bits & np.uint64(BITS - 1), (bits >> np.uint64(32)) & np.uint64(BITS - 1)
+
+
+def bit_filter(hashes: DataFrame) -> np.ndarray:
+    """Words of a bit filter that holds all hashes (a column of longs); at most ``BITS / 64`` rows reach the driver."""
+    (name,) = hashes.columns
+    places = F.explode(F.array(F.col(name).bitwiseAND(F.lit(BITS - 1)), F.shiftrightunsigned(name, 32).bitwiseAND(F.lit(BITS - 1))))
+    words_ = hashes.select(places.alias("at")).groupBy(F.shiftright("at", 6).alias("word"))
+    found = words_.agg(F.bit_or(F.expr("shiftleft(1L, cast(at & 63 as int))")).alias("mask")).toArrow()
+    out = np.zeros(BITS // 64, np.uint64)
+    out[found.column("word").to_numpy()] = found.column("mask").to_numpy().view(np.uint64)
+    return out
+
+
+def passes(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    first, second = _slots(hashes)
+    return ((bits[first >> np.uint64(6)] >> (first & np.uint64(63))) & (bits[second >> np.uint64(6)] >> (second & np.uint64(63))) & np.uint64(1)) > 0

@@ -9,7 +9,8 @@ shingle; a null or wordless text has an empty set and no link. Two documents lin
    ``SUMMARY`` counts a task, from which at most ``HEAVY`` frequent shingles are broadcast.
 2. The global order puts these frequent shingles last, by count, and all others before them by
    hash. Any order is right; this one keeps common passages out of the prefixes. A class leaves
-   its task with the prefix of its order only, which any partner must share.
+   its task with the prefix of its order only, which any partner must share. Texts do not move: the documents
+   wanted are told by a broadcast bit filter of 16 MB, and what it lets pass beside them (copies of a class) changes no result.
 3. Prefix shingles of one class alone are dropped, and of those that the same classes hold (told by a
    128-bit digest) one stands for all, with their number: a shared passage is one key. Pairs are first built with the most central
    class of each prefix shingle (one pair per member); what these links join is one component.
@@ -34,7 +35,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from docsift.llm.common import Tables, gram_hashes, hashes_of_texts, map_frames
+from docsift.llm.common import Tables, bit_filter, gram_hashes, hashes_of_texts, map_frames, passes
 
 FRAGMENTS, PIVOT_ROUNDS, HEAVY, SUMMARY = 4, 2, 16_384, 1_024
 
@@ -91,11 +92,12 @@ def least_overlap(n: Column, percent: int) -> Column:
     return F.floor((n * percent + 99) / 100)
 
 
-def prefixes(docs: DataFrame, size: int, percent: int, heavy) -> DataFrame:
-    """rep, n, position, h: the prefix of every set in the global order."""
+def prefixes(docs: DataFrame, size: int, percent: int, heavy, bits) -> DataFrame:
+    """rep, n, position, h: the prefix of every set in the global order, for documents whose mark the filter lets pass."""
 
     def first(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
+            batch = batch[passes(bits.value, batch["mark"].to_numpy())]
             for at in range(0, len(batch), 500):
                 part = batch.iloc[at : at + 500]
                 sets = shingle_sets(list(part["text"]), size)
@@ -110,11 +112,12 @@ def prefixes(docs: DataFrame, size: int, percent: int, heavy) -> DataFrame:
     return docs.mapInPandas(first, "rep long, n long, position int, h long")
 
 
-def fragments(docs: DataFrame, size: int, heavy) -> DataFrame:
-    """rep, fragment, part: every set cut along the global order."""
+def fragments(docs: DataFrame, size: int, heavy, bits) -> DataFrame:
+    """rep, fragment, part: every set cut along the global order, for documents whose mark the filter lets pass."""
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
+            batch = batch[passes(bits.value, batch["mark"].to_numpy())]
             for at in range(0, len(batch), 500):
                 rows = []
                 part = batch.iloc[at : at + 500]
@@ -180,10 +183,16 @@ def join_components(docs: DataFrame, size: int = 4, percent: int = 85) -> DataFr
     reps = shared(classes.filter("n > 0").groupBy("n", "first", "second").agg(F.min("doc_id").alias("rep")))
     members = classes.join(reps, ["n", "first", "second"], "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("rep", "doc_id").alias("rep"))
 
-    def of(ids: DataFrame) -> DataFrame:
-        return texts.join(ids, "doc_id", "left_semi").groupBy("doc_id").agg(F.min("text").alias("text"))
+    named = texts.filter("doc_id is not null")
+    if not classes.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1").isEmpty():
+        named = shared(named.groupBy("doc_id").agg(F.min("text").alias("text")))  # the one shuffle of texts, where ids repeat
+    named = named.select("doc_id", "text", F.xxhash64("doc_id").alias("mark"))
 
-    whole = shared(prefixes(of(reps.select(F.col("rep").alias("doc_id"))), size, percent, heavy))
+    def those(ids: DataFrame):
+        """A filter of fixed size for the documents that are wanted; what else it lets pass changes no result."""
+        return session.sparkContext.broadcast(bit_filter(ids.select(F.xxhash64(ids.columns[0]).alias("mark"))))
+
+    whole = shared(prefixes(named, size, percent, heavy, those(reps.select("rep").filter("rep is not null"))))
     mixed = F.xxhash64("rep")
     held = (F.min("rep").alias("low"), F.max("rep").alias("high"), F.count("*").alias("df"), F.bit_xor(mixed).alias("mixed"), F.sum(F.shiftright(mixed, 32)).alias("total"))
     common = whole.groupBy("h").agg(*held).filter("low < high")
@@ -192,8 +201,9 @@ def join_components(docs: DataFrame, size: int = 4, percent: int = 85) -> DataFr
     weight = F.sum("weight")
     rank = prefix.groupBy("rep").agg((-weight / (F.max("n") - least_overlap(F.max("n"), percent) + 1)).alias("lone"), (-F.sum(F.col("df") * F.col("weight")) / weight).alias("rare"))
     prefix = shared(prefix.join(rank, "rep").drop("df"))
-    shared.drop(digests, reps, prefix)
-    links, labels, live = None, prefix.select(F.col("rep").alias("node"), F.col("rep").alias("label")).distinct(), [digests, reps, prefix]
+    texts_kept = [t for t in shared.open.values() if t is not None and t.columns == ["doc_id", "text"]]
+    shared.drop(digests, reps, prefix, *texts_kept)
+    links, labels, live = None, prefix.select(F.col("rep").alias("node"), F.col("rep").alias("label")).distinct(), [digests, reps, prefix, *texts_kept]
     for round_ in range(PIVOT_ROUNDS + 1):
         now = prefix.join(labels, prefix.rep == labels.node).drop("node")
         left = now.select("h", F.col("rep").alias("x"), "n", F.col("position").alias("i"), "label", "weight")
@@ -207,7 +217,7 @@ def join_components(docs: DataFrame, size: int = 4, percent: int = 85) -> DataFr
             other = left.select("h", F.col("x").alias("y"), F.col("n").alias("m"), F.col("i").alias("j"), F.col("label").alias("label_y"))
         pairs = shared(candidates(left, other, percent, round_ == PIVOT_ROUNDS))
         ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-        found = shared(overlaps(pairs, shared(fragments(of(ids), size, heavy)), percent))
+        found = shared(overlaps(pairs, shared(fragments(named, size, heavy, those(ids))), percent))
         links = found if links is None else links.union(found)
         joined = components(links, shared)
         live.append(found)

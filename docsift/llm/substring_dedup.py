@@ -33,9 +33,9 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from docsift.llm.common import Tables, gram_hashes, hashes_of_texts, map_frames, words
+from docsift.llm.common import Tables, bit_filter, gram_hashes, hashes_of_texts, map_frames, passes, words
 
-INNER, SPLIT, BITS = 5, 1_000, 1 << 27
+INNER, SPLIT = 5, 1_000
 
 
 def segments(hashes: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -116,27 +116,6 @@ class SuffixAutomaton:
         return out
 
 
-def _slots(anchors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Two places in the bit filter; anchors are mixed hashes already."""
-    bits = anchors.view(np.uint64)
-    return bits & np.uint64(BITS - 1), (bits >> np.uint64(32)) & np.uint64(BITS - 1)
-
-
-def bit_filter(anchors: DataFrame) -> np.ndarray:
-    """Words of a bit filter that holds all anchors; at most ``BITS / 64`` rows reach the driver."""
-    places = F.explode(F.array(F.col("anchor").bitwiseAND(F.lit(BITS - 1)), F.shiftrightunsigned("anchor", 32).bitwiseAND(F.lit(BITS - 1))))
-    words_ = anchors.select(places.alias("at")).groupBy(F.shiftright("at", 6).alias("word"))
-    found = words_.agg(F.bit_or(F.expr("shiftleft(1L, cast(at & 63 as int))")).alias("mask")).toArrow()
-    out = np.zeros(BITS // 64, np.uint64)
-    out[found.column("word").to_numpy()] = found.column("mask").to_numpy().view(np.uint64)
-    return out
-
-
-def passes(bits: np.ndarray, anchors: np.ndarray) -> np.ndarray:
-    first, second = _slots(anchors)
-    return ((bits[first >> np.uint64(6)] >> (first & np.uint64(63))) & (bits[second >> np.uint64(6)] >> (second & np.uint64(63))) & np.uint64(1)) > 0
-
-
 def repeated_windows(docs: DataFrame, size: int = 13, split: int = SPLIT, shared: Tables | None = None, held: tuple[DataFrame, ...] = ()) -> DataFrame:
     """doc_id, windows: the places of the windows that a document with a smaller id holds too.
 
@@ -162,15 +141,17 @@ def repeated_windows(docs: DataFrame, size: int = 13, split: int = SPLIT, shared
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for doc, text, places in zip(batch["doc_id"], batch["text"], batch["places"]):
-                tokens, rows = words(text), []
-                hashes = gram_hashes(hashes_of_texts([text])[0], size).view(np.int64)
-                for p in places:
-                    start, n = p["start"], p["n"]
-                    if p["hot"]:
-                        rows += [(p["anchor"], hashes[start + k], p["digest"], k, None, doc) for k in range(n)]
-                    else:
-                        rows.append((p["anchor"], 0, p["digest"], 0, " ".join(tokens[start : start + n + size - 1]), doc))
+            for at in range(0, len(batch), 200):
+                rows, part = [], batch.iloc[at : at + 200]
+                for doc, text, places in zip(part["doc_id"], part["text"], part["places"]):
+                    tokens = words(text)
+                    hashes = gram_hashes(hashes_of_texts([text])[0], size).view(np.int64) if any(p["hot"] for p in places) else None
+                    for p in places:
+                        start, n = p["start"], p["n"]
+                        if p["hot"]:
+                            rows += [(p["anchor"], hashes[start + k], p["digest"], k, None, doc) for k in range(n)]
+                        else:
+                            rows.append((p["anchor"], 0, p["digest"], 0, " ".join(tokens[start : start + n + size - 1]), doc))
                 yield pd.DataFrame(rows, columns=["anchor", "window", "digest", "shift", "segment", "first"])
 
     def shard(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -201,7 +182,7 @@ def repeated_windows(docs: DataFrame, size: int = 13, split: int = SPLIT, shared
 
     texts = docs.select("doc_id", "text").filter("doc_id is not null")
     again = shared(texts.mapInPandas(once, "anchor long").groupBy("anchor").count().filter("count > 1").select("anchor"))
-    bits = docs.sparkSession.sparkContext.broadcast(bit_filter(again))
+    bits = docs.sparkSession.sparkContext.broadcast(bit_filter(again.select("anchor")))
     found = texts.mapInPandas(anchors, "doc_id long, anchor long, start int, n int, digest long")
     found = shared(found.join(again, "anchor", "left_semi"))
     every = shared(found.groupBy("anchor", "digest").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")))
