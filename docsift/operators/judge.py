@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ..functions import prompts
 from ..functions.scores import FLAG_THRESHOLD, has_empty, low_score, mean_score, score_from_reply
 from .model import TEMPERATURE_JUDGE, Model, complete
-from .order import RANGE_ROWS, global_index
+from .order import RANGE_ROWS, global_index, range_size
 from .stored import stored
 
 METRICS = ("faithfulness", "relevancy", "correctness")
@@ -200,6 +200,8 @@ def discordant(placed: DataFrame, x: str, y: str, range_rows: int = RANGE_ROWS)
     other pairs, those within a range of y in its task, and the rest from the counts per cell of both ranges
     (rows squared over ``range_rows`` squared of them at most, in one task).
     """
+    range_rows = range_size(placed.count(), range_rows)
+
     def within(rows: pd.DataFrame, order: str, value: str) -> pd.DataFrame:
         return pd.DataFrame({"n": [_inversions(rows.sort_values(order)[value].to_numpy())]})
 

@@ -72,3 +72,18 @@ def test_first_rows_and_sample(spark, monkeypatch):
 def test_durable_reads_the_session_setting(spark):
     kept = durable(spark.range(3))
     assert kept.count() == 3 and spark.sparkContext.getCheckpointDir() is not None
+
+
+def test_ranges_stay_few(spark, monkeypatch):
+    """Short ranges of a large table grow instead of multiplying."""
+    assert order.range_size(1000, 200) == 200
+    assert order.range_size(512 * 9000, 8192) == 9000
+    assert order.range_size(10**12, 150) == order.RANGE_ROWS
+    ranges = []
+    frame = type(spark.range(0))
+    cut = frame.repartitionByRange
+    monkeypatch.setattr(frame, "repartitionByRange", lambda self, n, *c: ranges.append(n) or cut(self, n, *c))
+    monkeypatch.setattr(order, "MANY_RANGES", 5)
+    numbers = spark.createDataFrame([(i,) for i in range(100)], "k int")
+    assert sorted((r.k, r["index"]) for r in order.global_index(numbers, ["k"], range_rows=2).collect()) == [(i, i) for i in range(100)]
+    assert ranges == [5]
