@@ -74,8 +74,8 @@ def test_durable_reads_the_session_setting(spark):
     assert kept.count() == 3 and spark.sparkContext.getCheckpointDir() is not None
 
 
-def test_ranges_stay_few(spark, monkeypatch):
-    """Short ranges of a large table grow instead of multiplying."""
+def test_ranges_follow_bytes_and_stay_few(spark, monkeypatch):
+    """Long rows fill ranges by bytes; short ranges of a large table grow instead of multiplying."""
     assert order.range_size(1000, 200) == 200
     assert order.range_size(512 * 9000, 8192) == 9000
     assert order.range_size(10**12, 150) == order.RANGE_ROWS
@@ -83,7 +83,10 @@ def test_ranges_stay_few(spark, monkeypatch):
     frame = type(spark.range(0))
     cut = frame.repartitionByRange
     monkeypatch.setattr(frame, "repartitionByRange", lambda self, n, *c: ranges.append(n) or cut(self, n, *c))
+    monkeypatch.setattr(order, "RANGE_BYTES", 10_000)
+    rows = spark.createDataFrame([(i, "x" * 1000 if i else None) for i in range(100)], "k int, t string")
+    assert sorted((r.k, r["index"]) for r in order.global_index(rows, ["k"]).collect()) == [(i, i) for i in range(100)]
     monkeypatch.setattr(order, "MANY_RANGES", 5)
-    numbers = spark.createDataFrame([(i,) for i in range(100)], "k int")
+    numbers = rows.select("k")
     assert sorted((r.k, r["index"]) for r in order.global_index(numbers, ["k"], range_rows=2).collect()) == [(i, i) for i in range(100)]
-    assert ranges == [5]
+    assert ranges == [11, 5]
