@@ -13,10 +13,11 @@ columns are only kept when named; an empty table gives no rows.
 from __future__ import annotations
 
 import os
-import struct
+import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -30,24 +31,34 @@ PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\
 PLAIN = r"[^\x00-\u0500\u2010-\u2030\u20ac]"
 
 
+def plain_pattern() -> str:
+    """``PATTERN`` for plain texts: its classes spelled out over their code points, which ``re`` splits in half the time."""
+    import regex
+
+    plain = [c for c in map(chr, [*range(0x501), *range(0x2010, 0x2031), 0x20AC])]
+    letter, number, space = ("".join(re.escape(c) for c in plain if regex.fullmatch(kind, c)) for kind in (r"\p{L}", r"\p{N}", r"\s"))
+    return rf"'(?:[stmd]|re|ve|ll)| ?[{letter}]+| ?[{number}]+| ?[^{space}{letter}{number}]+|[{space}]+(?![^{space}])|[{space}]+"
+
+
 class PreTokens:
     """Splits texts and looks up the ids of each pre-token, as little-endian 32-bit bytes."""
 
     def __init__(self, path: str, table: dict[str, bytes] | None = None):
-        import regex
         from tokenizers import Tokenizer
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         self.library = Tokenizer.from_file(path)
         self.many = getattr(self.library, "encode_batch_fast", self.library.encode_batch)
-        self.split = regex.compile(PATTERN).findall
-        self.odd = regex.compile(PLAIN).search
+        self.split = re.compile(plain_pattern()).findall
+        self.odd = re.compile(PLAIN).search
         self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
         self.table, self.cache = table or {}, {}
+        vocabulary = self.library.get_vocab()
+        self.n_bytes = np.zeros(max(vocabulary.values()) + 1, np.int64)
+        for content, number in vocabulary.items():  # a character of the byte-level vocabulary is a byte
+            self.n_bytes[number] = len(content)
 
     def encode(self, text: str) -> bytes:
-        import numpy as np
-
         return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def pieces(self, text: str | None) -> list[bytes]:
@@ -66,13 +77,16 @@ class PreTokens:
         left = map(self.cache.__getitem__, rest)
         return [next(left) if known is None else known for known in ids]
 
-    def learn(self, tokens: list[str]) -> None:
-        """Encodes the tokens that the cache lacks, in one call."""
+    def learn(self, tokens: Iterable[str]) -> None:
+        """Encodes the tokens that the cache lacks as the words of one text, and cuts its ids where the bytes of a word end."""
         if len(self.cache) > CACHE:
             self.cache.clear()
         missing = list(set(tokens).difference(self.cache))
-        for token, found in zip(missing, self.many(missing, add_special_tokens=False) if missing else ()):
-            self.cache[token] = struct.pack(f"<{len(found.ids)}I", *found.ids)
+        if missing:
+            ids = np.array(self.many([missing], is_pretokenized=True, add_special_tokens=False)[0].ids, "<u4")
+            ends = np.searchsorted(np.cumsum(self.n_bytes[ids]), np.cumsum([len(token.encode()) for token in missing])) + 1
+            raw, edges = ids.tobytes(), [0, *(4 * ends).tolist()]
+            self.cache.update((token, raw[a:b]) for token, a, b in zip(missing, edges, edges[1:]))
 
 
 _WORKER: dict[str, PreTokens] = {}

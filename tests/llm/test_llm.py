@@ -109,6 +109,20 @@ def test_odd_texts_are_split_as_by_the_library():
         assert b"".join(own.pieces(text)) == own.encode(text)
 
 
+def test_plain_texts_split_alike_and_words_are_encoded_in_one_call():
+    import regex
+
+    own, plain = token_counts.PreTokens(tokenizer_path()), [*map(chr, [*range(0x501), *range(0x2010, 0x2031), 0x20AC])]
+    rng = random.Random(8)
+    for _ in range(300):
+        text = "".join(rng.choice(rng.choice((plain, "aé1 \n'", " '\u2028\x1c\x85tsdlv"))) for _ in range(40))
+        assert own.split(text) == regex.findall(token_counts.PATTERN, text)
+        assert b"".join(own.pieces(text)) == own.encode(text)
+    calls = []
+    own.cache, own.many = {}, lambda texts, **how: calls.append(len(texts)) or own.library.encode_batch(texts, **how)
+    assert b"".join(own.pieces("Größe 12, naïve\nwords it's")) == own.encode("Größe 12, naïve\nwords it's") and calls == [1]
+
+
 def test_first_fit_decreasing_against_a_scan():
     sizes = np.random.default_rng(1).integers(1, 100, 300)
     room: list[int] = []
