@@ -155,21 +155,52 @@ def overlaps(pairs: DataFrame, parts: DataFrame, percent: int) -> DataFrame:
     return partial.groupBy("a", "b", "needed").agg(F.sum("common").alias("common")).filter("common >= needed").select("a", "b")
 
 
-def candidates(left: DataFrame, right: DataFrame, percent: int, both_ways: bool) -> DataFrame:
-    """a, b, needed: pairs over equal prefix shingles whose bounds allow a link; sides have x, n, i and y, m, j, the left one
-    the number of shingles that a row stands for.
+def least_common(n: Column, m: Column, percent: int) -> Column:
+    """The overlap from which sets of these sizes link."""
+    return F.floor(((n + m) * percent + 99 + percent) / (100 + percent))
+
 
-    ``both_ways``: the sides are one table, so that each pair comes twice and once is kept."""
+def candidates(left: DataFrame, right: DataFrame, percent: int) -> DataFrame:
+    """a, b, needed: pairs over equal prefix shingles whose bounds allow a link; sides have x, n, i and y, m, j, the left one
+    the number of shingles that a row stands for."""
     n, m, i, j = (F.col(c) for c in "nmij")
-    needed = F.floor(((n + m) * percent + 99 + percent) / (100 + percent))
+    needed = least_common(n, m, percent)
     fits = (F.least(n, m) * 100 >= F.greatest(n, m) * percent) & (F.least(i, j) + F.least(n - i, m - j) >= needed)
-    fits = fits & (F.col("x") < F.col("y")) if both_ways else fits
     rows = left.join(right.withColumnRenamed("h", "h_y"), (F.col("h") == F.col("h_y")) & (F.col("label") != F.col("label_y")) & fits)
     bound = F.greatest(least_overlap(n, percent), least_overlap(m, percent)) - 1
     rows = rows.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), needed.alias("needed"), bound.alias("bound"), "weight")
     return rows.groupBy("a", "b", "needed", "bound").agg(F.sum("weight").alias("seen")).filter("seen + bound >= needed").select("a", "b", "needed")
 
 
+def first_common(rows: DataFrame, percent: int) -> DataFrame:
+    """a, b, needed, bound: every pair of different labels that can link; rows have h, x, n, i, label.
+
+    The first shingle, in the global order, that two sets share leaves them ``1 + min(n - i, m - j)`` in common at most.
+    A pair is built at a shingle that can be its first one. The smaller set offers those that can be first with
+    a set of its own size; the larger one those that can be first with the smallest set that offers the shingle. So a
+    passage that many sets share is no key for a set with as many rarer shingles of its own as a link may leave out."""
+    n, m, i, j = (F.col(c) for c in "nmij")
+    small = rows.filter(1 + n - i >= least_common(n, n, percent))
+    offers = small.groupBy("h").agg(F.min("n").alias("least"), F.min("label").alias("low"), F.max("label").alias("high"))
+    large = rows.join(offers, "h").filter((F.col("low") != F.col("label")) | (F.col("high") != F.col("label")))
+    large = large.filter(1 + n - i >= least_common(n, F.greatest("least", least_overlap(n, percent)), percent)).select(*rows.columns)
+    small = small.select(F.col("h").alias("h_y"), F.col("x").alias("y"), n.alias("m"), i.alias("j"), F.col("label").alias("label_y"))
+    needed = least_common(n, m, percent)
+    fits = ((n > m) | (n == m) & (F.col("x") > F.col("y"))) & (m * 100 >= n * percent) & (1 + F.least(n - i, m - j) >= needed)
+    pairs = large.join(small, (F.col("h") == F.col("h_y")) & (F.col("label") != F.col("label_y")) & fits)
+    bound = F.greatest(least_overlap(n, percent), least_overlap(m, percent)) - 1
+    return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), needed.alias("needed"), bound.alias("bound")).distinct()
+
+
+def enough_seen(pairs: DataFrame, rows: DataFrame) -> DataFrame:
+    """a, b, needed: the pairs whose whole prefixes have enough in common; rows have h, x, weight."""
+    held = F.map_from_entries(F.collect_list(F.struct("h", "weight")))  # a part of the prefix of one text
+    prefix = rows.groupBy("x").agg(held.alias("held"))
+    left, right = prefix.select(F.col("x").alias("a"), F.col("held").alias("of_a")), prefix.select(F.col("x").alias("b"), F.map_keys("held").alias("of_b"))
+    seen = F.aggregate(F.array_intersect(F.map_keys("of_a"), "of_b"), F.lit(0).cast("long"), lambda sum_, h: sum_ + F.col("of_a")[h])
+    return pairs.join(left, "a").join(right, "b").filter(seen + F.col("bound") >= F.col("needed")).select("a", "b", "needed")
+
+
 def join_components(docs: DataFrame, size: int = 4, percent: int = 85) -> DataFrame:
     """doc_id, n_shingles, component_id for every row."""
     session, texts = docs.sparkSession, docs.select("doc_id", "text")
@@ -194,9 +225,10 @@ def join_components(docs: DataFrame, size: int = 4, percent: int = 85) -> DataFr
 
     whole = shared(prefixes(named, size, percent, heavy, those(reps.select("rep").filter("rep is not null"))))
     mixed = F.xxhash64("rep")
-    held = (F.min("rep").alias("low"), F.max("rep").alias("high"), F.count("*").alias("df"), F.bit_xor(mixed).alias("mixed"), F.sum(F.shiftright(mixed, 32)).alias("total"))
-    common = whole.groupBy("h").agg(*held).filter("low < high")
-    kept = shared(common.groupBy("low", "high", "df", "mixed", "total").agg(F.min("h").alias("h"), F.count("*").alias("weight")).select("h", "df", "weight"))
+    held = (F.count("*").alias("df"), F.bit_xor(mixed).alias("mixed"), F.sum(F.shiftright(mixed, 32)).alias("total"), F.min("position").alias("at"))
+    common = whole.groupBy("h").agg(*held).filter("df > 1")
+    first = F.min(F.struct("at", "h"))["h"].alias("h")  # one posting list: the least position is that of the first in the global order
+    kept = shared(common.groupBy("df", "mixed", "total").agg(first, F.count("*").alias("weight")).select("h", "df", "weight"))
     prefix = shared(whole.join(kept, "h"))
     weight = F.sum("weight")
     rank = prefix.groupBy("rep").agg((-weight / (F.max("n") - least_overlap(F.max("n"), percent) + 1)).alias("lone"), (-F.sum(F.col("df") * F.col("weight")) / weight).alias("rare"))
@@ -211,11 +243,11 @@ def join_components(docs: DataFrame, size: int = 4, percent: int = 85) -> DataFr
             free = now if round_ == 0 else now.filter("rep <> label")
             pivot = F.min(F.struct("lone", "rare", "rep", F.col("n").alias("m"), F.col("position").alias("j"), "label")).alias("p")
             other = free.groupBy("h").agg(pivot).select("h", F.col("p.rep").alias("y"), "p.m", "p.j", F.col("p.label").alias("label_y"))
+            pairs = shared(candidates(left, other, percent))
         else:
             split = now.groupBy("h").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high").select("h")
             left = shared(left.join(split, "h", "left_semi"))
-            other = left.select("h", F.col("x").alias("y"), F.col("n").alias("m"), F.col("i").alias("j"), F.col("label").alias("label_y"))
-        pairs = shared(candidates(left, other, percent, round_ == PIVOT_ROUNDS))
+            pairs = shared(enough_seen(shared(first_common(left, percent)), left))
         ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
         found = shared(overlaps(pairs, shared(fragments(named, size, heavy, those(ids))), percent))
         links = found if links is None else links.union(found)
