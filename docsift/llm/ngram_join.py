@@ -12,10 +12,10 @@ shingle; a null or wordless text has an empty set and no link. Two documents lin
    its task with the prefix of its order only, which any partner must share. Texts do not move: the documents
    wanted are told by a broadcast bit filter of 16 MB, and what it lets pass beside them (copies of a class) changes no result.
 3. Prefix shingles of one class alone are dropped, and of those that the same classes hold (told by a
-   128-bit digest) one stands for all, with their number: a shared passage is one key. Pairs are first built with the most central
+   128-bit digest) the first in the order stands for all, with their number: a shared passage is one key. Pairs are first built with the most central
    class of each prefix shingle (one pair per member); what these links join is one component.
-   Then all pairs of different components are built, so a group of many near copies doesn't become
-   all its pairs, and no component is lost.
+   Then pairs of different components are built where a shingle can be the first that both share, so
+   neither many near copies nor many texts around one passage become all their pairs, and no component is lost.
 4. The prefix is the first fragment of the order: its count per pair bounds the whole overlap, and
    pairs below the threshold leave. For the rest, every fragment of the order counts its own
    overlap, and the counts are summed per pair.
@@ -32,12 +32,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docsift.llm.common import Tables, bit_filter, gram_hashes, hashes_of_texts, map_frames, passes
 
 FRAGMENTS, PIVOT_ROUNDS, HEAVY, SUMMARY = 4, 2, 16_384, 1_024
+ROWS = 128  # texts whose shingles a worker holds at a time
 
 
 def shingle_sets(texts: list[str | None], size: int) -> list[np.ndarray]:
@@ -56,7 +58,7 @@ def set_digests(docs: DataFrame, size: int) -> DataFrame:
 
     def digests(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         top, held, waiting = (np.zeros(0, np.int64), np.zeros(0, np.int64)), [], 0
-        for batch in (whole.iloc[at : at + 500] for whole in batches for at in range(0, len(whole), 500)):
+        for batch in (whole.iloc[at : at + ROWS] for whole in batches for at in range(0, len(whole), ROWS)):
             found = shingle_sets(list(batch["text"]), size)
             mixed = [f.view(np.uint64) * np.uint64(0x94D049BB133111EB) for f in found]
             yield pd.DataFrame({
@@ -98,8 +100,8 @@ def prefixes(docs: DataFrame, size: int, percent: int, heavy, bits) -> DataFrame
     def first(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             batch = batch[passes(bits.value, batch["mark"].to_numpy())]
-            for at in range(0, len(batch), 500):
-                part = batch.iloc[at : at + 500]
+            for at in range(0, len(batch), ROWS):
+                part = batch.iloc[at : at + ROWS]
                 sets = shingle_sets(list(part["text"]), size)
                 n = np.array([len(s) for s in sets], np.int64)
                 long = n - (n * percent + 99) // 100 + (n > 0)
@@ -112,15 +114,25 @@ def prefixes(docs: DataFrame, size: int, percent: int, heavy, bits) -> DataFrame
     return docs.mapInPandas(first, "rep long, n long, position int, h long")
 
 
+def of_hashes(rows: DataFrame, bits) -> DataFrame:
+    """The rows whose h the filter lets pass; most prefix shingles are one text's alone and need no shuffle to be dropped."""
+
+    def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(passes(bits.value, batch.column("h").to_numpy())))
+
+    return rows.mapInArrow(kept, rows.schema)
+
+
 def fragments(docs: DataFrame, size: int, heavy, bits) -> DataFrame:
     """rep, fragment, part: every set cut along the global order, for documents whose mark the filter lets pass."""
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             batch = batch[passes(bits.value, batch["mark"].to_numpy())]
-            for at in range(0, len(batch), 500):
+            for at in range(0, len(batch), ROWS):
                 rows = []
-                part = batch.iloc[at : at + 500]
+                part = batch.iloc[at : at + ROWS]
                 for doc, found in zip(part["doc_id"], shingle_sets(list(part["text"]), size)):
                     ordered, fragment = in_order(found, heavy.value)
                     for f in np.unique(fragment):
@@ -229,7 +241,7 @@ def join_components(docs: DataFrame, size: int = 4, percent: int = 85) -> DataFr
     common = whole.groupBy("h").agg(*held).filter("df > 1")
     first = F.min(F.struct("at", "h"))["h"].alias("h")  # one posting list: the least position is that of the first in the global order
     kept = shared(common.groupBy("df", "mixed", "total").agg(first, F.count("*").alias("weight")).select("h", "df", "weight"))
-    prefix = shared(whole.join(kept, "h"))
+    prefix = shared(of_hashes(whole, session.sparkContext.broadcast(bit_filter(kept.select("h")))).join(kept, "h"))
     weight = F.sum("weight")
     rank = prefix.groupBy("rep").agg((-weight / (F.max("n") - least_overlap(F.max("n"), percent) + 1)).alias("lone"), (-F.sum(F.col("df") * F.col("weight")) / weight).alias("rare"))
     prefix = shared(prefix.join(rank, "rep").drop("df"))
