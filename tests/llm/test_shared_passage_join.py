@@ -6,7 +6,7 @@ import random
 import pytest
 
 from docsift.llm import ngram_join
-from docsift.llm.common import shared_folder, words
+from docsift.llm.common import bit_filter, shared_folder, words
 
 
 def around(own: int, start: int, passage: list[str]) -> str:
@@ -56,3 +56,10 @@ def test_edited_texts_against_all_pairs(spark, size, percent):
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
     got = {r.doc_id: r.component_id for r in ngram_join.join_components(docs, size, percent).collect()}
     assert got == dict(enumerate(want)) and 2 < len(set(want)) < len(texts)
+
+
+def test_shingles_of_one_text_leave_before_the_join(spark):
+    rows = spark.createDataFrame([(i, 9, 1, (i + 1) * 0x9E3779B97F4A7C1 % 2**63) for i in range(400)], "rep long, n long, position int, h long")
+    kept = rows.filter("rep % 20 = 0").select("h")
+    passed = ngram_join.of_hashes(rows, spark.sparkContext.broadcast(bit_filter(kept)))
+    assert passed.schema == rows.schema and {r.rep for r in passed.collect()} == set(range(0, 400, 20))
