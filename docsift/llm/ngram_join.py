@@ -111,7 +111,7 @@ def prefixes(docs: DataFrame, size: int, percent: int, heavy, bits) -> DataFrame
                     "position": np.concatenate([np.arange(1, k + 1) for k in long]), "h": np.concatenate(found),
                 })
 
-    return docs.mapInPandas(first, "rep long, n long, position int, h long")
+    return map_frames(docs, first, "rep long, n long, position int, h long")
 
 
 def of_hashes(rows: DataFrame, bits) -> DataFrame:
@@ -139,7 +139,7 @@ def fragments(docs: DataFrame, size: int, heavy, bits) -> DataFrame:
                         rows.append((doc, int(f), ordered[fragment == f]))
                 yield pd.DataFrame(rows, columns=["rep", "fragment", "part"])
 
-    return docs.mapInPandas(cut, "rep long, fragment int, part array<long>")
+    return map_frames(docs, cut, "rep long, fragment int, part array<long>")
 
 
 def components(edges: DataFrame, keep: Tables) -> DataFrame:

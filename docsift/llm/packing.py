@@ -58,7 +58,7 @@ def cut(docs: DataFrame, path: str, room: int = 1024, closing: int = 0, with_ids
                     rows.append((doc, at // 4, len(part) // 4, zlib.crc32(part), len(raw) // 4, ids))
             yield pd.DataFrame(rows, columns=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "ids"], dtype=object)
 
-    return map_frames(docs.select("doc_id", "text"), pieces, PIECES)
+    return map_frames(docs.select("doc_id", "text"), pieces, PIECES, "tokens")
 
 
 def pack(docs: DataFrame, path: str, room: int = 1024, closing: int = 0, group_rows: int = 4096, with_ids: bool = False) -> DataFrame:

@@ -36,6 +36,7 @@ from pyspark.sql import functions as F
 from docsift.llm.common import Tables, bit_filter, gram_hashes, hashes_of_texts, map_frames, passes, words
 
 INNER, SPLIT = 5, 1_000
+ROWS = 64  # texts whose hashes a worker holds at a time
 
 
 def segments(hashes: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -125,14 +126,14 @@ def repeated_windows(docs: DataFrame, size: int = 13, split: int = SPLIT, shared
 
     def once(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for at in range(0, len(batch), 500):
-                found = [np.unique(segments(h, size)[0]) for h in hashes_of_texts(list(batch["text"].iloc[at : at + 500]))]
+            for at in range(0, len(batch), ROWS):
+                found = [np.unique(segments(h, size)[0]) for h in hashes_of_texts(list(batch["text"].iloc[at : at + ROWS]))]
                 yield pd.DataFrame({"anchor": np.concatenate(found)})
 
     def anchors(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for at in range(0, len(batch), 500):
-                part = batch.iloc[at : at + 500]
+            for at in range(0, len(batch), ROWS):
+                part = batch.iloc[at : at + ROWS]
                 found = [segments(h, size) for h in hashes_of_texts(list(part["text"]))]
                 anchor, start, n, digest = (np.concatenate(x) for x in zip(*found))
                 rows = {"doc_id": np.repeat(part["doc_id"].to_numpy(), [len(f[0]) for f in found]), "anchor": anchor, "start": start, "n": n, "digest": digest}
@@ -141,8 +142,8 @@ def repeated_windows(docs: DataFrame, size: int = 13, split: int = SPLIT, shared
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for at in range(0, len(batch), 200):
-                rows, part = [], batch.iloc[at : at + 200]
+            for at in range(0, len(batch), ROWS):
+                rows, part = [], batch.iloc[at : at + ROWS]
                 for doc, text, places in zip(part["doc_id"], part["text"], part["places"]):
                     tokens = words(text)
                     hashes = gram_hashes(hashes_of_texts([text])[0], size).view(np.int64) if any(p["hot"] for p in places) else None
@@ -181,9 +182,9 @@ def repeated_windows(docs: DataFrame, size: int = 13, split: int = SPLIT, shared
             yield pd.DataFrame(solve(current, group), columns=["anchor", "digest", "shift", "firsts"])
 
     texts = docs.select("doc_id", "text").filter("doc_id is not null")
-    again = shared(texts.mapInPandas(once, "anchor long").groupBy("anchor").count().filter("count > 1").select("anchor"))
+    again = shared(map_frames(texts, once, "anchor long").groupBy("anchor").count().filter("count > 1").select("anchor"))
     bits = docs.sparkSession.sparkContext.broadcast(bit_filter(again.select("anchor")))
-    found = texts.mapInPandas(anchors, "doc_id long, anchor long, start int, n int, digest long")
+    found = map_frames(texts, anchors, "doc_id long, anchor long, start int, n int, digest long")
     found = shared(found.join(again, "anchor", "left_semi"))
     every = shared(found.groupBy("anchor", "digest").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")))
     kinds = every.groupBy("anchor").agg(F.count("*").alias("kinds"), F.min("low").alias("least"), F.max("high").alias("most")).filter("least < most")
@@ -195,7 +196,7 @@ def repeated_windows(docs: DataFrame, size: int = 13, split: int = SPLIT, shared
     asked = met.filter("kinds > 1")
     shown = asked.filter("doc_id = low").groupBy("doc_id", "anchor", "digest").agg(F.min("start").alias("start"), F.max("n").alias("n"), (F.max("kinds") > split).alias("hot"))
     places = shown.groupBy("doc_id").agg(F.collect_list(F.struct("anchor", "digest", "start", "n", "hot")).alias("places"))
-    pieces = shared(texts.join(places, "doc_id").mapInPandas(cut, "anchor long, window long, digest long, shift int, segment string, first long"))
+    pieces = shared(map_frames(texts.join(places, "doc_id"), cut, "anchor long, window long, digest long, shift int, segment string, first long"))
     dealt = pieces.filter("segment is not null").select("anchor", "digest", "segment", "first").repartition("anchor").sortWithinPartitions("anchor", "first", "digest")
     solved = dealt.mapInPandas(shard, "anchor long, digest long, shift int, firsts array<long>")
     windows = pieces.filter("segment is null")

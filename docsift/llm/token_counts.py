@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docsift.llm.common import map_frames
+from docsift.llm.common import kept_by_worker, map_frames
 
 TABLE, SUMMARY, CACHE = 16_384, 1_024, 600_000
 #: Fixed value: the pre-tokenizing pattern of the byte-level vocabulary.
@@ -89,12 +89,10 @@ class PreTokens:
             self.cache.update((token, raw[a:b]) for token, a, b in zip(missing, edges, edges[1:]))
 
 
-_WORKER: dict[str, PreTokens] = {}
-
-
 def in_worker(path: str, table: dict[str, bytes] | None = None) -> PreTokens:
     """The splitter of this Python worker: its cache outlives a task, so a later task of the worker finds it filled."""
-    own = _WORKER.get(path) or _WORKER.setdefault(path, PreTokens(path))
+    kept = kept_by_worker("tokens")
+    own = kept.get(path) or kept.setdefault(path, PreTokens(path))
     own.table = table or {}
     return own
 
@@ -113,7 +111,7 @@ def frequent(docs: DataFrame, path: str, text: str = "text") -> dict[str, bytes]
         top = counts.most_common(SUMMARY)
         yield pd.DataFrame({"token": [t for t, _ in top], "n": [n for _, n in top]}, dtype=object)
 
-    tops = map_frames(docs.select(text), summaries, "token string, n long").groupBy("token").agg(F.sum("n").alias("n"))
+    tops = map_frames(docs.select(text), summaries, "token string, n long", "tokens").groupBy("token").agg(F.sum("n").alias("n"))
     rows = tops.orderBy(F.desc("n"), "token").limit(TABLE).collect()
     own = PreTokens(path)
     return {r.token: own.encode(r.token) for r in rows}
@@ -133,4 +131,4 @@ def count_tokens(docs: DataFrame, path: str, text: str = "text", keep: tuple[str
 
     picked = docs.select(*keep, text)
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*keep).schema) + ", n_bytes long, n_tokens long"
-    return map_frames(picked, counts, schema)
+    return map_frames(picked, counts, schema, "tokens")
