@@ -33,9 +33,12 @@ from .stored import stored
 SMALL_ROWS = 4096
 SMALL_BYTES = 64 << 20
 BLOCK_BYTES = 16 << 20  # of one side's vectors in a block, as doubles
-BLOCK_QUESTIONS = 2048
+BLOCK_QUESTIONS = 16_384
+STRIP = 64  # distances of a question, of which the least stands for all at first
 MAX_CELLS = 16_384
 BANDS = 32  # of angles, over half a turn
+GRID_PAIRS = 50_000_000  # of question and vector, from which it is looked at whether the bands leave enough out
+PAIRS_PER_ROW = 2048  # compared in the time that a row takes to be sent on
 BROADCAST_HITS = 200_000
 BROADCAST_GROUPS = 200_000  # rows of three numbers
 SLACK = 1e-7  # of a distance: what rounding and the arc cosine can be off by
@@ -95,19 +98,60 @@ def _block_functions(digits: int):
         order = np.argsort(np.take_along_axis(d, at, axis=1), axis=1, kind="stable")
         return np.take_along_axis(at, order, axis=1)
 
-    def nearest(q, v, ids, k):
-        """(distances, ids) of the k best columns per question row; ids break ties."""
+    def few_near(q, v, single_q, single_v, zero_v, bound, k):
+        """``pick`` with its distances, taken from few of the columns; null where these are not few.
+
+        All cosines are computed in single precision. The k-th largest of the maxima of column strips is no more than the
+        k-th largest cosine, so what is below it (by more than rounding) or beyond the bound is not among the k best."""
+        import numpy as np
+
+        rows, n = len(q), len(v)
+        if n < 4 * k * STRIP:
+            return None
+        zero_q = ~q.any(axis=1)
+        sims = single_q @ single_v.T
+        if not np.isfinite(sims.sum()):
+            return None
+        sims[:, zero_v] = -np.inf
+        strips = sims[:, : n // STRIP * STRIP].reshape(rows, STRIP, -1).max(axis=1)
+        least = np.partition(strips, strips.shape[1] - k, axis=1)[:, -k]
+        if bound is not None:
+            least = np.maximum(least, 1 - bound)
+        off = 2 * 10.0**-digits + 4 * q.shape[1] * np.finfo(np.float32).eps
+        least = np.where(zero_q, np.inf, least.astype(float) - off).astype(np.float32)
+        row, at = np.nonzero(sims >= least[:, None])
+        if len(row) > sims.size // (4 * q.shape[1]):
+            return None
+        d = np.round(1.0 - np.einsum("ij,ij->i", q[row], v[at]), digits) + 0.0
+        d[zero_v[at]] = np.inf
+        order = np.lexsort((at, d, row))
+        row, at, d = row[order], at[order], d[order]
+        place = np.arange(len(row)) - np.searchsorted(row, row)
+        kept = place < k
+        out_d, out_at = np.full((rows, k), np.inf), np.zeros((rows, k), np.int64)
+        out_d[row[kept], place[kept]], out_at[row[kept], place[kept]] = d[kept], at[kept]
+        return out_d, out_at
+
+    def nearest(q, v, ids, k, bounds=None):
+        """(distances, ids) of the k best columns per question row; ids break ties. Where a question has a bound,
+        what is farther may be left out (infinite)."""
         import numpy as np
 
         order = np.argsort(ids, kind="stable")
         v, ids = v[order], ids[order]
+        zero_v = ~v.any(axis=1)
+        single_q, single_v = q.astype(np.float32), v.astype(np.float32)
         step = max(1, 4_000_000 // max(1, len(ids)))
         ds, js = [], []
         for i in range(0, len(q), step):
-            d = distances(q[i : i + step], v)
-            at = pick(d, k)
-            ds.append(np.take_along_axis(d, at, axis=1))
-            js.append(ids[at])
+            part = slice(i, i + step)
+            found = few_near(q[part], v, single_q[part], single_v, zero_v, None if bounds is None else bounds[part], k)
+            if found is None:
+                d = distances(q[part], v)
+                at = pick(d, k)
+                found = np.take_along_axis(d, at, axis=1), at
+            ds.append(found[0])
+            js.append(ids[found[1]])
         return np.concatenate(ds), np.concatenate(js)
 
     def merge(d1, j1, d2, j2, k):
@@ -329,8 +373,9 @@ def _meet(q: DataFrame, v: DataFrame, k: int, question_id: str, vector_id: str,
         if left.num_rows == 0 or right.num_rows == 0:
             empty = [pa.array([], types[0]), pa.array([], types[1]), pa.array([], pa.float64())]
             return pa.Table.from_arrays(empty, names=names)
-        d, j = nearest(matrix(left.column(1), dim), matrix(right.column(1), dim), id_array(right.column(0)), k)
-        row, at = np.nonzero(np.isfinite(d) & (d <= left.column(2).to_numpy()[:, None]))
+        bounds = left.column(2).to_numpy()
+        d, j = nearest(matrix(left.column(1), dim), matrix(right.column(1), dim), id_array(right.column(0)), k, bounds)
+        row, at = np.nonzero(np.isfinite(d) & (d <= bounds[:, None]))
         return pa.Table.from_arrays(
             [
                 left.column(0).take(pa.array(row)).combine_chunks().cast(types[0]),
@@ -458,16 +503,17 @@ def build_cells(
     return _as_cells(v, (centres / np.where(norms > 0, norms, 1))[norms[:, 0] > 0], vector_id, embedding)
 
 
-def _route(q: DataFrame, cells: Cells, k: int, question_id: str, turn: int, last: bool) -> DataFrame:
+def _route(q: DataFrame, cells: Cells, k: int, question_id: str, turn: int, last: bool, count: bool = False) -> DataFrame:
     """Each question once per band it has to meet in this round (``_group``), scanned in place.
 
     The nearest cells that hold ``k`` vectors are met first, four times as many in each later
     round, all others in the last; of them only the bands that can hold something within the bound.
+    With ``count`` only the numbers of such rows (``met``) leave the tasks.
     """
     shared = q.sparkSession.sparkContext.broadcast((cells.centres, cells.bands, cells.groups))
-    schema = T.StructType([*q.schema.fields, T.StructField("_group", T.LongType())])
+    schema = T.StructType([T.StructField("met", T.LongType())] if count else [*q.schema.fields, T.StructField("_group", T.LongType())])
     matrix, _, _, _ = _block_functions(DISTANCE_DIGITS)
-    names = [*q.columns, "_group"]
+    names = schema.names
 
     def route(batches):
         import numpy as np
@@ -497,12 +543,26 @@ def _route(q: DataFrame, cells: Cells, k: int, question_id: str, turn: int, last
                 to_centre = angle[:, cell]
                 gap = np.maximum(np.maximum(to_centre - high, low - to_centre), 0)
                 meets = now[:, cell] & (1 - np.cos(gap) <= bound[part, None] + SLACK)
+                if count:
+                    yield pa.RecordBatch.from_arrays([pa.array([int(meets.sum())], pa.int64())], names=names)
+                    continue
                 row, at = np.nonzero(meets)
                 yield pa.RecordBatch.from_arrays([*batch.take(pa.array(part[row])).columns, pa.array(groups[at])], names=names)
 
     return q.mapInArrow(route, schema)
 
 
+def _grid_is_less(asked: DataFrame, cells: Cells, k: int, question_id: str, turn: int) -> bool:
+    """Whether a question would be sent on once per band so often that comparing all pairs in blocks is less."""
+    n_questions, n_vectors = asked.count(), int(cells.bands[:, 3].sum())
+    if n_questions * n_vectors < GRID_PAIRS:
+        return False
+    per_block = max(1, BLOCK_BYTES // (8 * cells.centres.shape[1]))
+    sent = n_questions * -(-n_vectors // per_block) + n_vectors * -(-n_questions // min(per_block, BLOCK_QUESTIONS))
+    met = _route(asked, cells, k, question_id, turn, True, count=True).agg(F.sum("met")).first()[0] or 0
+    return met > sent + n_questions * n_vectors // PAIRS_PER_ROW
+
+
 def _search_cells(
     q: DataFrame, cells: Cells, k: int, question_id: str, tau: float | None = None, rounds: int = 2, record: dict | None = None
 ) -> DataFrame:
@@ -515,7 +575,16 @@ def _search_cells(
             asked = q.withColumn("_bound", F.lit(far))
         else:
             asked = q.join(bounds, on=question_id, how="left").withColumn("_bound", F.least(F.coalesce("_bound", F.lit(far)), F.lit(far)))
-        routed = stored(_route(asked.select(*q.columns, "_bound"), cells, k, question_id, turn, turn == rounds - 1))
+        asked, last = asked.select(*q.columns, "_bound"), turn == rounds - 1
+        if last and turn and _grid_is_less(asked, cells, k, question_id, turn):
+            # Vectors whose angles say little: all blocks of questions meet all blocks of vectors, the earlier hits among them.
+            whole = asked.withColumn("_group", F.lit(0).cast("bigint"))
+            if record is not None:
+                record["met"] = record.get("met", 0) + whole.count() * len(cells.groups)
+            found = _meet(whole, cells.vectors.withColumn("_group", F.lit(0).cast("bigint")), k, question_id, cells.vector_id, cells.centres.shape[1])
+            hits = stored(best_per_group(found, [question_id], ["distance", cells.vector_id], k).drop("rank"))
+            break
+        routed = stored(_route(asked, cells, k, question_id, turn, last))
         if record is not None:
             record["met"] = record.get("met", 0) + routed.count()
         found = _meet(routed, cells.vectors, k, question_id, cells.vector_id, cells.centres.shape[1])
