@@ -36,10 +36,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from docsift.llm.common import Tables, bit_filter, gram_hashes, hashes_of_texts, map_frames, passes
+from docsift.llm.common import FILE_ROWS, Tables, bit_filter, dealt_by_rows, gram_hashes, hashes_of_texts, map_frames, passes
 
 FRAGMENTS, PIVOT_ROUNDS, HEAVY, SUMMARY = 4, 2, 16_384, 1_024
 ROWS = 128  # texts whose shingles a worker holds at a time
+HELD = 1_000_000  # shingles that a worker counts at a time; some 80 bytes each
 
 
 def shingle_sets(texts: list[str | None], size: int) -> list[np.ndarray]:
@@ -67,9 +68,9 @@ def set_digests(docs: DataFrame, size: int) -> DataFrame:
             })
             held += found
             waiting += sum(map(len, found))
-            if waiting > 2_000_000:
-                new = np.concatenate(held)
-                top, held, waiting = _most_frequent(np.r_[top[0], new], np.r_[top[1], np.ones(len(new), np.int64)], 64 * SUMMARY), [], 0
+            if waiting > HELD:
+                new, held, waiting = np.concatenate(held), [], 0
+                top = _most_frequent(np.r_[top[0], new], np.r_[top[1], np.ones(len(new), np.int64)], 64 * SUMMARY)
         new = np.concatenate([np.zeros(0, np.int64), *held])
         top = _most_frequent(np.r_[top[0], new], np.r_[top[1], np.ones(len(new), np.int64)], SUMMARY)
         often = top[1] > 1
@@ -144,22 +145,22 @@ def fragments(docs: DataFrame, size: int, heavy, bits) -> DataFrame:
 
 def components(edges: DataFrame, keep: Tables) -> DataFrame:
     """node, label (the smallest node reachable) for every node of the edges a, b; each round also jumps over labels."""
-    shared = Tables(edges.sparkSession)
-    both = shared(edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
-    labels = shared(both.groupBy(F.col("a").alias("node")).agg(F.least(F.col("node"), F.min("b")).alias("label")))
+    shared, most = Tables(edges.sparkSession), 2 * edges.count()
+    both = shared(edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), most)
+    labels = shared(both.groupBy(F.col("a").alias("node")).agg(F.least(F.col("node"), F.min("b")).alias("label")), most)
     while True:
         near = both.join(labels, both.b == labels.node).groupBy("a").agg(F.min("label").alias("low"))
         step = labels.join(near, labels.node == near.a, "left").select("node", F.least("label", "low").alias("next"), "label")
         jump = labels.select(F.col("node").alias("at"), F.col("label").alias("further"))
-        moved = shared(step.join(jump, step.next == jump["at"], "left").select("node", F.least("next", "further").alias("label"), F.col("label").alias("before")))
+        moved = shared(step.join(jump, step.next == jump["at"], "left").select("node", F.least("next", "further").alias("label"), F.col("label").alias("before")), most)
         labels = moved.select("node", "label")
         if not moved.filter("label < before").limit(1).count():
-            labels = keep(labels)
+            labels = keep(labels, most)
             shared.drop()
             return labels
 
 
-def overlaps(pairs: DataFrame, parts: DataFrame, percent: int) -> DataFrame:
+def overlaps(pairs: DataFrame, parts: DataFrame) -> DataFrame:
     """The pairs a, b whose overlap, summed over fragments, reaches the threshold."""
     left = parts.select(F.col("rep").alias("a"), "fragment", F.col("part").alias("part_a"))
     right = parts.select(F.col("rep").alias("b"), "fragment", F.col("part").alias("part_b"))
@@ -216,14 +217,14 @@ def enough_seen(pairs: DataFrame, rows: DataFrame) -> DataFrame:
 def join_components(docs: DataFrame, size: int = 4, percent: int = 85) -> DataFrame:
     """doc_id, n_shingles, component_id for every row."""
     session, texts = docs.sparkSession, docs.select("doc_id", "text")
-    shared = Tables(session)
-    digests = shared(set_digests(texts, size))
+    shared, n_rows = Tables(session), texts.count()
+    digests = shared(set_digests(texts, size).repartition(1 + n_rows // FILE_ROWS))
     rows = digests.filter("n < 0").groupBy("first").agg(F.sum("second").alias("n")).orderBy(F.desc("n"), "first").limit(HEAVY).collect()
     often = sorted((r["first"], len(rows) - at) for at, r in enumerate(rows))
     heavy = session.sparkContext.broadcast((np.array([h for h, _ in often], np.int64), np.array([r for _, r in often], np.int64)))
 
     classes = digests.filter("n >= 0")
-    reps = shared(classes.filter("n > 0").groupBy("n", "first", "second").agg(F.min("doc_id").alias("rep")))
+    reps = shared(classes.filter("n > 0").groupBy("n", "first", "second").agg(F.min("doc_id").alias("rep")), n_rows)
     members = classes.join(reps, ["n", "first", "second"], "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("rep", "doc_id").alias("rep"))
 
     named = texts.filter("doc_id is not null")
@@ -236,15 +237,16 @@ def join_components(docs: DataFrame, size: int = 4, percent: int = 85) -> DataFr
         return session.sparkContext.broadcast(bit_filter(ids.select(F.xxhash64(ids.columns[0]).alias("mark"))))
 
     whole = shared(prefixes(named, size, percent, heavy, those(reps.select("rep").filter("rep is not null"))))
-    mixed = F.xxhash64("rep")
+    n_whole, mixed = whole.count(), F.xxhash64("rep")
     held = (F.count("*").alias("df"), F.bit_xor(mixed).alias("mixed"), F.sum(F.shiftright(mixed, 32)).alias("total"), F.min("position").alias("at"))
     common = whole.groupBy("h").agg(*held).filter("df > 1")
     first = F.min(F.struct("at", "h"))["h"].alias("h")  # one posting list: the least position is that of the first in the global order
-    kept = shared(common.groupBy("df", "mixed", "total").agg(first, F.count("*").alias("weight")).select("h", "df", "weight"))
-    prefix = shared(of_hashes(whole, session.sparkContext.broadcast(bit_filter(kept.select("h")))).join(kept, "h"))
+    kept = shared(common.groupBy("df", "mixed", "total").agg(first, F.count("*").alias("weight")).select("h", "df", "weight"), n_whole)
+    prefix = shared(of_hashes(whole, session.sparkContext.broadcast(bit_filter(kept.select("h")))).join(kept, "h"), n_whole)
+    n_prefix = prefix.count()
     weight = F.sum("weight")
     rank = prefix.groupBy("rep").agg((-weight / (F.max("n") - least_overlap(F.max("n"), percent) + 1)).alias("lone"), (-F.sum(F.col("df") * F.col("weight")) / weight).alias("rare"))
-    prefix = shared(prefix.join(rank, "rep").drop("df"))
+    prefix = shared(prefix.join(rank, "rep").drop("df"), n_prefix)
     texts_kept = [t for t in shared.open.values() if t is not None and t.columns == ["doc_id", "text"]]
     shared.drop(digests, reps, prefix, *texts_kept)
     links, labels, live = None, prefix.select(F.col("rep").alias("node"), F.col("rep").alias("label")).distinct(), [digests, reps, prefix, *texts_kept]
@@ -255,13 +257,15 @@ def join_components(docs: DataFrame, size: int = 4, percent: int = 85) -> DataFr
             free = now if round_ == 0 else now.filter("rep <> label")
             pivot = F.min(F.struct("lone", "rare", "rep", F.col("n").alias("m"), F.col("position").alias("j"), "label")).alias("p")
             other = free.groupBy("h").agg(pivot).select("h", F.col("p.rep").alias("y"), "p.m", "p.j", F.col("p.label").alias("label_y"))
-            pairs = shared(candidates(left, other, percent))
+            pairs = shared(candidates(left, other, percent), n_prefix)  # one at most for each row
         else:
             split = now.groupBy("h").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high").select("h")
-            left = shared(left.join(split, "h", "left_semi"))
-            pairs = shared(enough_seen(shared(first_common(left, percent)), left))
+            left = shared(left.join(split, "h", "left_semi"), n_prefix)
+            first = shared(first_common(left, percent))
+            pairs = shared(enough_seen(first, left), first.count())
         ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-        found = shared(overlaps(pairs, shared(fragments(named, size, heavy, those(ids))), percent))
+        # The parts are cut once for each side: as a table they would be a file of every task that reads texts.
+        found = shared(overlaps(pairs, fragments(named, size, heavy, those(ids))), pairs.count())
         links = found if links is None else links.union(found)
         joined = components(links, shared)
         live.append(found)
@@ -269,4 +273,4 @@ def join_components(docs: DataFrame, size: int = 4, percent: int = 85) -> DataFr
         labels = prefix.select("rep").distinct().join(joined, F.col("rep") == F.col("node"), "left").select(F.col("rep").alias("node"), F.coalesce("label", "rep").alias("label"))
     shared.drop(digests, reps, joined)
     result = members.join(joined, members.rep == joined.node, "left")
-    return result.select("doc_id", "n_shingles", F.coalesce("label", "rep").alias("component_id"))
+    return dealt_by_rows(result.select("doc_id", "n_shingles", F.coalesce("label", "rep").alias("component_id")), n_rows)
