@@ -6,12 +6,13 @@ shingle; a null or wordless text has an empty set and no link. Two documents lin
 
 1. One pass gives each document the size of its set and two 64-bit sums of mixed hashes; equal sets
    form a class, and only the class's smallest id goes on. The same pass passes on at most
-   ``SUMMARY`` counts a task, from which at most ``HEAVY`` frequent shingles are broadcast.
+   ``SUMMARY`` counts a task, from which at most ``HEAVY`` frequent shingles (16 MB) are broadcast.
 2. The global order puts these frequent shingles last, by count, and all others before them by
-   hash. Any order is right; this one keeps common passages out of the prefixes. A class leaves
+   hash. Any order is right; this one keeps what many texts share, passages or runs of common words, out of the
+   prefixes: a prefix shingle that a share of all texts has makes pairs by the square of the corpus. A class leaves
    its task with the prefix of its order only, which any partner must share. Texts do not move: the documents
    wanted are told by a broadcast bit filter of 16 MB, and what it lets pass beside them (copies of a class) changes no result.
-3. Prefix shingles of one class alone are dropped, and of those that the same classes hold (told by a
+3. Prefix shingles of one class alone are dropped (only hashes are shuffled to find them), and of those that the same classes hold (told by a
    128-bit digest) the first in the order stands for all, with their number: a shared passage is one key. Pairs are first built with the most central
    class of each prefix shingle (one pair per member); what these links join is one component.
    Then pairs of different components are built where a shingle can be the first that both share, so
@@ -38,9 +39,10 @@ from pyspark.sql import functions as F
 
 from docsift.llm.common import FILE_ROWS, Tables, bit_filter, dealt_by_rows, gram_hashes, hashes_of_texts, map_frames, passes
 
-FRAGMENTS, PIVOT_ROUNDS, HEAVY, SUMMARY = 4, 2, 16_384, 1_024
+FRAGMENTS, PIVOT_ROUNDS, HEAVY, SUMMARY = 4, 2, 1 << 20, 1 << 16
 ROWS = 128  # texts whose shingles a worker holds at a time
-HELD = 1_000_000  # shingles that a worker counts at a time; some 80 bytes each
+HELD = 750_000  # shingles that a worker counts at a time, beside KEPT counts; some 50 bytes each
+KEPT = 8 * SUMMARY
 
 
 def shingle_sets(texts: list[str | None], size: int) -> list[np.ndarray]:
@@ -48,10 +50,16 @@ def shingle_sets(texts: list[str | None], size: int) -> list[np.ndarray]:
 
 
 def _most_frequent(values: np.ndarray, counts: np.ndarray, keep: int) -> tuple[np.ndarray, np.ndarray]:
-    values, at = np.unique(values, return_inverse=True)
-    counts = np.bincount(at, weights=counts, minlength=len(values)).astype(np.int64)
-    top = np.argsort(-counts, kind="stable")[:keep]
-    return values[top], counts[top]
+    if not len(values):
+        return values, counts
+    turn = np.argsort(values)
+    values = values[turn]
+    starts = np.flatnonzero(np.r_[True, values[1:] != values[:-1]])
+    values, counts = values[starts], np.add.reduceat(counts[turn], starts)
+    if len(values) > keep:
+        top = np.argpartition(counts, len(counts) - keep)[len(counts) - keep :]
+        values, counts = values[top], counts[top]
+    return values, counts
 
 
 def set_digests(docs: DataFrame, size: int) -> DataFrame:
@@ -70,7 +78,7 @@ def set_digests(docs: DataFrame, size: int) -> DataFrame:
             waiting += sum(map(len, found))
             if waiting > HELD:
                 new, held, waiting = np.concatenate(held), [], 0
-                top = _most_frequent(np.r_[top[0], new], np.r_[top[1], np.ones(len(new), np.int64)], 64 * SUMMARY)
+                top = _most_frequent(np.r_[top[0], new], np.r_[top[1], np.ones(len(new), np.int64)], KEPT)
         new = np.concatenate([np.zeros(0, np.int64), *held])
         top = _most_frequent(np.r_[top[0], new], np.r_[top[1], np.ones(len(new), np.int64)], SUMMARY)
         often = top[1] > 1
@@ -79,6 +87,23 @@ def set_digests(docs: DataFrame, size: int) -> DataFrame:
     return map_frames(docs.select("doc_id", "text"), digests, "doc_id long, n long, first long, second long")
 
 
+def frequent(digests: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """At most ``HEAVY`` of the most frequent shingles, sorted, and their ranks by count from 1; those of the last count come all or not at all."""
+    counted = digests.filter("n < 0").groupBy("first").agg(F.sum("second").alias("n"))
+    least, total = None, 0
+    for level in sorted(counted.groupBy("n").count().collect(), key=lambda r: -r["n"]):
+        total += level["count"]
+        if total > HEAVY:
+            break
+        least = level["n"]
+    found = counted.filter(F.lit(False) if least is None else F.col("n") >= least).toArrow()
+    shingles, n = (found.column(c).to_numpy() for c in ("first", "n"))
+    ranks = np.empty(len(n), np.int32)
+    ranks[np.lexsort((shingles, n))] = np.arange(1, len(n) + 1)
+    turn = np.argsort(shingles)
+    return shingles[turn], ranks[turn]
+
+
 def in_order(shingles: np.ndarray, heavy: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """The set in the global order, and the fragment of each shingle; ``heavy`` has sorted shingles and their ranks."""
     known, ranks = heavy
@@ -219,9 +244,7 @@ def join_components(docs: DataFrame, size: int = 4, percent: int = 85) -> DataFr
     session, texts = docs.sparkSession, docs.select("doc_id", "text")
     shared, n_rows = Tables(session), texts.count()
     digests = shared(set_digests(texts, size).repartition(1 + n_rows // FILE_ROWS))
-    rows = digests.filter("n < 0").groupBy("first").agg(F.sum("second").alias("n")).orderBy(F.desc("n"), "first").limit(HEAVY).collect()
-    often = sorted((r["first"], len(rows) - at) for at, r in enumerate(rows))
-    heavy = session.sparkContext.broadcast((np.array([h for h, _ in often], np.int64), np.array([r for _, r in often], np.int64)))
+    heavy = session.sparkContext.broadcast(frequent(digests))
 
     classes = digests.filter("n >= 0")
     reps = shared(classes.filter("n > 0").groupBy("n", "first", "second").agg(F.min("doc_id").alias("rep")), n_rows)
@@ -237,17 +260,20 @@ def join_components(docs: DataFrame, size: int = 4, percent: int = 85) -> DataFr
         return session.sparkContext.broadcast(bit_filter(ids.select(F.xxhash64(ids.columns[0]).alias("mark"))))
 
     whole = shared(prefixes(named, size, percent, heavy, those(reps.select("rep").filter("rep is not null"))))
-    n_whole, mixed = whole.count(), F.xxhash64("rep")
+    repeated = shared(whole.groupBy("h").count().filter("count > 1"), whole.count())
+    n_likely, mixed = repeated.agg(F.coalesce(F.sum("count"), F.lit(0))).first()[0], F.xxhash64("rep")
+    likely = shared(of_hashes(whole, session.sparkContext.broadcast(bit_filter(repeated.select("h")))), n_likely)
+    texts_kept = [t for t in shared.open.values() if t is not None and t.columns == ["doc_id", "text"]]
+    shared.drop(digests, reps, likely, *texts_kept)
     held = (F.count("*").alias("df"), F.bit_xor(mixed).alias("mixed"), F.sum(F.shiftright(mixed, 32)).alias("total"), F.min("position").alias("at"))
-    common = whole.groupBy("h").agg(*held).filter("df > 1")
+    common = likely.groupBy("h").agg(*held).filter("df > 1")
     first = F.min(F.struct("at", "h"))["h"].alias("h")  # one posting list: the least position is that of the first in the global order
-    kept = shared(common.groupBy("df", "mixed", "total").agg(first, F.count("*").alias("weight")).select("h", "df", "weight"), n_whole)
-    prefix = shared(of_hashes(whole, session.sparkContext.broadcast(bit_filter(kept.select("h")))).join(kept, "h"), n_whole)
+    kept = shared(common.groupBy("df", "mixed", "total").agg(first, F.count("*").alias("weight")).select("h", "df", "weight"), n_likely)
+    prefix = shared(likely.join(kept, "h"), n_likely)
     n_prefix = prefix.count()
     weight = F.sum("weight")
     rank = prefix.groupBy("rep").agg((-weight / (F.max("n") - least_overlap(F.max("n"), percent) + 1)).alias("lone"), (-F.sum(F.col("df") * F.col("weight")) / weight).alias("rare"))
     prefix = shared(prefix.join(rank, "rep").drop("df"), n_prefix)
-    texts_kept = [t for t in shared.open.values() if t is not None and t.columns == ["doc_id", "text"]]
     shared.drop(digests, reps, prefix, *texts_kept)
     links, labels, live = None, prefix.select(F.col("rep").alias("node"), F.col("rep").alias("label")).distinct(), [digests, reps, prefix, *texts_kept]
     for round_ in range(PIVOT_ROUNDS + 1):
