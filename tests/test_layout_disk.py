@@ -18,7 +18,7 @@ def tables(spark):
 
 @pytest.mark.parametrize("hot", [False, True])
 def test_tables_of_finished_steps_are_deleted(spark, monkeypatch, hot):
-    """All nine tables stayed, with the answers of all centres, until the result was written."""
+    """All tables stayed, with the answers of all centres, until the result was written."""
     shared_folder(spark)
     rng = random.Random(6)
     span = 40 if hot else 4000
